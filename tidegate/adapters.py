@@ -34,18 +34,18 @@ def _date_text(date: Column, selector: Column) -> Column:
                  F.date_format(date, "dd/MM/yyyy"))
 
 
-def _key(prefix: str, number: Column) -> Column:
+def key_of(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
-def _order_columns() -> list[Column]:
+def order_columns() -> list[Column]:
     n, at = F.col("event_id"), F.col("ts")
     text = _pick(n % 3, F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.date_format(at, "yyyy/MM/dd HH:mm:ss"),
                  F.date_format(at, "dd/MM/yyyy HH:mm:ss"))
     return [
         n.alias("order_id"),
-        F.when(n % 13 != 12, _key("CUST", F.col("user_id"))).alias("customer_id"),
-        F.when(n % 17 != 16, _key("PROD", n * 7 % 200)).alias("product_id"),
+        F.when(n % 13 != 12, key_of("CUST", F.col("user_id"))).alias("customer_id"),
+        F.when(n % 17 != 16, key_of("PROD", n * 7 % 200)).alias("product_id"),
         (n % 9).cast("int").alias("quantity"),
         F.col("event_type").alias("payment_method"),
         F.when(n % 11 == 10, -F.col("value")).otherwise(F.col("value")).alias("amount"),
@@ -54,7 +54,7 @@ def _order_columns() -> list[Column]:
 
 
 def orders_feed(events: DataFrame) -> DataFrame:
-    return events.select(*_order_columns())
+    return events.select(*order_columns())
 
 
 def orders_feed_halves(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,14 +65,14 @@ def orders_feed_halves(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def order_commits(events: DataFrame) -> DataFrame:
     """The order feed as a change feed with 100 rows to a commit; some rows are updates."""
-    feed = events.select(*_order_columns(), "ts")
+    feed = events.select(*order_columns(), "ts")
     kind = F.when(F.col("order_id") % 997 == 0, "update_postimage").otherwise("insert")
     return as_change_feed(feed, F.floor(F.col("order_id") / 100), F.col("ts"), kind).drop("ts")
 
 
 def order_updates(events: DataFrame) -> DataFrame:
     """Three deliveries per order id, the later ones updates."""
-    feed = events.select(*_order_columns(), "ts").withColumn("order_id", F.floor(F.col("order_id") / 3))
+    feed = events.select(*order_columns(), "ts").withColumn("order_id", F.floor(F.col("order_id") / 3))
     return as_change_feed(feed, F.floor(F.col("order_id") / 300), F.col("ts")).drop("ts")
 
 
@@ -82,11 +82,11 @@ def customers_feed(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
     rows = customer.join(F.broadcast(places), customer.c_nationkey == places.n_nationkey)
     n = F.col("c_custkey")
     born = F.date_add(F.lit("1960-01-01").cast("date"), (n % 14600).cast("int"))
-    street = F.when(n % 10 != 5, _key("Road ", n % 100))
-    locality = _key("Sector ", n % 20)
+    street = F.when(n % 10 != 5, key_of("Road ", n % 100))
+    locality = key_of("Sector ", n % 20)
     code = (n % 10000 + 750000).cast("int")
     return rows.select(
-        _key("CUST", n).alias("customer_id"),
+        key_of("CUST", n).alias("customer_id"),
         F.concat(F.lit("  "), F.when(n % 2 == 0, F.lower("c_name")).otherwise(F.col("c_name")),
                  F.lit(" ")).alias("customer_name"),
         F.when(n % 10 != 3, F.concat(F.lit("c"), n.cast("string"), F.lit("@example.org"))).alias("email"),
@@ -102,7 +102,7 @@ def customers_feed(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
 
 def customer_updates(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """A customer reports a new postal code with every order; same-day orders tie in sequence."""
-    moves = orders.select(_key("CUST", F.col("o_custkey")).alias("customer_id"),
+    moves = orders.select(key_of("CUST", F.col("o_custkey")).alias("customer_id"),
                           (F.col("o_orderkey") % 10000 + 750000).cast("int").alias("postal_code"),
                           "o_orderkey", "o_orderdate")
     rows = moves.join(customers.drop("postal_code", "address"), "customer_id")
@@ -121,7 +121,7 @@ def products_feed(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     price = each.cast("double") / 100.0
     expires = F.date_add(F.lit("2026-01-01").cast("date"), (n % 365).cast("int"))
     return rows.select(
-        _key("PROD", n).alias("product_id"),
+        key_of("PROD", n).alias("product_id"),
         F.when(n % 29 != 28, F.col("p_name")).alias("product_name"),
         F.when(line % 11 == 10, -price).otherwise(price).alias("price"),
         F.when(n % 31 != 30, F.col("p_type")).alias("category"),
@@ -138,6 +138,6 @@ def product_updates(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 def sales_feed(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     rows = orders.join(lineitem, orders.o_orderkey == lineitem.l_orderkey)
     return rows.select(
-        F.col("o_orderkey").alias("order_id"), _key("PROD", F.col("l_partkey")).alias("product_id"),
+        F.col("o_orderkey").alias("order_id"), key_of("PROD", F.col("l_partkey")).alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("o_orderdate").cast("timestamp").alias("Order_date"))

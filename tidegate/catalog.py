@@ -68,8 +68,14 @@ def _customers(spark, sf_dir):
 
 
 def _history(spark, sf_dir):
-    updates = feeds.product_updates(*_t(spark, sf_dir, "lineitem", "part"))
-    return scd.scd2(clean_products(expect_all_or_drop(updates, PRODUCT_RULES)), ["product_id"])
+    lineitem, part = _t(spark, sf_dir, "lineitem", "part")
+    updates = feeds.product_updates(lineitem, part)
+    return scd.scd2(clean_products(expect_all_or_drop(updates, PRODUCT_RULES)), ["product_id"],
+                    sized_by=lineitem.select(feeds.key_of("PROD", F.col("l_partkey")).alias("product_id")))
+
+
+def _history_table(spark, sf_dir):
+    return _stored(spark, _history(spark, sf_dir), "products")
 
 
 def _order_stream(spark, sf_dir):
@@ -239,7 +245,7 @@ def dedup_full_row(spark, sf_dir):
 def dedup_within_commit(spark, sf_dir):
     """The whole feed came twice in commit 1 and twice again in commit 2: one copy of each commit stays."""
     events, = _t(spark, sf_dir, "events")
-    feed = events.select(*feeds._order_columns(), "ts")
+    feed = events.select(*feeds.order_columns(), "ts")
     first, second = [ch.as_change_feed(feed, F.lit(v), F.col("ts")).drop("ts") for v in (1, 2)]
     copies = first.unionByName(first).unionByName(second).unionByName(second)
     return _ntz(ch.dedup_within_commit(copies), ch.COMMIT_TIMESTAMP)
@@ -358,7 +364,7 @@ def stream_static_join_customer(spark, sf_dir):
 
 @query("stream_static_join_product")
 def stream_static_join_product(spark, sf_dir):
-    history = _stored(spark, _history(spark, sf_dir), "products")
+    history = _history_table(spark, sf_dir)
     products = scd.current(history).select("product_id", "product_name", "category", "price")
     joined = _order_stream(spark, sf_dir).join(products, "product_id").select(
         "order_id", "product_id", "product_name", "category", "price", "quantity")
@@ -366,7 +372,7 @@ def stream_static_join_product(spark, sf_dir):
 
 
 def _temporal(spark, sf_dir, before_first):
-    versions = _history(spark, sf_dir).select("product_id", "price", scd.START_AT, scd.END_AT)
+    versions = _history_table(spark, sf_dir).select("product_id", "price", scd.START_AT, scd.END_AT)
     joined = as_of_version_join(_sales(spark, sf_dir), versions, "product_id", "Order_date", before_first)
     return _ntz(_intervals(joined), "Order_date")
 
@@ -420,7 +426,7 @@ def null_event_time(spark, sf_dir):
     """Orders with an unreadable date are in no window."""
     windows = (gold.with_event_time(_order_stream(spark, sf_dir))
                .groupBy(F.window(gold.EVENT_TIME, gold.WINDOW)).agg(F.count(F.lit(1)).alias("n"))
-               .select(*gold._window_bounds(), "n"))
+               .select(*gold.window_bounds(), "n"))
     return _streamed(spark, windows, "nulls")
 
 
@@ -446,7 +452,7 @@ def customer_behavior(spark, sf_dir):
 @query("product_performance")
 def product_performance(spark, sf_dir):
     rows = gold.product_performance(_order_stream(spark, sf_dir),
-                                    _stored(spark, _history(spark, sf_dir), "products"))
+                                    _history_table(spark, sf_dir))
     return _streamed(spark, rows, "performance")
 
 
@@ -468,12 +474,12 @@ def payment_analysis(spark, sf_dir):
 
 @query("price_demand_analysis")
 def price_demand_analysis(spark, sf_dir):
-    return gold.price_demand_analysis(_sales(spark, sf_dir), _history(spark, sf_dir))
+    return gold.price_demand_analysis(_sales(spark, sf_dir), _history_table(spark, sf_dir))
 
 
 @query("price_demand_any_product_fallback")
 def price_demand_any_product_fallback(spark, sf_dir):
-    return gold.price_demand_any_product_fallback(_sales(spark, sf_dir), _history(spark, sf_dir))
+    return gold.price_demand_any_product_fallback(_sales(spark, sf_dir), _history_table(spark, sf_dir))
 
 
 @query("customer_behavior_end_to_end")

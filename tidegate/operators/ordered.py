@@ -24,9 +24,17 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
               .filter(F.col("__rows") > max_rows).select(*keys))
 
 
-def has_heavy_key(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> bool:
-    """One column-pruned counting job; only a yes or no reaches the driver."""
-    return not heavy_keys(df, keys, max_rows).isEmpty()
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the biggest key: one column-pruned counting job, one number to the driver."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return sizes.agg(F.max("__rows")).first()[0] or 0
+
+
+def heavy_or_none(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS,
+                  largest: int | None = None) -> DataFrame | None:
+    """The heavy keys, or None when there are none and plain windows will do."""
+    largest = largest_group(df, keys) if largest is None else largest
+    return heavy_keys(df, keys, max_rows) if largest > max_rows else None
 
 
 def chunk_of(df: DataFrame, order: str, unit: str = "DAY") -> Column:

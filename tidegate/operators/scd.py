@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, METADATA, UPSERTS
-from .ordered import MAX_GROUP_ROWS, has_heavy_key, heavy_keys, with_next, with_previous
+from .ordered import MAX_GROUP_ROWS, heavy_or_none, with_next, with_previous
 
 START_AT, END_AT, DELETED = "__START_AT", "__END_AT", "__deleted"
 
@@ -45,11 +45,16 @@ def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIME
 
 def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIMESTAMP,
          except_columns: Sequence[str] = METADATA, delete_when: Column | None = None,
-         collapse_unchanged: bool = True, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """All versions of every key with ``__START_AT`` and ``__END_AT`` (NULL while current)."""
+         collapse_unchanged: bool = True, max_group_rows: int = MAX_GROUP_ROWS,
+         sized_by: DataFrame | None = None) -> DataFrame:
+    """All versions of every key with ``__START_AT`` and ``__END_AT`` (NULL while current).
+
+    ``sized_by`` may name a frame that is cheaper to count than the changes and has at least as many rows
+    of each key, such as the raw feed.
+    """
     keys = list(keys)
     rows = applicable(changes, keys, delete_when)
-    heavy = heavy_keys(rows, keys, max_group_rows) if has_heavy_key(rows, keys, max_group_rows) else None
+    heavy = heavy_or_none(rows if sized_by is None else sized_by, keys, max_group_rows)
     versions = reduce_changes(rows, [*keys, sequence_by], sequence_by)
 
     if collapse_unchanged:
@@ -70,12 +75,12 @@ def current(history: DataFrame) -> DataFrame:
 
 
 def with_first_start(history: DataFrame, key: str, name: str = "min_start",
-                     max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                     heavy: DataFrame | None = None) -> DataFrame:
     """Add the earliest start of the key.
 
-    Ordinarily a window, which shares its shuffle with the history itself. A heavy key takes the
+    Ordinarily a window, which shares its shuffle with the history itself. With heavy keys it is an
     aggregate instead: partial minima before the shuffle and a join whose skewed side can be split.
     """
-    if has_heavy_key(history, [key], max_group_rows):
+    if heavy is not None:
         return history.join(history.groupBy(key).agg(F.min(START_AT).alias(name)), key)
     return history.withColumn(name, F.min(START_AT).over(Window.partitionBy(key)))

@@ -166,7 +166,7 @@ def _performance(source: str) -> str:
         GROUP BY ALL"""
 
 
-def _demand(match: str) -> str:
+def _demand(matches: str) -> str:
     demand = _DIRECTION.format(a="current_demand", b="prev_demand")
     return f"""
         SELECT category, round(prev_price, 2) AS prev_price, round(price, 2) AS current_price,
@@ -174,11 +174,11 @@ def _demand(match: str) -> str:
                CAST(current_demand AS BIGINT) AS current_demand, {demand} AS demand_direction
         FROM (SELECT *, coalesce(lag(current_demand) OVER (PARTITION BY product_id ORDER BY start_at),
                                  current_demand) AS prev_demand
-              FROM (SELECT p.product_id, p.category, p.price, p.prev_price, p.start_at,
-                           sum(o.quantity) AS current_demand
-                    FROM {match} GROUP BY ALL))"""
+              FROM (SELECT product_id, category, price, prev_price, start_at, sum(quantity) AS current_demand
+                    FROM ({matches}) GROUP BY ALL))"""
 
 
+_PERIOD = "p.product_id, p.category, p.price, p.prev_price, p.start_at, o.quantity"
 _IN_RANGE = "o.order_time >= p.start_at AND (o.order_time < p.end_at OR p.end_at IS NULL)"
 _EARLY = "o.order_time < p.min_start AND p.start_at = p.min_start"
 _TEMPORAL = """
@@ -295,11 +295,11 @@ def oracle_queries() -> dict[str, str]:
         "temporal_join_strict": _TEMPORAL.format(on=_IN_RANGE),
         "temporal_join_fallback": _TEMPORAL.format(on=f"({_IN_RANGE}) OR ({_EARLY})"),
         "tumbling_window_agg": """
-            SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
-                   time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type,
-                   count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total
-            FROM events GROUP BY ALL
-            HAVING window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE""",
+            SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type, count(*) AS n,
+                   CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total
+            FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start FROM events)
+            WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE
+            GROUP BY window_start, event_type""",
         "null_event_time": """
             SELECT window_start, window_end, count(*) AS n FROM closed GROUP BY ALL""",
         "customer_segment": f"""
@@ -319,9 +319,12 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT *, CAST(round(amount * 100) AS BIGINT) AS cents FROM orders_clean)
             GROUP BY payment_method""",
         "price_demand_analysis": _demand(
-            f"sales o JOIN price_steps p ON o.product_id = p.product_id AND (({_IN_RANGE}) OR ({_EARLY}))"),
+            f"SELECT {_PERIOD} FROM sales o JOIN price_steps p ON o.product_id = p.product_id "
+            f"AND (({_IN_RANGE}) OR ({_EARLY}))"),
         "price_demand_any_product_fallback": _demand(
-            f"sales o JOIN price_steps p ON (o.product_id = p.product_id AND {_IN_RANGE}) OR ({_EARLY})"),
+            f"SELECT {_PERIOD} FROM sales o JOIN price_steps p ON o.product_id = p.product_id AND {_IN_RANGE} "
+            f"UNION ALL SELECT {_PERIOD} FROM sales o "
+            f"JOIN (SELECT * FROM price_steps WHERE start_at = min_start) p ON o.order_time < p.min_start"),
     }
     plain["late_data_drop"] = plain["tumbling_window_agg"]
     return {key: _with(sql) for key, sql in plain.items()}

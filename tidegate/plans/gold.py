@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import average_half_up, customer_segment, direction, from_cents, to_cents
-from ..operators.ordered import MAX_GROUP_ROWS, has_heavy_key, heavy_keys, running_total_before, with_previous
+from ..operators.ordered import (MAX_GROUP_ROWS, heavy_or_none, largest_group, running_total_before,
+                                 with_previous)
 from ..operators.scd import END_AT, START_AT, current, with_first_start
 from ..operators.temporal import MAX_VERSIONS_TO_PROBE, as_of_version_join
 
@@ -22,7 +23,7 @@ def with_event_time(orders: DataFrame, delay: str = WATERMARK) -> DataFrame:
                   .withWatermark(EVENT_TIME, delay))
 
 
-def _window_bounds() -> list[Column]:
+def window_bounds() -> list[Column]:
     return [F.col("window.start").cast("timestamp_ntz").alias("window_start"),
             F.col("window.end").cast("timestamp_ntz").alias("window_end")]
 
@@ -51,7 +52,7 @@ def customer_behavior(orders: DataFrame, customers: DataFrame, window: str = WIN
     rows = _per_window(with_event_time(orders, delay), customers, "customer_id", attributes, totals, window)
     total = from_cents(F.col("cents"))
     return rows.select(
-        *_window_bounds(), "customer_id", *attributes,
+        *window_bounds(), "customer_id", *attributes,
         total.alias("total_spent"), "purchase_count",
         average_half_up(F.col("cents"), F.col("priced")).alias("avg_purchase_value"),
         "last_purchase_date", customer_segment(total).alias("customer_segment"))
@@ -67,7 +68,7 @@ def product_performance(orders: DataFrame, product_history: DataFrame, window: s
     rows = _per_window(with_event_time(orders, delay), current(product_history), "product_id", attributes,
                        totals, window)
     return rows.select(
-        *_window_bounds(), "product_id", *attributes,
+        *window_bounds(), "product_id", *attributes,
         from_cents(F.col("cents")).alias("total_revenue"), "units_sold", "order_frequency",
         average_half_up(F.col("cents"), F.col("priced")).alias("avg_revenue_per_order"))
 
@@ -85,11 +86,8 @@ def payment_analysis(orders: DataFrame, amount: str = "amount") -> DataFrame:
         "max_transaction", "min_transaction")
 
 
-def price_changes(product_history: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def price_changes(product_history: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Every product version with the price before it and the direction of the change."""
-    heavy = None
-    if has_heavy_key(product_history, ["product_id"], max_group_rows):
-        heavy = heavy_keys(product_history, ["product_id"], max_group_rows)
     rows = with_previous(product_history, ["product_id"], START_AT, F.col("price"), "__previous", heavy)
     # A previous price of NULL falls back to the own price, like a missing one.
     rows = rows.withColumn("prev_price", F.coalesce("__previous.value", "price")).drop("__previous")
@@ -97,74 +95,75 @@ def price_changes(product_history: DataFrame, max_group_rows: int = MAX_GROUP_RO
                                                         F.col("prev_price").cast("double")))
 
 
-def demand_per_version(sales: DataFrame, versions: DataFrame, before_first: str = "earliest",
-                       max_versions_to_probe: int = MAX_VERSIONS_TO_PROBE,
-                       max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Units sold during each version; versions that sold nothing do not appear.
-
-    Sales are added up per product and time before they meet the versions.
-    """
-    units = (sales.groupBy("product_id", "Order_date")
-                  .agg(F.sum(F.col("quantity").cast("int")).alias("__units")))
-    joined = as_of_version_join(units, versions, "product_id", "Order_date", before_first,
-                                max_versions_to_probe, max_group_rows)
-    return (joined.groupBy("product_id", "category", F.col("price").cast("double").alias("current_price"),
-                           F.col("prev_price").cast("double").alias("prev_price"), "price_direction", START_AT)
-                  .agg(F.sum("__units").alias("current_demand")))
+def units_per_time(sales: DataFrame) -> DataFrame:
+    """Sales added up per product and time, before they meet the versions."""
+    return (sales.groupBy("product_id", "Order_date")
+                 .agg(F.sum(F.col("quantity").cast("int")).alias("__units")))
 
 
-def demand_changes(demand: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def demand_changes(demand: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Each selling period with the demand of the product's selling period before it."""
-    heavy = None
-    if has_heavy_key(demand, ["product_id"], max_group_rows):
-        heavy = heavy_keys(demand, ["product_id"], max_group_rows)
     rows = with_previous(demand, ["product_id"], START_AT, F.col("current_demand"), "__previous", heavy)
     rows = rows.withColumn("prev_demand", F.coalesce("__previous.value", "current_demand"))
     return rows.drop("__previous").withColumn(
         "demand_direction", direction(F.col("current_demand"), F.col("prev_demand")))
 
 
-def _price_demand_report(changes: DataFrame) -> DataFrame:
+def _priced_versions(product_history: DataFrame, heavy: DataFrame | None) -> DataFrame:
+    return price_changes(product_history, heavy).select(
+        "product_id", "category", F.col("price").cast("double").alias("current_price"),
+        F.col("prev_price").cast("double").alias("prev_price"), "price_direction", START_AT, END_AT)
+
+
+def _price_demand_report(demand: DataFrame, heavy: DataFrame | None) -> DataFrame:
     # The product and the start make the order total; sorting by few categories alone would leave
     # each category to one task.
-    return (changes.orderBy("category", "product_id", START_AT)
-                   .select("category", F.round("prev_price", 2).alias("prev_price"),
-                           F.round("current_price", 2).alias("current_price"), "price_direction",
-                           "prev_demand", "current_demand", "demand_direction"))
+    return (demand_changes(demand, heavy).orderBy("category", "product_id", START_AT)
+            .select("category", F.round("prev_price", 2).alias("prev_price"),
+                    F.round("current_price", 2).alias("current_price"), "price_direction",
+                    "prev_demand", "current_demand", "demand_direction"))
 
 
 def price_demand_analysis(sales: DataFrame, product_history: DataFrame, before_first: str = "earliest",
                           max_versions_to_probe: int = MAX_VERSIONS_TO_PROBE,
                           max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    versions = price_changes(product_history, max_group_rows).select(
-        "product_id", "category", "price", "prev_price", "price_direction", START_AT, END_AT)
-    demand = demand_per_version(sales, versions, before_first, max_versions_to_probe, max_group_rows)
-    return _price_demand_report(demand_changes(demand, max_group_rows))
+    """Units sold in each price period against the product's period before; periods without sales are left out.
+
+    The history is counted once: demand has at most one row per version, so one measure serves all steps.
+    """
+    largest = largest_group(product_history, ["product_id"])
+    heavy = heavy_or_none(product_history, ["product_id"], max_group_rows, largest)
+    joined = as_of_version_join(units_per_time(sales), _priced_versions(product_history, heavy), "product_id",
+                                "Order_date", before_first, max_versions_to_probe, max_group_rows, largest)
+    demand = (joined.groupBy("product_id", "category", "current_price", "prev_price", "price_direction", START_AT)
+                    .agg(F.sum("__units").alias("current_demand")))
+    return _price_demand_report(demand, heavy)
 
 
 def price_demand_any_product_fallback(sales: DataFrame, product_history: DataFrame,
+                                      max_versions_to_probe: int = MAX_VERSIONS_TO_PROBE,
                                       max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """The variant in which the fallback to a first version does not ask for the same product.
 
     A product's first version then also counts every sale, of any product, that came before it. Joining
     those pairs would grow with the square of the data; their sum is a running total over time.
     """
-    versions = price_changes(product_history, max_group_rows).select(
-        "product_id", "category", F.col("price").cast("double").alias("current_price"),
-        F.col("prev_price").cast("double").alias("prev_price"), "price_direction", START_AT, END_AT)
-    units = (sales.groupBy("product_id", "Order_date")
-                  .agg(F.sum(F.col("quantity").cast("int")).alias("__units")))
-    own = (as_of_version_join(units, versions.select("product_id", START_AT, END_AT), "product_id",
-                              "Order_date", "drop", max_group_rows=max_group_rows)
+    largest = largest_group(product_history, ["product_id"])
+    heavy = heavy_or_none(product_history, ["product_id"], max_group_rows, largest)
+    versions = _priced_versions(product_history, heavy)
+    units = units_per_time(sales)
+    own = (as_of_version_join(units, versions.select("product_id", START_AT, END_AT), "product_id", "Order_date",
+                              "drop", max_versions_to_probe, max_group_rows, largest)
            .groupBy("product_id", START_AT).agg(F.sum("__units").alias("__own")))
 
-    firsts = with_first_start(versions, "product_id", max_group_rows=max_group_rows)
-    starts = firsts.filter(F.col(START_AT) == F.col("min_start")).select(F.col(START_AT).alias("Order_date"))
-    earlier = (running_total_before(units, starts, "Order_date", "__units")
-               .withColumnRenamed("Order_date", START_AT))
-    counted = (firsts.join(own, ["product_id", START_AT], "left").join(earlier, START_AT, "left")
-               .withColumn("__any", F.when(F.col(START_AT) == F.col("min_start"), F.col("total_before")))
-               .filter(F.col("__own").isNotNull()
-                       | ((F.col(START_AT) == F.col("min_start")) & (F.col("rows_before") > 0)))
-               .withColumn("current_demand", F.coalesce("__own", F.lit(0)) + F.coalesce("__any", F.lit(0))))
-    return _price_demand_report(demand_changes(counted, max_group_rows))
+    versions = with_first_start(versions, "product_id", "__first", heavy)
+    is_first = F.col(START_AT) == F.col("__first")
+    starts = versions.filter(is_first).select(F.col(START_AT).alias("Order_date"))
+    earlier = running_total_before(units, starts, "Order_date", "__units").select(
+        F.col("Order_date").alias("__at"), "total_before", "rows_before")
+    demand = (versions.join(own, ["product_id", START_AT], "left")
+              .join(earlier, (F.col(START_AT) == F.col("__at")) & is_first, "left")
+              .filter(F.col("__own").isNotNull() | (F.col("rows_before") > 0))
+              .withColumn("current_demand",
+                          F.coalesce("__own", F.lit(0)) + F.coalesce("total_before", F.lit(0))))
+    return _price_demand_report(demand, heavy)
