@@ -12,12 +12,21 @@ from .operators.changes import as_change_feed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A file that cannot be split keeps one core busy and the others idle, so its rows are dealt out.
+
+    Only a table with fewer input splits than the cluster has cores is dealt out; a large one never is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a stream. The glob fits one file as well as a folder of files."""
-    schema = table(spark, sf_dir, name).schema
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
@@ -29,9 +38,11 @@ def _pick(selector: Column, *values) -> Column:
     return chosen
 
 
-def _date_text(date: Column, selector: Column) -> Column:
-    return _pick(selector, F.date_format(date, "yyyy-MM-dd"), F.date_format(date, "yyyy/MM/dd"),
-                 F.date_format(date, "dd/MM/yyyy"))
+def _in_notation(iso: Column, selector: Column) -> Column:
+    """ISO text, rewritten with slashes or day first."""
+    day_first = F.concat(F.substring(iso, 9, 2), F.lit("/"), F.substring(iso, 6, 2), F.lit("/"),
+                         F.substring(iso, 1, 4), F.substring(iso, 11, 9))
+    return _pick(selector, iso, F.translate(iso, "-", "/"), day_first)
 
 
 def key_of(prefix: str, number: Column) -> Column:
@@ -39,9 +50,8 @@ def key_of(prefix: str, number: Column) -> Column:
 
 
 def order_columns() -> list[Column]:
-    n, at = F.col("event_id"), F.col("ts")
-    text = _pick(n % 3, F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.date_format(at, "yyyy/MM/dd HH:mm:ss"),
-                 F.date_format(at, "dd/MM/yyyy HH:mm:ss"))
+    n = F.col("event_id")
+    text = _in_notation(F.date_trunc("second", F.col("ts")).cast("string"), n % 3)
     return [
         n.alias("order_id"),
         F.when(n % 13 != 12, key_of("CUST", F.col("user_id"))).alias("customer_id"),
@@ -77,9 +87,8 @@ def order_updates(events: DataFrame) -> DataFrame:
 
 
 def customers_feed(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    # 25 nations and 5 regions: tables of fixed size.
-    places = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    rows = customer.join(F.broadcast(places), customer.c_nationkey == places.n_nationkey)
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    rows = customer.join(places, customer.c_nationkey == places.n_nationkey)
     n = F.col("c_custkey")
     born = F.date_add(F.lit("1960-01-01").cast("date"), (n % 14600).cast("int"))
     street = F.when(n % 10 != 5, key_of("Road ", n % 100))
@@ -92,7 +101,7 @@ def customers_feed(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
         F.when(n % 10 != 3, F.concat(F.lit("c"), n.cast("string"), F.lit("@example.org"))).alias("email"),
         F.concat(F.lit("+91"), (n + 8900000000).cast("string")).alias("phone_number"),
         F.col("c_mktsegment").alias("gender"),
-        F.when(n % 10 != 7, _date_text(born, n % 3)).alias("date_of_birth"),
+        F.when(n % 10 != 7, _in_notation(born.cast("string"), n % 3)).alias("date_of_birth"),
         street.alias("street_name"), locality.alias("locality"),
         F.col("n_name").alias("city"), F.col("r_name").alias("state"), F.lit("India").alias("country"),
         code.alias("postal_code"),
@@ -125,7 +134,7 @@ def products_feed(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.when(n % 29 != 28, F.col("p_name")).alias("product_name"),
         F.when(line % 11 == 10, -price).otherwise(price).alias("price"),
         F.when(n % 31 != 30, F.col("p_type")).alias("category"),
-        F.when(line % 10 != 9, _date_text(expires, n % 3)).alias("expiry_date"),
+        F.when(line % 10 != 9, _in_notation(expires.cast("string"), n % 3)).alias("expiry_date"),
         "l_shipdate")
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MAX_GROUP_ROWS = 2_000_000
+MAX_BROADCAST_KEYS = 100_000
 CHUNK = "__chunk"
 NUMERIC_CHUNK = 100_000
 BEFORE_ALL = -(2 ** 62)
@@ -32,9 +33,17 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 def heavy_or_none(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS,
                   largest: int | None = None) -> DataFrame | None:
-    """The heavy keys, or None when there are none and plain windows will do."""
-    largest = largest_group(df, keys) if largest is None else largest
-    return heavy_keys(df, keys, max_rows) if largest > max_rows else None
+    """The heavy keys, or None when there are none and plain windows will do.
+
+    They are counted before they may be broadcast; beyond the bound the join shuffles instead.
+    """
+    if largest is not None and largest <= max_rows:
+        return None
+    heavy = heavy_keys(df, keys, max_rows)
+    count = heavy.count()
+    if count == 0:
+        return None
+    return F.broadcast(heavy) if count <= MAX_BROADCAST_KEYS else heavy
 
 
 def chunk_of(df: DataFrame, order: str, unit: str = "DAY") -> Column:

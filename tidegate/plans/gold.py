@@ -28,21 +28,24 @@ def window_bounds() -> list[Column]:
             F.col("window.end").cast("timestamp_ntz").alias("window_end")]
 
 
-def _per_window(orders: DataFrame, dimension: DataFrame, key: str, attributes: list[str],
+def _per_window(orders: DataFrame, dimension: DataFrame | None, key: str, attributes: list[str],
                 totals: list[Column], window: str) -> DataFrame:
     """Window totals per key, enriched with the dimension's attributes.
 
     A stream joins first, so that a row meets the dimension as it was when the row arrived. A batch sees one
     state of the dimension, whose key is unique, so it can add up first and join the far smaller totals.
+    Without a dimension the orders carry the attributes already.
     """
     slot = F.window(EVENT_TIME, window)
+    if dimension is None:
+        return orders.groupBy(slot, key, *attributes).agg(*totals)
     dimension = dimension.select(key, *attributes)
     if orders.isStreaming:
         return orders.join(dimension, key, "inner").groupBy(slot, key, *attributes).agg(*totals)
     return orders.groupBy(slot, key).agg(*totals).join(dimension, key, "inner")
 
 
-def customer_behavior(orders: DataFrame, customers: DataFrame, window: str = WINDOW,
+def customer_behavior(orders: DataFrame, customers: DataFrame | None, window: str = WINDOW,
                       delay: str = WATERMARK, amount: str = "amount") -> DataFrame:
     spent = to_cents(F.col(amount))
     totals = [F.sum(spent).alias("cents"), F.count(spent).alias("priced"),
@@ -58,15 +61,15 @@ def customer_behavior(orders: DataFrame, customers: DataFrame, window: str = WIN
         "last_purchase_date", customer_segment(total).alias("customer_segment"))
 
 
-def product_performance(orders: DataFrame, product_history: DataFrame, window: str = WINDOW,
+def product_performance(orders: DataFrame, product_history: DataFrame | None, window: str = WINDOW,
                         delay: str = WATERMARK, amount: str = "amount") -> DataFrame:
+    products = None if product_history is None else current(product_history)
     earned = to_cents(F.col(amount))
     totals = [F.sum(earned).alias("cents"), F.count(earned).alias("priced"),
               F.sum(F.col("quantity").cast("int")).alias("units_sold"),
               F.count(F.lit(1)).alias("order_frequency")]
     attributes = ["product_name", "category", "price"]
-    rows = _per_window(with_event_time(orders, delay), current(product_history), "product_id", attributes,
-                       totals, window)
+    rows = _per_window(with_event_time(orders, delay), products, "product_id", attributes, totals, window)
     return rows.select(
         *window_bounds(), "product_id", *attributes,
         from_cents(F.col("cents")).alias("total_revenue"), "units_sold", "order_frequency",

@@ -18,6 +18,7 @@ from ..operators.scd import DELETED, applicable, reduce_changes, scd1, scd2
 from ..session import path_exists
 from ..sources.csv_feed import SchemaStore, discover_files, evolve_schema, group_by_header, read_by_header
 
+MAX_FILES = 1000
 # Written into the rows of a commit; the version is the name of its sub-folder.
 STAMPS = T.StructType([T.StructField(CHANGE_TYPE, T.StringType()),
                        T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),
@@ -61,9 +62,12 @@ class RawTable:
             raise ValueError(f"table {self.name} has no data yet")
         return _with_stamps(stored)
 
-    def append_flow(self, spark: SparkSession, folders: Sequence[str], max_files: int | None = None,
+    def append_flow(self, spark: SparkSession, folders: Sequence[str], max_files: int = MAX_FILES,
                     sampling_ratio: float = 1.0) -> DataStreamWriter:
-        """New files of one or several folders, into this table. Several folders share one commit order."""
+        """New files of one or several folders, into this table. Several folders share one commit order.
+
+        ``max_files`` paces a commit, per folder; files beyond it are in the next commits.
+        """
 
         def commit(files: DataFrame, version: int) -> None:
             found = files.collect()  # paths only, as many as one micro-batch has files
@@ -160,7 +164,8 @@ class MergeTarget:
         write_commit(winners, f"{self.path}/changes", version)
         # Read back: the commit is on shared storage now and need not be computed again.
         written = read_commits(spark, f"{self.path}/changes", schema).filter(F.col(COMMIT_VERSION) == version)
-        self._publish(spark, written, schema, version)
+        if self.scd_type == 1:
+            self._publish(spark, written, schema, version)
         if self.compact_every and version and version % self.compact_every == 0:
             self.compact(spark, version)
 
@@ -235,3 +240,25 @@ class MergeTarget:
     def _feed_schema(self, spark: SparkSession) -> T.StructType:
         schema = SchemaStore(spark, f"{self.path}/schema").load()
         return T.StructType([f for f in self._row_schema(schema) if f.name != DELETED])
+
+
+def enrich_commits(stream: DataFrame, dimension: Callable[[SparkSession], DataFrame], key: str,
+                   folder: str) -> DataStreamWriter:
+    """Inner join of each micro-batch with the dimension as it is at that moment, written as commits.
+
+    For a dimension that changes while the stream runs, or is too big to broadcast. The micro-batch is
+    written first and joined as an ordinary batch, where adaptive execution splits a heavy key. A windowed
+    result then reads the commits with :func:`stream_commits`.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+
+    def commit(batch: DataFrame, version: int) -> None:
+        write_commit(batch, f"{folder}/arrived", version)
+        arrived = spark.read.schema(schema).parquet(f"{folder}/arrived/{COMMIT_VERSION}={version}")
+        write_commit(arrived.join(dimension(spark), key, "inner"), f"{folder}/enriched", version)
+
+    return stream.writeStream.foreachBatch(commit).option("checkpointLocation", f"{folder}/checkpoint")
+
+
+def stream_commits(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(f"{folder}/enriched")
