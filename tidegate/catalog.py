@@ -14,10 +14,9 @@ from .operators.quality import expect_all_or_drop, expectation_report
 from .operators.temporal import as_of_version_join
 from .plans import gold
 from .plans.bronze import CUSTOMER_RULES, ORDER_RULES, PRODUCT_RULES
-from .plans.silver import clean_customers, clean_orders, clean_products
+from .plans.silver import clean_customers, clean_orders, clean_products, tidy_customers, tidy_orders, tidy_products
 from .session import work_dir
-from .sources.csv_feed import (SchemaStore, append_csv, csv_feed, infer_and_store_schema, read_by_header,
-                               group_by_header, schema_as_rows)
+from .sources.csv_feed import (SchemaStore, append_csv, csv_feed, infer_and_store_schema, schema_as_rows)
 from .streaming.runs import append_parquet, materialize, run_available
 from .streaming.tables import MergeTarget, RawTable
 
@@ -59,18 +58,19 @@ def _sales(spark, sf_dir):
 
 
 def _orders(spark, sf_dir):
-    return clean_orders(expect_all_or_drop(_orders_feed(spark, sf_dir), ORDER_RULES))
+    rows = tidy_orders(expect_all_or_drop(_orders_feed(spark, sf_dir), ORDER_RULES))
+    return scd.scd1(rows, ["order_id"], "order_id", [])
 
 
 def _customers(spark, sf_dir):
-    rows = clean_customers(expect_all_or_drop(_customers_feed(spark, sf_dir), CUSTOMER_RULES))
+    rows = tidy_customers(expect_all_or_drop(_customers_feed(spark, sf_dir), CUSTOMER_RULES))
     return scd.scd1(rows, ["customer_id"], "customer_id", [])
 
 
 def _history(spark, sf_dir):
     lineitem, part = _t(spark, sf_dir, "lineitem", "part")
     updates = feeds.product_updates(lineitem, part)
-    return scd.scd2(clean_products(expect_all_or_drop(updates, PRODUCT_RULES)), ["product_id"],
+    return scd.scd2(tidy_products(expect_all_or_drop(updates, PRODUCT_RULES)), ["product_id"],
                     sized_by=lineitem.select(feeds.key_of("PROD", F.col("l_partkey")).alias("product_id")))
 
 
@@ -81,14 +81,7 @@ def _history_table(spark, sf_dir):
 def _order_stream(spark, sf_dir):
     """Cleaned orders as a stream. Order ids are unique, so no commit rewrites a row."""
     raw = feeds.orders_feed(feeds.stream_table(spark, sf_dir, "events"))
-    kept = expect_all_or_drop(raw, ORDER_RULES)
-    return kept.transform(_clean_stream)
-
-
-def _clean_stream(rows):
-    known = rows.filter(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())
-    return (known.withColumn("total_amount", F.col("amount") * F.col("quantity"))
-                 .withColumn("Order_date", parse_timestamp("order_date")))
+    return tidy_orders(expect_all_or_drop(raw, ORDER_RULES))
 
 
 def _streamed(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -273,7 +266,8 @@ def clean_customers_feed(spark, sf_dir):
 
 @query("clean_orders")
 def clean_orders_feed(spark, sf_dir):
-    return _ntz(_orders(spark, sf_dir), "Order_date")
+    feed = expect_all_or_drop(_orders_feed(spark, sf_dir), ORDER_RULES)
+    return _ntz(clean_orders(feed), "Order_date")
 
 
 @query("clean_products")
@@ -468,8 +462,7 @@ def product_performance_batch(spark, sf_dir):
 
 @query("payment_analysis")
 def payment_analysis(spark, sf_dir):
-    orders = scd.scd1(_orders(spark, sf_dir), ["order_id"], "order_id", [])
-    return gold.payment_analysis(orders)
+    return gold.payment_analysis(_orders(spark, sf_dir))
 
 
 @query("price_demand_analysis")
@@ -491,10 +484,10 @@ def customer_behavior_end_to_end(spark, sf_dir):
     append_csv(_customers_feed(spark, sf_dir), f"{folder}/customers_in")
     run_available(raw_customers.append_flow(spark, [f"{folder}/customers_in"]))
 
-    customers = MergeTarget("customers", f"{folder}/customers", ("customer_id",))
-    run_available(customers.apply_changes(raw_customers.stream_changes(spark), clean_customers))
+    customers = MergeTarget("customers", f"{folder}/customers", ("customer_id",), publish=False)
+    run_available(customers.apply_changes(raw_customers.stream_changes(spark), tidy_customers))
     orders = MergeTarget("orders", f"{folder}/orders", ("order_id",))
-    run_available(orders.apply_changes(raw_orders.stream_changes(spark), clean_orders))
+    run_available(orders.apply_changes(raw_orders.stream_changes(spark), tidy_orders))
 
     rows = gold.customer_behavior(orders.stream_appends(spark), _stored(spark, customers.read(spark), "dim"))
     run_available(append_parquet(rows, f"{folder}/out", f"{folder}/out_checkpoint"))

@@ -55,6 +55,10 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIME
     keys = list(keys)
     rows = applicable(changes, keys, delete_when)
     heavy = heavy_or_none(rows if sized_by is None else sized_by, keys, max_group_rows)
+    if heavy is None:
+        # Every key fits a task, so one shuffle by key serves the reduction and both windows. Heavy keys are
+        # reduced before they are shuffled.
+        rows = rows.repartition(*keys)
     versions = reduce_changes(rows, [*keys, sequence_by], sequence_by)
 
     if collapse_unchanged:

@@ -118,8 +118,9 @@ class MergeTarget:
     """A type 1 or type 2 dimension kept from a change stream.
 
     A micro-batch is reduced to its winning changes and appended; readers reduce again over a compacted
-    base and the commits after it. Nothing that is already written is rewritten, so the cost of a
-    commit follows the size of the batch and not of the table.
+    base and the commits after it. Nothing that is already written is rewritten, so what a commit writes
+    follows the size of the batch and not of the table. To ``publish`` the change feed of a type 1 target,
+    a commit also reads the key and sequence columns of what is stored.
     """
 
     name: str
@@ -129,6 +130,7 @@ class MergeTarget:
     sequence_by: str = COMMIT_TIMESTAMP
     except_columns: tuple[str, ...] = METADATA
     delete_when: Column | None = None
+    publish: bool = True
     append_granularity: str = "commit"
     compact_every: int = 32
 
@@ -164,7 +166,7 @@ class MergeTarget:
         write_commit(winners, f"{self.path}/changes", version)
         # Read back: the commit is on shared storage now and need not be computed again.
         written = read_commits(spark, f"{self.path}/changes", schema).filter(F.col(COMMIT_VERSION) == version)
-        if self.scd_type == 1:
+        if self.publish and self.scd_type == 1:
             self._publish(spark, written, schema, version)
         if self.compact_every and version and version % self.compact_every == 0:
             self.compact(spark, version)
