@@ -12,7 +12,7 @@ from tidegate.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", {
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.log.level": "ERROR",
+        "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "6g", "spark.log.level": "ERROR",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield session
     session.stop()

@@ -36,6 +36,12 @@ def read_commits(spark: SparkSession, folder: str, schema: T.StructType) -> Data
     return spark.createDataFrame([], schema)
 
 
+def read_commit(spark: SparkSession, folder: str, schema: T.StructType, version: int) -> DataFrame:
+    """One commit; the others are not even listed."""
+    reader = spark.read.schema(schema).option("basePath", folder)
+    return reader.parquet(f"{folder}/{COMMIT_VERSION}={version}")
+
+
 def _with_stamps(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name not in METADATA] + list(STAMPS))
 
@@ -163,46 +169,50 @@ class MergeTarget:
             store.save(batch.schema, version)
         schema = self._row_schema(batch.schema)
         winners = reduce_changes(applicable(batch, self.keys, self.delete_when), self._group, self.sequence_by)
-        write_commit(winners, f"{self.path}/changes", version)
-        # Read back: the commit is on shared storage now and need not be computed again.
-        written = read_commits(spark, f"{self.path}/changes", schema).filter(F.col(COMMIT_VERSION) == version)
+        base = self._base_version(spark, before=version)
+        write_commit(winners, self._changes_since(base), version)
         if self.publish and self.scd_type == 1:
-            self._publish(spark, written, schema, version)
+            # Read back: the commit is on shared storage now and need not be computed again.
+            written = read_commit(spark, self._changes_since(base), schema, version)
+            self._publish(spark, written, self._stored(spark, schema, base, before=version), schema, version)
         if self.compact_every and version and version % self.compact_every == 0:
             self.compact(spark, version)
 
-    def _publish(self, spark: SparkSession, written: DataFrame, schema: T.StructType, version: int) -> None:
+    def _publish(self, spark: SparkSession, written: DataFrame, earlier: DataFrame, schema: T.StructType,
+                 version: int) -> None:
         """The change feed of this target, and the commits in it that only insert."""
-        earlier = self._stored(spark, schema, before=version)
         last = (earlier.join(written.select(*self.keys).distinct(), list(self.keys), "left_semi")
                 .groupBy(*self.keys).agg(F.max(self.sequence_by).alias("__known")))
         effective = (written.join(last, list(self.keys), "left")
                      .filter(F.col("__known").isNull() | (F.col(self.sequence_by) >= F.col("__known"))))
         kind = (F.when(F.col(DELETED), "delete").when(F.col("__known").isNull(), "insert")
                  .otherwise("update_postimage"))
-        feed = effective.withColumn(CHANGE_TYPE, kind).drop("__known", DELETED)
-        write_commit(feed, f"{self.path}/feed", version)
+        write_commit(effective.withColumn(CHANGE_TYPE, kind).drop("__known", DELETED), f"{self.path}/feed", version)
 
         feed_schema = T.StructType([f for f in schema if f.name != DELETED])
-        committed = read_commits(spark, f"{self.path}/feed", feed_schema).filter(F.col(COMMIT_VERSION) == version)
+        committed = read_commit(spark, f"{self.path}/feed", feed_schema, version)
         inserts = committed.filter(F.col(CHANGE_TYPE) == "insert")
         if self.append_granularity == "commit" and not committed.filter(F.col(CHANGE_TYPE) != "insert").isEmpty():
             inserts = inserts.limit(0)  # a commit that rewrites rows appends none
         write_commit(inserts, f"{self.path}/appends", version)
 
-    def _base_version(self, spark: SparkSession, before: int | None) -> int | None:
+    def _changes_since(self, base: int | None) -> str:
+        """Commits after a base have a folder of their own, so a reader never lists those before it."""
+        return f"{self.path}/changes/{'start' if base is None else base}"
+
+    def _base_version(self, spark: SparkSession, before: int | None = None) -> int | None:
         done = read_commits(spark, f"{self.path}/compacted", T.StructType([
             T.StructField("finished", T.BooleanType()), T.StructField(COMMIT_VERSION, T.LongType())]))
         if before is not None:
             done = done.filter(F.col(COMMIT_VERSION) < before)
         return done.agg(F.max(COMMIT_VERSION)).first()[0]
 
-    def _stored(self, spark: SparkSession, schema: T.StructType, before: int | None = None) -> DataFrame:
-        """Winning changes so far: the newest compacted base and the commits after it."""
-        changes = read_commits(spark, f"{self.path}/changes", schema)
+    def _stored(self, spark: SparkSession, schema: T.StructType, base: int | None,
+                before: int | None = None) -> DataFrame:
+        """Winning changes so far: a compacted base and the commits after it."""
+        changes = read_commits(spark, self._changes_since(base), schema)
         if before is not None:
             changes = changes.filter(F.col(COMMIT_VERSION) < before)
-        base = self._base_version(spark, before)
         if base is None:
             return changes
         # The base keeps the commit version of each row as a column of its own, which ranks ties.
@@ -210,12 +220,13 @@ class MergeTarget:
                                    + [T.StructField("version", T.LongType())])
         compacted = (spark.read.schema(base_schema).parquet(f"{self.path}/base/{base}")
                      .withColumnRenamed("version", COMMIT_VERSION))
-        return compacted.unionByName(changes.filter(F.col(COMMIT_VERSION) > base))
+        return compacted.unionByName(changes)
 
     def compact(self, spark: SparkSession, version: int) -> None:
         """Reduce everything up to ``version`` into a new base; older commits stay as they are."""
         schema = self._row_schema(SchemaStore(spark, f"{self.path}/schema").load())
-        rows = reduce_changes(self._stored(spark, schema, before=version + 1), self._group, self.sequence_by)
+        stored = self._stored(spark, schema, self._base_version(spark, before=version), before=version + 1)
+        rows = reduce_changes(stored, self._group, self.sequence_by)
         (rows.withColumnRenamed(COMMIT_VERSION, "version")
              .write.mode("overwrite").parquet(f"{self.path}/base/{version}"))
         # Readers look for this mark, so a base that was not finished is never used.
@@ -227,7 +238,7 @@ class MergeTarget:
         stored_schema = SchemaStore(spark, f"{self.path}/schema").load()
         if stored_schema is None:
             raise ValueError(f"table {self.name} has no data yet")
-        rows = self._stored(spark, self._row_schema(stored_schema))
+        rows = self._stored(spark, self._row_schema(stored_schema), self._base_version(spark))
         build = scd1 if self.scd_type == 1 else scd2
         marked = rows.withColumnRenamed(DELETED, "__gone").withColumn(CHANGE_TYPE, F.lit("insert"))
         return build(marked, self.keys, self.sequence_by, [*self.except_columns, "__gone"], F.col("__gone"))
