@@ -28,14 +28,27 @@ def applicable(changes: DataFrame, keys: Sequence[str], delete_when: Column | No
     return rows
 
 
+def _ranking(changes: DataFrame, group: Sequence[str], sequence_by: str) -> list[str]:
+    """Columns that decide which change of a group wins: the greatest, with NULL as the smallest value."""
+    first = [c for c in (sequence_by, COMMIT_VERSION) if c in changes.columns and c not in group]
+    return first + [c for c in changes.columns if c not in group and c not in first]
+
+
 def reduce_changes(changes: DataFrame, group: Sequence[str], sequence_by: str) -> DataFrame:
     """The winning change of every group; losers are dropped before the shuffle already."""
-    first = [c for c in (sequence_by, COMMIT_VERSION) if c in changes.columns and c not in group]
-    ranked = first + [c for c in changes.columns if c not in group and c not in first]
+    ranked = _ranking(changes, group, sequence_by)
     winners = changes.groupBy(*group).agg(F.max(F.struct(*ranked)).alias("__row"))
     return winners.select(*group, "__row.*").select(*changes.columns)
 
 
+def _reduce_in_place(changes: DataFrame, group: Sequence[str], sequence_by: str) -> DataFrame:
+    """The same winners for rows that are partitioned by key already: the sort that ranks them also serves
+    the windows that follow."""
+    best = [F.desc(c) for c in _ranking(changes, group, sequence_by)]
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*best))
+    return changes.withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
+
+
 def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIMESTAMP,
          except_columns: Sequence[str] = METADATA, delete_when: Column | None = None) -> DataFrame:
     """The current row of every key."""
@@ -55,11 +68,12 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIME
     keys = list(keys)
     rows = applicable(changes, keys, delete_when)
     heavy = heavy_or_none(rows if sized_by is None else sized_by, keys, max_group_rows)
+    group = [*keys, sequence_by]
     if heavy is None:
-        # Every key fits a task, so one shuffle by key serves the reduction and both windows. Heavy keys are
-        # reduced before they are shuffled.
-        rows = rows.repartition(*keys)
-    versions = reduce_changes(rows, [*keys, sequence_by], sequence_by)
+        # Every key fits a task, so one shuffle by key serves the reduction and both windows.
+        versions = _reduce_in_place(rows.repartition(*keys), group, sequence_by)
+    else:
+        versions = reduce_changes(rows, group, sequence_by)
 
     if collapse_unchanged:
         untracked = {*keys, sequence_by, *METADATA, *except_columns}
