@@ -71,7 +71,12 @@ def _history(spark, sf_dir):
     lineitem, part = _t(spark, sf_dir, "lineitem", "part")
     updates = feeds.product_updates(lineitem, part)
     return scd.scd2(tidy_products(expect_all_or_drop(updates, PRODUCT_RULES)), ["product_id"],
-                    sized_by=lineitem.select(feeds.key_of("PROD", F.col("l_partkey")).alias("product_id")))
+                    sized_by=_product_keys(lineitem))
+
+
+def _product_keys(lineitem):
+    """One row per sale and per raw price: cheap to count, and no product has more sales or versions."""
+    return lineitem.select(feeds.key_of("PROD", F.col("l_partkey")).alias("product_id"))
 
 
 def _history_table(spark, sf_dir):
@@ -367,7 +372,8 @@ def stream_static_join_product(spark, sf_dir):
 
 def _temporal(spark, sf_dir, before_first):
     versions = _history_table(spark, sf_dir).select("product_id", "price", scd.START_AT, scd.END_AT)
-    joined = as_of_version_join(_sales(spark, sf_dir), versions, "product_id", "Order_date", before_first)
+    joined = as_of_version_join(_sales(spark, sf_dir), versions, "product_id", "Order_date", before_first,
+                                sized_by=_product_keys(*_t(spark, sf_dir, "lineitem")))
     return _ntz(_intervals(joined), "Order_date")
 
 
@@ -467,12 +473,14 @@ def payment_analysis(spark, sf_dir):
 
 @query("price_demand_analysis")
 def price_demand_analysis(spark, sf_dir):
-    return gold.price_demand_analysis(_sales(spark, sf_dir), _history_table(spark, sf_dir))
+    return gold.price_demand_analysis(_sales(spark, sf_dir), _history_table(spark, sf_dir),
+                                      sized_by=_product_keys(*_t(spark, sf_dir, "lineitem")))
 
 
 @query("price_demand_any_product_fallback")
 def price_demand_any_product_fallback(spark, sf_dir):
-    return gold.price_demand_any_product_fallback(_sales(spark, sf_dir), _history_table(spark, sf_dir))
+    return gold.price_demand_any_product_fallback(_sales(spark, sf_dir), _history_table(spark, sf_dir),
+                                                  sized_by=_product_keys(*_t(spark, sf_dir, "lineitem")))
 
 
 @query("customer_behavior_end_to_end")

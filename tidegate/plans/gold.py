@@ -129,15 +129,17 @@ def _price_demand_report(demand: DataFrame, heavy: DataFrame | None) -> DataFram
 
 def price_demand_analysis(sales: DataFrame, product_history: DataFrame, before_first: str = "earliest",
                           max_versions_to_probe: int = MAX_VERSIONS_TO_PROBE,
-                          max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                          max_group_rows: int = MAX_GROUP_ROWS, sized_by: DataFrame | None = None) -> DataFrame:
     """Units sold in each price period against the product's period before; periods without sales are left out.
 
     The history is counted once: demand has at most one row per version, so one measure serves all steps.
+    ``sized_by`` is as in :func:`as_of_version_join`.
     """
     largest = largest_group(product_history, ["product_id"])
     heavy = heavy_or_none(product_history, ["product_id"], max_group_rows, largest)
     joined = as_of_version_join(units_per_time(sales), _priced_versions(product_history, heavy), "product_id",
-                                "Order_date", before_first, max_versions_to_probe, max_group_rows, largest)
+                                "Order_date", before_first, max_versions_to_probe, max_group_rows, largest,
+                                sales if sized_by is None else sized_by)
     demand = (joined.groupBy("product_id", "category", "current_price", "prev_price", "price_direction", START_AT)
                     .agg(F.sum("__units").alias("current_demand")))
     return _price_demand_report(demand, heavy)
@@ -145,7 +147,8 @@ def price_demand_analysis(sales: DataFrame, product_history: DataFrame, before_f
 
 def price_demand_any_product_fallback(sales: DataFrame, product_history: DataFrame,
                                       max_versions_to_probe: int = MAX_VERSIONS_TO_PROBE,
-                                      max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                                      max_group_rows: int = MAX_GROUP_ROWS,
+                                      sized_by: DataFrame | None = None) -> DataFrame:
     """The variant in which the fallback to a first version does not ask for the same product.
 
     A product's first version then also counts every sale, of any product, that came before it. Joining
@@ -156,7 +159,8 @@ def price_demand_any_product_fallback(sales: DataFrame, product_history: DataFra
     versions = _priced_versions(product_history, heavy)
     units = units_per_time(sales)
     own = (as_of_version_join(units, versions.select("product_id", START_AT, END_AT), "product_id", "Order_date",
-                              "drop", max_versions_to_probe, max_group_rows, largest)
+                              "drop", max_versions_to_probe, max_group_rows, largest,
+                              sales if sized_by is None else sized_by)
            .groupBy("product_id", START_AT).agg(F.sum("__units").alias("__own")))
 
     versions = with_first_start(versions, "product_id", "__first", heavy)
