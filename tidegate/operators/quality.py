@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def holds(rule: str) -> Column:
@@ -37,3 +37,9 @@ def expectation_report(df: DataFrame, rules: dict[str, str]) -> DataFrame:
                  F.col(f"failed_{name}").alias("failed"))
         for name in rules])
     return counts.select(F.inline(lines))
+
+
+def report_of(spark: SparkSession, counts: dict[str, int], rules: dict[str, str]) -> DataFrame:
+    """The same report from counts that :func:`observe_rules` has collected."""
+    lines = [(rule, counts["rows_seen"] - counts[f"failed_{rule}"], counts[f"failed_{rule}"]) for rule in rules]
+    return spark.createDataFrame(lines, "rule string, passed bigint, failed bigint")

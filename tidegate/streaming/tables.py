@@ -1,7 +1,8 @@
 """Streaming tables: append flows from CSV folders, change feeds, and merge targets.
 
-A table is a folder of Parquet files with one sub-folder per commit. A micro-batch is a commit; running
-it again after a failure overwrites its own sub-folder and nothing else.
+A table is a folder of Parquet files with one sub-folder per commit. A micro-batch is a commit. When it
+runs again after a failure, what streams may have read already stays as it is, and the rest of its own
+sub-folders is overwritten.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, METADATA
-from ..operators.quality import expect_all_or_drop, observe_rules
+from ..operators.quality import expect_all_or_drop, expectation_report, observe_rules, report_of
 from ..operators.scd import DELETED, applicable, reduce_changes, scd1, scd2
 from ..session import path_exists
 from ..sources.csv_feed import SchemaStore, discover_files, evolve_schema, group_by_header, read_by_header
@@ -29,6 +30,10 @@ def write_commit(df: DataFrame, folder: str, version: int) -> None:
     df.drop(COMMIT_VERSION).write.mode("overwrite").parquet(f"{folder}/{COMMIT_VERSION}={version}")
 
 
+def is_committed(spark: SparkSession, folder: str, version: int) -> bool:
+    return path_exists(spark, f"{folder}/{COMMIT_VERSION}={version}/_SUCCESS")
+
+
 def read_commits(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All commits in ``folder``, none if there is no commit yet. Nothing is inferred from files."""
     if path_exists(spark, folder):
@@ -88,18 +93,17 @@ class RawTable:
             if schema != known:
                 store.save(schema, version)
             rows = read_by_header(spark, schema, groups)
-            seen = Observation()
-            if self.rules:
-                rows = expect_all_or_drop(observe_rules(rows, self.rules, seen), self.rules)
-            stamped = rows.select("*", F.lit("insert").alias(CHANGE_TYPE),
-                                  F.lit(found[0]["seen_at"]).cast("timestamp").alias(COMMIT_TIMESTAMP))
-            write_commit(stamped, self.data, version)
-            if self.rules:
-                counts = seen.get
-                lines = [(rule, counts["rows_seen"] - counts[f"failed_{rule}"], counts[f"failed_{rule}"])
-                         for rule in self.rules]
-                report = spark.createDataFrame(lines, "rule string, passed bigint, failed bigint")
-                write_commit(report.coalesce(1), f"{self.path}/expectations", version)
+            reports, report = f"{self.path}/expectations", None
+            if not is_committed(spark, self.data, version):
+                seen = Observation()
+                kept = expect_all_or_drop(observe_rules(rows, self.rules, seen), self.rules) if self.rules else rows
+                stamped = kept.select("*", F.lit("insert").alias(CHANGE_TYPE),
+                                      F.lit(found[0]["seen_at"]).cast("timestamp").alias(COMMIT_TIMESTAMP))
+                write_commit(stamped, self.data, version)
+                report = report_of(spark, seen.get, self.rules) if self.rules else None
+            if self.rules and not is_committed(spark, reports, version):
+                report = expectation_report(rows, self.rules) if report is None else report
+                write_commit(report.coalesce(1), reports, version)
 
         return (discover_files(spark, folders, max_files).writeStream.foreachBatch(commit)
                 .option("checkpointLocation", f"{self.path}/checkpoint"))
@@ -194,7 +198,8 @@ class MergeTarget:
         inserts = committed.filter(F.col(CHANGE_TYPE) == "insert")
         if self.append_granularity == "commit" and not committed.filter(F.col(CHANGE_TYPE) != "insert").isEmpty():
             inserts = inserts.limit(0)  # a commit that rewrites rows appends none
-        write_commit(inserts, f"{self.path}/appends", version)
+        if not is_committed(spark, f"{self.path}/appends", version):
+            write_commit(inserts, f"{self.path}/appends", version)
 
     def _changes_since(self, base: int | None) -> str:
         """Commits after a base have a folder of their own, so a reader never lists those before it."""
@@ -268,7 +273,8 @@ def enrich_commits(stream: DataFrame, dimension: Callable[[SparkSession], DataFr
     def commit(batch: DataFrame, version: int) -> None:
         write_commit(batch, f"{folder}/arrived", version)
         arrived = spark.read.schema(schema).parquet(f"{folder}/arrived/{COMMIT_VERSION}={version}")
-        write_commit(arrived.join(dimension(spark), key, "inner"), f"{folder}/enriched", version)
+        if not is_committed(spark, f"{folder}/enriched", version):
+            write_commit(arrived.join(dimension(spark), key, "inner"), f"{folder}/enriched", version)
 
     return stream.writeStream.foreachBatch(commit).option("checkpointLocation", f"{folder}/checkpoint")
 
