@@ -79,6 +79,10 @@ def _product_keys(lineitem):
     return lineitem.select(feeds.key_of("PROD", F.col("l_partkey")).alias("product_id"))
 
 
+def _current_table(spark, sf_dir):
+    return _stored(spark, scd.current(_history(spark, sf_dir)), "current_products")
+
+
 def _history_table(spark, sf_dir):
     return _stored(spark, _history(spark, sf_dir), "products")
 
@@ -363,8 +367,7 @@ def stream_static_join_customer(spark, sf_dir):
 
 @query("stream_static_join_product")
 def stream_static_join_product(spark, sf_dir):
-    history = _history_table(spark, sf_dir)
-    products = scd.current(history).select("product_id", "product_name", "category", "price")
+    products = _current_table(spark, sf_dir).select("product_id", "product_name", "category", "price")
     joined = _order_stream(spark, sf_dir).join(products, "product_id").select(
         "order_id", "product_id", "product_name", "category", "price", "quantity")
     return _streamed(spark, joined, "join")
@@ -452,7 +455,7 @@ def customer_behavior(spark, sf_dir):
 @query("product_performance")
 def product_performance(spark, sf_dir):
     rows = gold.product_performance(_order_stream(spark, sf_dir),
-                                    _history_table(spark, sf_dir))
+                                    _current_table(spark, sf_dir))
     return _streamed(spark, rows, "performance")
 
 
