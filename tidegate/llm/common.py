@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import work_dir
 
 
+PACKAGE = Path(__file__).resolve().parents[1]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors, once per application; they may not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{PACKAGE.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            out.write(file, file.relative_to(PACKAGE.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

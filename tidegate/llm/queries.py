@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .parity_join import ngram_jaccard_components
+from .quality import quality_scores
+from .toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,5 +18,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(spark, table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_toxicity, op9_quality_classifier)}
 LLM_ORACLES: dict[str, str] = {}
