@@ -13,10 +13,11 @@ third with tokens in them, so for large sets the chance that no joined word agre
 K <= WORDS all words are joined; words without tokens say nothing, so sets with such a word also enter their smallest
 n // 4 + 1 hashes, of which two linked sets share one. No size of a join group is capped.
 
-*Verify.* Sets that are equal are one class. In each join group all members are first compared with the group's smallest
-id, then, if the group still holds several components, pairs across components are compared. A second sketch of 256
-parity bits bounds the difference from below and rejects most pairs before texts are read; the others are decided on
-the exact shingle sets. So a group of n alike texts costs n comparisons, and no link between components is lost.
+*Verify.* Sets that are equal are one class. In each join group the members are first compared with the group's smallest
+id, then, where the group still holds several components, with a member picked by hash, and what is then still apart is
+compared in pairs across components. A second sketch of 1024 parity bits bounds the difference from below and rejects
+most pairs before texts are read; the others are decided on the exact shingle sets. So a group of n alike texts costs
+about n comparisons, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,13 +34,13 @@ from .spans import mix, shingle_sets
 
 WIDTH = 5
 WORDS = 48
-BITS = 256
+BITS = 1024
 BAND_GROWTH = 1.5
 #: Largest set size of each band; sizes beyond 1e12 words do not occur.
 BAND_TOPS = np.unique(np.floor(3 * BAND_GROWTH ** np.arange(66)).astype(np.int64))
 
 SKETCH = ("doc_id long, n int, set_a long, set_b long, band int, words array<long>, "
-          "p0 long, p1 long, p2 long, p3 long")
+          "parity array<long>")
 
 
 def _bands(n: int) -> range:
@@ -49,7 +50,7 @@ def _bands(n: int) -> range:
 
 
 def _sampling(band) -> int:
-    """The 256 bits take one hash of so many, which keeps them from filling up."""
+    """The parity bits take one hash of so many, which keeps them from filling up."""
     return np.maximum(1, BAND_TOPS[band] // BITS)
 
 
@@ -93,19 +94,19 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows["b"].append(key[1])
                     rows["band"].append(band)
                     rows["words"].append(_word_keys(own, band).view(np.int64) if band >= 0 else np.zeros(0, np.int64))
-                    rows["p"].append(_parity(own, band) if band >= 0 else np.zeros(4, np.int64))
+                    rows["p"].append(_parity(own, band) if band >= 0 else np.zeros(BITS // 64, np.int64))
             lengths = np.concatenate(([0], np.cumsum([len(w) for w in rows["words"]])))
-            parity = np.array(rows["p"], np.int64).reshape(-1, 4)
+            parity = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(rows["p"])), BITS // 64)
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(rows["at"], pa.int64())).cast(pa.int64()), pa.array(rows["n"], pa.int32()),
                  pa.array(rows["a"], pa.int64()), pa.array(rows["b"], pa.int64()), pa.array(rows["band"], pa.int32()),
                  pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(rows["words"]))),
-                 *(pa.array(np.ascontiguousarray(parity[:, k])) for k in range(4))],
-                names=["doc_id", "n", "set_a", "set_b", "band", "words", "p0", "p1", "p2", "p3"])
+                 parity.cast(pa.list_(pa.int64()))],
+                names=["doc_id", "n", "set_a", "set_b", "band", "words", "parity"])
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document and size band: set size, hashes of the whole set, join keys, 256 parity bits."""
+    """One row per document and size band: set size, hashes of the whole set, join keys, parity bits."""
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sketches, SKETCH)
 
 
@@ -134,19 +135,40 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_overlap, "a long, b long")
 
 
+def _distance(x: str, y: str) -> Column:
+    """Number of places in which the parity bits differ."""
+    differ = F.zip_with(f"{x}.parity", f"{y}.parity", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(differ, F.lit(0), lambda total, d: total + d)
+
+
 def _may_link(x: str, y: str) -> Column:
     """Sizes allow a link, and the parity bits differ in no more places than a link allows.
 
     Bands that sample their hashes hold a share of the difference only; six standard deviations are added to it.
     """
-    def of(side, name):
-        return F.col(f"{side}.{name}")
-
-    most = F.floor((of(x, "n") + of(y, "n")) / 7)
-    share = F.element_at(F.array(*(F.lit(int(_sampling(b))) for b in range(len(BAND_TOPS)))), of(x, "band") + 1)
+    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
+    most = F.floor((a + b) / 7)
+    share = F.element_at(F.array(*(F.lit(int(_sampling(k))) for k in range(len(BAND_TOPS)))), F.col(f"{x}.band") + 1)
     allowed = F.when(share == 1, most).otherwise(most / share + 6 * F.sqrt(most / share) + 6)
-    distance = sum((F.bit_count(of(x, p).bitwiseXOR(of(y, p))) for p in ("p0", "p1", "p2", "p3")), F.lit(0))
-    return ((4 * F.least(of(x, "n"), of(y, "n")) >= 3 * F.greatest(of(x, "n"), of(y, "n"))) & (distance <= allowed))
+    return (4 * F.least(a, b) >= 3 * F.greatest(a, b)) & (_distance(x, y) <= allowed)
+
+
+def _nearest(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """(doc_id, hub, band) → for each document the hub nearest by parity bits, of those it may link with: (a, b)."""
+    sides = (pairs.distinct().join(bits.alias("x"), ["doc_id", "band"])
+             .select("hub", "band", F.struct("x.*").alias("x"))
+             .join(bits.select(F.col("doc_id").alias("hub"), "band", F.struct(*bits.columns).alias("y")), ["hub", "band"]))
+    return (sides.filter(_may_link("x", "y"))
+            .groupBy(F.col("x.doc_id").alias("a")).agg(F.min_by("hub", _distance("x", "y")).alias("b")))
+
+
+def _still_open(groups: DataFrame, merged: DataFrame) -> DataFrame:
+    """The members, with their components, of the groups that hold several components."""
+    now = groups.join(merged.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
+        "key", "doc_id", "band", F.coalesce("component", "doc_id").alias("component"))
+    keys = (now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .filter("lo < hi").select("key"))
+    return now.join(keys, "key", "left_semi")
 
 
 def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -183,32 +205,27 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     involved = groups.select("doc_id").distinct()
     texts = stored(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                    .join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
-    bits = stored(spark, reps.join(involved, "doc_id", "left_semi")
-                  .select("doc_id", "n", "band", "p0", "p1", "p2", "p3"), "bits")
-
-    # Every member with the smallest id of its group; of those that may link, the smallest.
-    star = groups.filter("doc_id <> hub").select("doc_id", "hub", "band").distinct()
-    sides = (star.join(bits.alias("x"), ["doc_id", "band"])
-             .select("hub", F.struct("x.*").alias("x"), "band")
-             .join(bits.select(F.col("doc_id").alias("hub"), "band", F.struct(*bits.columns).alias("y")), ["hub", "band"]))
-    star = (sides.filter(_may_link("x", "y")).groupBy(F.col("x.doc_id").alias("a")).agg(F.min("hub").alias("b")))
-    first = stored(spark, linked(star, texts).unionByName(same_id), "links")
-    merged = components(spark, first)
-
-    # Groups that still hold several components: compare across them.
-    now = groups.join(merged.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
-        "key", "doc_id", "band", F.coalesce("component", "doc_id").alias("component"))
-    open_keys = (now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .filter("lo < hi").select("key"))
-    still = now.join(open_keys, "key", "left_semi").join(bits, ["doc_id", "band"])
-    still = stored(spark, still, "open")
-    across = (still.alias("x").join(still.alias("y"), F.expr(
+    bits = stored(spark, reps.join(involved, "doc_id", "left_semi").select("doc_id", "n", "band", "parity"), "bits")
+
+    star = _nearest(groups.filter("doc_id <> hub").select("doc_id", "hub", "band"), bits)
+    links = stored(spark, linked(star, texts).unionByName(same_id), "links")
+    merged = components(spark, links)
+
+    groups = stored(spark, _still_open(groups, merged), "open")
+    order = F.xxhash64("key", "doc_id")
+    picked = groups.groupBy("key").agg(F.min_by("doc_id", order).alias("hub"),
+                                       F.min_by("component", order).alias("hub_component"))
+    star = groups.join(picked, "key").filter("component <> hub_component").select("doc_id", "hub", "band")
+    links = stored(spark, linked(_nearest(star, bits), texts).unionByName(links), "links")
+    merged = components(spark, links)
+
+    groups = _still_open(groups.select("key", "doc_id", "band"), merged)
+    apart = stored(spark, groups.join(bits, ["doc_id", "band"]), "apart")
+    across = (apart.alias("x").join(apart.alias("y"), F.expr(
         "x.key = y.key AND x.doc_id < y.doc_id AND x.component <> y.component") & _may_link("x", "y"))
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
-    second = stored(spark, linked(across, texts), "links")
-    final = merged
-    if not second.isEmpty():
-        final = components(spark, first.unionByName(second))
+    last = stored(spark, linked(across, texts), "links")
+    final = merged if last.isEmpty() else components(spark, links.unionByName(last))
     return (member.join(final.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("component", "rep").alias("component_id"), "n_copies",

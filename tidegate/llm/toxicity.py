@@ -21,7 +21,7 @@ from .spans import IS_BLANK, LOWER, byte_table, pieces, span_hashes, spans
 #: Training documents of either label, those with the smallest hash of their id; all if there are fewer.
 SAMPLE = 1500
 #: Training windows, those with the smallest hash; all if there are fewer.
-SAMPLE_WINDOWS = 40_000
+SAMPLE_WINDOWS = 24_000
 STEPS, STRIDE = 32, 24
 RUN = 4
 DIM, HIDDEN, ATTEND = 4, 6, 6
@@ -348,8 +348,9 @@ def fit_network(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (
     windows = (rows.filter(~apart).mapInArrow(_training_windows, "number long, toxic int, nth long, words array<long>, "
                                                   "runs array<long>, first array<long>")
                .orderBy(F.xxhash64("number", "nth"), "number", "nth", "toxic").limit(SAMPLE_WINDOWS).toArrow())
+    windows = windows.combine_chunks()
     columns = [windows[k].to_pylist() for k in ("number", "toxic")]
-    lists = [[np.array(v, np.int64) for v in windows[k].to_pylist()] for k in ("words", "runs", "first")]
+    lists = [[v.values.to_numpy() for v in windows[k]] for k in ("words", "runs", "first")]
     data = [(n, t == 1, w.view(np.uint64), r.view(np.uint64), f) for n, t, w, r, f in zip(*columns, *lists)]
     if len({w[1] for w in data}) < 2:
         return None
