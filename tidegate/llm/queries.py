@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import work_dir
+from .bpe_automaton import bpe_round_trip
 from .common import table
 from .parity_join import ngram_jaccard_components
 from .quality import quality_scores
+from .token_counts import token_counts
 from .toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +26,20 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache, so that all contents are encoded."""
+    return token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                        work_dir(spark, "token_cache"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_toxicity, op9_quality_classifier)}
+    op1_ngram_jaccard_join, op2_toxicity, op3_token_counts, op5_bpe, op9_quality_classifier)}
 LLM_ORACLES: dict[str, str] = {}

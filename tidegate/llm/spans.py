@@ -117,3 +117,33 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> Iterator[tuple[int, int, np
         fresh = np.ones(len(values), bool)
         fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
         yield first, len(offsets) - 1, values[fresh], owner[fresh]
+
+
+class Memo:
+    """Remembers a row number for each hash it has seen; starts anew beyond ``most`` hashes, which bounds memory.
+
+    ``grow(rows)`` is told how many rows there are before the new ones, and 0 at a new start.
+    """
+
+    def __init__(self, most: int = 1 << 21):
+        self.most, self.keys, self.rows = most, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def look_up(self, hashes: np.ndarray, add) -> np.ndarray:
+        """Row of every one of the distinct ``hashes``; ``add(places, first_row)`` makes rows for those not seen yet."""
+        if len(self.keys) + len(hashes) > self.most:
+            self.__init__(self.most)
+        at = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(hashes), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(at, len(self.keys) - 1)] == hashes
+        out = np.empty(len(hashes), np.int64)
+        out[known] = self.rows[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            first = len(self.keys)
+            add(new, first)
+            out[new] = first + np.arange(len(new))
+            keys = np.concatenate((self.keys, hashes[new]))
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.rows = keys[order], np.concatenate((self.rows, out[new]))[order]
+        return out
