@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import work_dir
 from .bpe_automaton import bpe_round_trip
 from .common import table
+from .decontamination import contaminated
+from .licenses import license_scan
+from .merkle import merkle_fingerprints
 from .parity_join import ngram_jaccard_components
 from .quality import quality_scores
 from .token_counts import token_counts
@@ -36,10 +39,23 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(spark, table(spark, sf_dir, "documents"))
+
+
+def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_toxicity, op3_token_counts, op5_bpe, op9_quality_classifier)}
+    op1_ngram_jaccard_join, op2_toxicity, op3_token_counts, op5_bpe, op6_license_scan,
+    op8_merkle_fingerprints, op9_quality_classifier, op10_benchmark_decontamination)}
 LLM_ORACLES: dict[str, str] = {}
