@@ -17,6 +17,8 @@ from .parity_join import ngram_jaccard_components
 from .quality import quality_scores
 from .token_counts import token_counts
 from .toxicity import toxicity_scores
+from .training_order import training_order
+from .warc import captures_of_pages, revisit_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +37,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         work_dir(spark, "token_cache"))
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -43,6 +49,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisit_digest(captures_of_pages(table(spark, sf_dir, "pages")))
+
+
 def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -56,6 +66,6 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_toxicity, op3_token_counts, op5_bpe, op6_license_scan,
-    op8_merkle_fingerprints, op9_quality_classifier, op10_benchmark_decontamination)}
+    op1_ngram_jaccard_join, op2_toxicity, op3_token_counts, op4_training_order, op5_bpe,
+    op6_license_scan, op7_warc_revisits, op8_merkle_fingerprints, op9_quality_classifier, op10_benchmark_decontamination)}
 LLM_ORACLES: dict[str, str] = {}
