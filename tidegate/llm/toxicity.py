@@ -28,7 +28,9 @@ DIM, HIDDEN, ATTEND = 4, 6, 6
 VOCABULARY = 4_000
 #: Training documents that must hold a word or run for it to be known; rarer ones only tell documents apart.
 LEAST_DOCUMENTS = 4
-EPOCHS, BATCH, RATE = 5, 256, 0.01
+UPDATES, BATCH, RATE = 300, 256, 0.01
+#: Embeddings begin with the evidence of the training documents and move slowly, lest they learn documents by heart.
+RATES = {"word": 0.0003, "gram": 0.0003}
 #: Windows scored at a time.
 SLICE = 512
 THRESHOLD = 0.7
@@ -244,23 +246,18 @@ def train(windows: list[tuple[int, bool, np.ndarray, np.ndarray, np.ndarray]]) -
     own = [np.concatenate((np.zeros((2, 1)), o[:, kept]), axis=1).astype(np.float32)
            for o, kept in ((word_own, word_top), (gram_own, gram_top))]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
-    step = 0
     bad, fine = use[target[use]], use[~target[use]]
-    for _ in range(EPOCHS):
-        # Toxic windows twice over and at most five times as many clean ones, others each time.
-        batch = np.concatenate((np.repeat(bad, 2), rng.permutation(fine)[: max(5 * len(bad), BATCH)]))
-        rng.shuffle(batch)
-        for at in range(0, len(batch), BATCH):
-            step += 1
-            chosen = batch[at: at + BATCH]
-            grad = _gradient(p, [known_words[i] for i in chosen], [known_grams[i] for i in chosen],
-                             [windows[i][4] for i in chosen], target[chosen].astype(np.float32), own)
-            for k, g in grad.items():
-                m, v = moments[k]
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p[k] -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-            p["word"][0] = p["gram"][0] = 0
+    for step in range(1, UPDATES + 1):
+        # One toxic window to two clean ones.
+        chosen = np.concatenate((rng.choice(bad, BATCH // 3), rng.choice(fine, BATCH - BATCH // 3)))
+        grad = _gradient(p, [known_words[i] for i in chosen], [known_grams[i] for i in chosen],
+                         [windows[i][4] for i in chosen], target[chosen].astype(np.float32), own)
+        for k, g in grad.items():
+            m, v = moments[k]
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p[k] -= RATES.get(k, RATE) * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        p["word"][0] = p["gram"][0] = 0
     return net
 
 
