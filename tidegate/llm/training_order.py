@@ -27,6 +27,7 @@ END = "\n"
 SHARD_SLOTS = 1 << 15
 ROUNDS = 6
 NO_ID = -(1 << 63)
+PACKED = "shard int, slots array<long>, packed binary"
 
 
 def _halves(n: int) -> int:
@@ -118,19 +119,48 @@ def write_training_order(spark: SparkSession, docs: DataFrame, folder: str, key:
                 record[:, HEADER:] = np.where(column < held[:, None], data[source], 0)
                 slot = slot_of(np.arange(at, at + len(which)), n, key)
                 at += len(which)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot), pa.FixedSizeBinaryArray.from_buffers(
-                        pa.binary(STRIDE - 1), len(which), [None, pa.py_buffer(record)]).cast(pa.binary())],
-                    names=["slot", "record"])
+                yield _packed(slot, record, shard_slots)
 
     shards = -(-n // shard_slots)
-    cast = rows.mapInArrow(cut, "slot long, record binary").withColumn("shard", (F.col("slot") / shard_slots).cast("int"))
-    (cast.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
-     .select(F.col("record").cast("string").alias("value"))
+    dealt = rows.mapInArrow(cut, PACKED).repartitionById(shards, F.col("shard"))
+    (dealt.mapInArrow(_in_order, "record binary").select(F.col("record").cast("string").alias("value"))
      .write.mode("overwrite").option("lineSep", END).option("compression", "none").text(folder))
     return n
 
 
+def _packed(slot: np.ndarray, record: np.ndarray, shard_slots: int) -> pa.RecordBatch:
+    """The records of each shard together, compressed, so that the shuffle moves few rows and bytes."""
+    order = np.argsort(slot)
+    slot, record = slot[order], record[order]
+    shard = slot // shard_slots
+    cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+    ends = np.append(cuts[1:], len(slot))
+    packed = [pa.compress(np.ascontiguousarray(record[a:b]).tobytes(), codec="zstd", asbytes=True) for a, b in zip(cuts, ends)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shard[cuts].astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.append(cuts, len(slot)), pa.int32()),
+                                                                          pa.array(slot)), pa.array(packed, pa.binary())],
+        names=["shard", "slots", "packed"])
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of one shard by slot. A shard has at most ``shard_slots`` of them, which bounds the memory."""
+    slots, records = [], []
+    for batch in batches:
+        for own, packed in zip(batch.column(1), batch.column(2)):
+            slots.append(own.values.to_numpy())
+            raw = pa.decompress(packed.as_buffer(), len(slots[-1]) * (STRIDE - 1), codec="zstd")
+            records.append(np.frombuffer(raw, np.uint8).reshape(-1, STRIDE - 1))
+    if not slots:
+        return
+    record = np.concatenate(records)
+    del records
+    order = np.argsort(np.concatenate(slots))
+    for at in range(0, len(order), 4096):
+        some = np.ascontiguousarray(record[order[at: at + 4096]])
+        yield pa.RecordBatch.from_arrays([pa.FixedSizeBinaryArray.from_buffers(
+            pa.binary(STRIDE - 1), len(some), [None, pa.py_buffer(some)]).cast(pa.binary())], names=["record"])
+
+
 def read_training_order(spark: SparkSession, folder: str, first_slot: int = 0, slots: int | None = None,
                         shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """(slot, shard, doc_id, part, n_tokens, ids_sha256) of the slots from ``first_slot`` on.
