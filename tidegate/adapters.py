@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .operators.changes import as_change_feed
+from .sources.csv_feed import ANY_AGE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +28,7 @@ def spread(df: DataFrame) -> DataFrame:
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a stream. The glob fits one file as well as a folder of files."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
+    return spark.readStream.schema(schema).options(**ANY_AGE).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
 def _pick(selector: Column, *values) -> Column:

@@ -218,10 +218,14 @@ def oracle_queries() -> dict[str, str]:
             SELECT {_ORDER_COLUMNS} FROM orders_feed WHERE order_id % 2 = 0
             UNION ALL SELECT {_ORDER_COLUMNS} FROM orders_feed WHERE order_id % 2 = 1""",
         "bronze_orders": f"SELECT {_ORDER_COLUMNS} FROM orders_bronze",
-        "bronze_customers": f"""
-            SELECT * REPLACE (CAST(replace(phone_number, '+', '') AS BIGINT) AS phone_number,
-                              trim(customer_name) AS customer_name)
-            FROM (SELECT {_CUSTOMER_COLUMNS} FROM customers_bronze)""",
+        "bronze_customers": f"SELECT {_CUSTOMER_COLUMNS} FROM customers_bronze",
+        "schema_drift_widening": """
+            SELECT order_id, CASE WHEN order_id % 2 = 1 AND order_id % 7 = 0 THEN NULL ELSE quantity END AS quantity,
+                   CASE WHEN order_id % 2 = 0 THEN floor(abs(amount)) ELSE amount END AS amount FROM orders_feed""",
+        "rescued_values": """
+            SELECT order_id, CASE WHEN order_id % 2 = 1 AND order_id % 7 = 0 THEN 'n/a' END AS rescued_quantity
+            FROM orders_feed""",
+        "bronze_orders_bad_text": f"SELECT {_ORDER_COLUMNS} FROM orders_bronze WHERE order_id % 5 <> 0",
         "bronze_products": f"SELECT {_PRODUCT_COLUMNS} FROM products_bronze",
         "expect_drop_orders": f"SELECT {_ORDER_COLUMNS} FROM orders_bronze",
         "expect_drop_customers": f"SELECT {_CUSTOMER_COLUMNS} FROM customers_bronze",

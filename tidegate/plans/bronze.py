@@ -19,3 +19,8 @@ PRODUCT_RULES = {
     "price": "price > 0",
     "expiry_date": "expiry_date is not null",
 }
+
+# Column types that the feeds declare; the others follow their values.
+CUSTOMER_TYPES = {"phone_number": "string", "date_of_birth": "string", "email": "string"}
+ORDER_TYPES = {"quantity": "int", "amount": "double", "order_date": "string"}
+PRODUCT_TYPES = {"price": "double", "expiry_date": "string"}

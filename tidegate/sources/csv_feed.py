@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import csv
 import json
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import path_exists
 
 CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
+# A file counts however old it is. The driver then keeps the names of all files seen; where that is too much, a source
+# folder can be cleaned with Spark's option cleanSource.
+ANY_AGE = {"maxFileAge": "36500d"}
+CORRUPT = "_corrupt_record"
+# Numbers, from narrow to wide. A text counts as a number only if the number is written back the same way, so that
+# telephone numbers and codes with leading zeros stay text.
+NUMBERS = {"int": r"^(0|-?[1-9][0-9]*)$", "bigint": r"^(0|-?[1-9][0-9]*)$",
+           "double": r"^-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][+-]?[0-9]+)?$"}
 
 
 def csv_feed(spark: SparkSession, folder: str, schema: T.StructType,
@@ -21,14 +31,21 @@ def csv_feed(spark: SparkSession, folder: str, schema: T.StructType,
 
     A file whose header differs from the schema stops the stream instead of shifting columns.
     """
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", "false")
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, **ANY_AGE).option("enforceSchema", "false")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(folder)
 
 
 def append_csv(df: DataFrame, folder: str) -> None:
-    df.write.mode("append").option("header", "true").csv(folder)
+    """Blanks around a value are part of it."""
+    (df.write.mode("append").option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(folder))
+
+
+def literal_path(path: str) -> str:
+    """A file name as Spark's readers take it: characters of patterns stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def discover_files(spark: SparkSession, folders: Sequence[str], max_files: int | None = None) -> DataFrame:
@@ -39,7 +56,7 @@ def discover_files(spark: SparkSession, folders: Sequence[str], max_files: int |
                            T.StructField("content", T.BinaryType())])
 
     def one(folder: str) -> DataFrame:
-        reader = spark.readStream.format("binaryFile").schema(schema)
+        reader = spark.readStream.format("binaryFile").schema(schema).options(**ANY_AGE)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         # The timestamp is fixed per micro-batch, also when the batch is run again after a failure.
@@ -88,48 +105,91 @@ def schema_as_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
                                  "column_name string, data_type string")
 
 
-def group_by_header(spark: SparkSession, paths: Iterable[str], parallelism: int = 32) -> dict[tuple, list[str]]:
-    """Files with the same header line belong together. Reads one line per file."""
-    def header(path: str) -> tuple:
-        return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
-
-    paths = sorted(paths)
+def group_by_header(spark: SparkSession, paths: Iterable[str]) -> dict[tuple, list[str]]:
+    """Files with the same header line belong together. One job for all files, whose result is one line per file."""
+    lines = spark.read.text([literal_path(p) for p in sorted(paths)]).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = (lines.filter("at = 0 AND value <> ''").withColumn("place", F.monotonically_increasing_id())
+             .groupBy("file").agg(F.min_by("value", "place").alias("header")))
     groups: dict[tuple, list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for path, columns in zip(paths, pool.map(header, paths)):
-            if columns:
-                groups[columns].append(path)
+    for row in sorted(first.collect()):
+        groups[_column_names(row["header"])].append(unquote(row["file"]))
     return dict(groups)
 
 
-def evolve_schema(spark: SparkSession, known: T.StructType | None, groups: dict[tuple, list[str]],
-                  sampling_ratio: float = 1.0) -> T.StructType:
-    """The known schema, widened by the columns that some header adds. Names match in any case."""
-    fields = list(known or [])
-    seen = {f.name.lower() for f in fields}
-    for columns, paths in groups.items():
-        if all(c.lower() in seen for c in columns):
-            continue
-        inferred = {f.name: f for f in infer_schema(spark, paths, sampling_ratio)}
-        for column in columns:
-            if column.lower() not in seen:
-                fields.append(inferred[column])
-                seen.add(column.lower())
-    return T.StructType(fields)
+def _column_names(header: str) -> tuple:
+    """Names of a header line; a missing or repeated name gets its position."""
+    names = next(csv.reader([header.removeprefix("\ufeff")]))
+    lowered = [n.strip().lower() for n in names]
+    return tuple(f"_c{i}" if not n.strip() else f"{n}{i}" if lowered.count(low) > 1 else n
+                 for i, (n, low) in enumerate(zip(names, lowered)))
 
 
-def read_by_header(spark: SparkSession, schema: T.StructType, groups: dict[tuple, list[str]]) -> DataFrame:
-    """All files as one DataFrame with the stored schema; a column that a file lacks is NULL.
+def read_as_text(spark: SparkSession, known: Sequence[str], groups: dict[tuple, list[str]]) -> DataFrame:
+    """All files as one DataFrame of texts; a column that a file lacks is NULL, and a line with too many or too few
+    values is kept whole in a column of its own. Names match in any case, in the spelling seen first.
 
     CSV binds columns by position, so each group of equal headers is read with its own column order.
     """
-    types = {f.name.lower(): f for f in schema}
+    spelling = {c.lower(): c for c in known}
     parts = []
     for columns, paths in groups.items():
-        order = T.StructType([types[c.lower()] for c in columns])
-        parts.append(spark.read.schema(order).options(**CSV_OPTIONS).csv(paths))
+        names = [spelling.setdefault(c.lower(), c) for c in columns]
+        order = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+        parts.append(spark.read.schema(order).options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
+                     .csv([literal_path(p) for p in paths]))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    missing = [f for f in schema if f.name not in rows.columns]
-    for f in missing:
-        rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return rows.select(*[f.name for f in schema])
+    return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c)
+                         for c in spelling.values()], CORRUPT)
+
+
+def evolve_types(rows: DataFrame, known: dict[str, str], declared: dict[str, str]) -> dict[str, str]:
+    """The type of every column of ``rows``, which hold texts: the declared one, else what all their values allow.
+
+    A new column is a number or a truth value if all its values are. A known number widens (int, bigint, double) to
+    what the numbers among the new values need; other values do not change it. One aggregation without a key.
+    """
+    declared = {c.lower(): t for c, t in declared.items()}
+    open_columns = [c for c in rows.columns if c != CORRUPT and c.lower() not in declared
+                    and known.get(c) in (None, "int", "bigint")]
+    found = {}
+    if open_columns:
+        counts = []
+        for i, c in enumerate(open_columns):
+            value = F.col(c)
+            counts += [F.count(value).alias(f"n{i}"), F.count_if(value.isin("true", "false")).alias(f"boolean{i}")]
+            counts += [F.count_if(value.rlike(p) & value.try_cast(t).isNotNull()).alias(f"{t}{i}") for t, p in NUMBERS.items()]
+        found = rows.agg(*counts).first().asDict()
+    types = {}
+    for c in rows.columns:
+        if c == CORRUPT:
+            continue
+        if c.lower() in declared:
+            types[c] = declared[c.lower()]
+        elif c not in open_columns:
+            types[c] = known[c]
+        else:
+            i, kinds = open_columns.index(c), [*NUMBERS]
+            if known.get(c):
+                widest = next(t for t in kinds if found[f"{t}{i}"] == found[f"double{i}"])
+                types[c] = max(known[c], widest, key=kinds.index)
+            else:
+                fits = [t for t in [*kinds, "boolean"] if found[f"n{i}"] and found[f"{t}{i}"] == found[f"n{i}"]]
+                types[c] = fits[0] if fits else "string"
+    return types
+
+
+def typed(rows: DataFrame, types: dict[str, str], rescued: str | None = None) -> DataFrame:
+    """Texts in their types. A value that does not fit is NULL; ``rescued`` names a map that holds it by column."""
+    columns = [F.col(c).try_cast(t).alias(c) for c, t in types.items()]
+    if rescued:
+        kept = [F.struct(F.lit(c).alias("key"), F.when(misfit(c, t), F.col(c)).alias("value")) for c, t in types.items()]
+        if CORRUPT in rows.columns:
+            kept.append(F.struct(F.lit(CORRUPT).alias("key"), F.col(CORRUPT).alias("value")))
+        held = F.filter(F.array(*kept), lambda e: e["value"].isNotNull())
+        columns.append(F.when(F.size(held) > 0, F.map_from_entries(held)).alias(rescued))
+    return rows.select(*columns, *[c for c in rows.columns if c not in types and c != CORRUPT])
+
+
+def misfit(column: str, kind: str):
+    return F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()

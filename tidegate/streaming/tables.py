@@ -10,14 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, METADATA
-from ..operators.quality import expect_all_or_drop, expectation_report, observe_rules, report_of
+from ..operators.quality import expect_all_or_drop, expectation_report
 from ..operators.scd import DELETED, applicable, reduce_changes, scd1, scd2
 from ..session import path_exists
-from ..sources.csv_feed import SchemaStore, discover_files, evolve_schema, group_by_header, read_by_header
+from ..sources.csv_feed import (ANY_AGE, CORRUPT, SchemaStore, discover_files, evolve_types, group_by_header, misfit,
+                                read_as_text, typed)
 
 MAX_FILES = 1000
 # Written into the rows of a commit; the version is the name of its sub-folder.
@@ -53,12 +54,17 @@ def _with_stamps(schema: T.StructType) -> T.StructType:
 
 @dataclass(frozen=True)
 class RawTable:
-    """An append-only table fed from CSV folders, with quality rules and a stored schema."""
+    """An append-only table fed from CSV folders, with quality rules and a stored schema.
+
+    Values are stored as the texts they came as and get their types when they are read, so a type that has to widen
+    later costs nothing and loses nothing. ``types`` declares columns; the others follow their values.
+    """
 
     name: str
     path: str
     rules: dict[str, str] = field(default_factory=dict)
     comment: str = ""
+    types: dict[str, str] = field(default_factory=dict)
 
     @property
     def data(self) -> str:
@@ -73,8 +79,12 @@ class RawTable:
             raise ValueError(f"table {self.name} has no data yet")
         return _with_stamps(stored)
 
-    def append_flow(self, spark: SparkSession, folders: Sequence[str], max_files: int = MAX_FILES,
-                    sampling_ratio: float = 1.0) -> DataStreamWriter:
+    def describe(self, spark: SparkSession) -> DataFrame:
+        """Columns, their types, and the table's comment."""
+        fields = [(f.name, f.dataType.simpleString(), self.comment) for f in self.schema(spark) if f.name not in METADATA]
+        return spark.createDataFrame(fields, "column_name string, data_type string, table_comment string")
+
+    def append_flow(self, spark: SparkSession, folders: Sequence[str], max_files: int = MAX_FILES) -> DataStreamWriter:
         """New files of one or several folders, into this table. Several folders share one commit order.
 
         ``max_files`` paces a commit, per folder; files beyond it are in the next commits.
@@ -88,39 +98,66 @@ class RawTable:
             if not groups:
                 return
             store = self.schema_store(spark)
-            known = store.load()
-            schema = evolve_schema(spark, known, groups, sampling_ratio)
-            if schema != known:
+            before = store.load()
+            known = {f.name: f.dataType.simpleString() for f in before or []}
+            texts = read_as_text(spark, [*known], groups)
+            types = evolve_types(texts, known, self.types)
+            schema = T.StructType([T.StructField(c, T.StructType.fromDDL(f"x {t}")[0].dataType) for c, t in types.items()])
+            if schema != before:
                 store.save(schema, version)
-            rows = read_by_header(spark, schema, groups)
-            reports, report = f"{self.path}/expectations", None
+            reports = {"expectations": self.rules, "rescued": [c for c, t in types.items() if t != "string"]}
             if not is_committed(spark, self.data, version):
-                seen = Observation()
-                kept = expect_all_or_drop(observe_rules(rows, self.rules, seen), self.rules) if self.rules else rows
+                kept = texts
+                if self.rules:
+                    held = {c: f"__text_{i}" for i, c in enumerate(texts.columns)}
+                    both = texts.select(*[F.col(c).try_cast(types.get(c, "string")).alias(c) for c in texts.columns],
+                                        *[F.col(c).alias(h) for c, h in held.items()])
+                    kept = expect_all_or_drop(both, self.rules).select(*[F.col(h).alias(c) for c, h in held.items()])
                 stamped = kept.select("*", F.lit("insert").alias(CHANGE_TYPE),
                                       F.lit(found[0]["seen_at"]).cast("timestamp").alias(COMMIT_TIMESTAMP))
                 write_commit(stamped, self.data, version)
-                report = report_of(spark, seen.get, self.rules) if self.rules else None
-            if self.rules and not is_committed(spark, reports, version):
-                report = expectation_report(rows, self.rules) if report is None else report
-                write_commit(report.coalesce(1), reports, version)
+            for folder, names in reports.items():
+                if names and not is_committed(spark, f"{self.path}/{folder}", version):
+                    if folder == "expectations":
+                        report = expectation_report(typed(texts, types), self.rules)
+                    else:
+                        counts = texts.agg(F.count(F.lit(1)).alias("n"), *[
+                            F.count_if(misfit(c, types[c])).alias(f"c{i}") for i, c in enumerate(names)])
+                        report = counts.select(F.inline(F.array(*[F.struct(
+                            F.lit(c).alias("column_name"), F.col("n").alias("seen"), F.col(f"c{i}").alias("rescued"))
+                            for i, c in enumerate(names)])))
+                    write_commit(report.coalesce(1), f"{self.path}/{folder}", version)
 
         return (discover_files(spark, folders, max_files).writeStream.foreachBatch(commit)
                 .option("checkpointLocation", f"{self.path}/checkpoint"))
 
     def expectations(self, spark: SparkSession) -> DataFrame:
-        """What the rules rejected so far."""
+        """What the rules rejected so far. A value that does not fit its column breaks rules like a missing one."""
         lines = spark.read.schema("rule string, passed bigint, failed bigint").parquet(f"{self.path}/expectations")
         return lines.groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self.changes(spark).drop(*METADATA)
+    def rescued_values(self, spark: SparkSession) -> DataFrame:
+        """How many values of each typed column did not fit it when they arrived, in rows kept or not."""
+        lines = spark.read.schema("column_name string, seen bigint, rescued bigint").parquet(f"{self.path}/rescued")
+        return lines.groupBy("column_name").agg(F.sum("seen").alias("seen"), F.sum("rescued").alias("rescued"))
+
+    def read(self, spark: SparkSession, rescued: str | None = None) -> DataFrame:
+        """The rows; ``rescued`` names a map with the values that do not fit, and lines that were torn."""
+        return self.changes(spark, rescued).drop(*METADATA)
+
+    def _types(self, spark: SparkSession) -> tuple[dict[str, str], T.StructType]:
+        schema = self.schema(spark)
+        types = {f.name: f.dataType.simpleString() for f in schema if f.name not in METADATA}
+        stored = [T.StructField(c, T.StringType()) for c in (*types, CORRUPT)]
+        return types, T.StructType(stored + [f for f in schema if f.name in METADATA])
 
-    def changes(self, spark: SparkSession) -> DataFrame:
-        return read_commits(spark, self.data, self.schema(spark))
+    def changes(self, spark: SparkSession, rescued: str | None = None) -> DataFrame:
+        types, stored = self._types(spark)
+        return typed(read_commits(spark, self.data, stored), types, rescued)
 
     def stream_changes(self, spark: SparkSession) -> DataFrame:
-        return spark.readStream.schema(self.schema(spark)).parquet(self.data)
+        types, stored = self._types(spark)
+        return typed(spark.readStream.schema(stored).options(**ANY_AGE).parquet(self.data), types)
 
 
 @dataclass(frozen=True)
@@ -185,13 +222,16 @@ class MergeTarget:
     def _publish(self, spark: SparkSession, written: DataFrame, earlier: DataFrame, schema: T.StructType,
                  version: int) -> None:
         """The change feed of this target, and the commits in it that only insert."""
-        last = (earlier.join(written.select(*self.keys).distinct(), list(self.keys), "left_semi")
-                .groupBy(*self.keys).agg(F.max(self.sequence_by).alias("__known")))
+        touched = earlier.join(written.select(*self.keys).distinct(), list(self.keys), "left_semi")
+        # The last state decides between insert and update: a deleted key is absent.
+        last = touched.groupBy(*self.keys).agg(
+            F.max(F.struct(F.col(self.sequence_by), F.col(COMMIT_VERSION), F.col(DELETED))).alias("__last"))
         effective = (written.join(last, list(self.keys), "left")
-                     .filter(F.col("__known").isNull() | (F.col(self.sequence_by) >= F.col("__known"))))
-        kind = (F.when(F.col(DELETED), "delete").when(F.col("__known").isNull(), "insert")
-                 .otherwise("update_postimage"))
-        write_commit(effective.withColumn(CHANGE_TYPE, kind).drop("__known", DELETED), f"{self.path}/feed", version)
+                     .withColumn("__absent", F.col("__last").isNull() | F.col(f"__last.{DELETED}"))
+                     .filter(F.col("__last").isNull() | (F.col(self.sequence_by) >= F.col(f"__last.{self.sequence_by}")))
+                     .filter(~(F.col(DELETED) & F.col("__absent"))).drop("__last"))
+        kind = (F.when(F.col(DELETED), "delete").when(F.col("__absent"), "insert").otherwise("update_postimage"))
+        write_commit(effective.withColumn(CHANGE_TYPE, kind).drop("__absent", DELETED), f"{self.path}/feed", version)
 
         feed_schema = T.StructType([f for f in schema if f.name != DELETED])
         committed = read_commit(spark, f"{self.path}/feed", feed_schema, version)
@@ -253,7 +293,7 @@ class MergeTarget:
 
     def stream_appends(self, spark: SparkSession) -> DataFrame:
         """Inserted rows of qualifying commits, as a stream."""
-        return spark.readStream.schema(self._feed_schema(spark)).parquet(f"{self.path}/appends")
+        return spark.readStream.schema(self._feed_schema(spark)).options(**ANY_AGE).parquet(f"{self.path}/appends")
 
     def _feed_schema(self, spark: SparkSession) -> T.StructType:
         schema = SchemaStore(spark, f"{self.path}/schema").load()
@@ -280,4 +320,4 @@ def enrich_commits(stream: DataFrame, dimension: Callable[[SparkSession], DataFr
 
 
 def stream_commits(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(f"{folder}/enriched")
+    return spark.readStream.schema(schema).options(**ANY_AGE).parquet(f"{folder}/enriched")
