@@ -263,3 +263,36 @@ def test_price_demand_is_sorted_by_category(spark):
     sold = [(p, 1, n) for p in "CAB" for n in range(4)]
     got = [r.category for r in gold.price_demand_analysis(sales(spark, sold), history(spark, spans)).collect()]
     assert got == sorted(got) and len(got) == 12
+
+
+# ---- one answer on every branch
+
+def test_null_sequences_and_text_sequences_on_both_branches(spark):
+    changes = spark.createDataFrame([(1, None, 1), (1, 1, 1), (1, 200000, 2), (2, None, 5)], "k int, seq int, v int")
+    plain, heavy = (rows(scd.scd2(changes, ["k"], "seq", [], max_group_rows=m), "*") for m in (10, 1))
+    assert plain == heavy and len(plain) == 2
+    text = changes.withColumn("seq", F.col("seq").cast("string"))
+    for most in (10, 1):
+        try:
+            scd.scd2(text, ["k"], "seq", [], max_group_rows=most)
+        except TypeError:
+            continue
+        raise AssertionError("a text sequence was taken")
+
+
+def test_previous_value_across_a_chunk_of_null_orders(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (1, 300000, "c")], "k int, o int, v string")
+    heavy = spark.createDataFrame([(1,)], "k int")
+    plain, chunked = (sorted((r.v, r.p and r.p.value) for r in with_previous(df, ["k"], "o", F.col("v"), "p", h).collect())
+                      for h in (None, heavy))
+    assert plain == chunked == [("a", None), ("b", "a"), ("c", "b")]
+
+
+def test_a_version_without_start_never_matches(spark):
+    versions = spark.sql("""SELECT * FROM VALUES (1, CAST(NULL AS TIMESTAMP), TIMESTAMP'2024-02-01', 9),
+        (1, TIMESTAMP'2024-02-01', CAST(NULL AS TIMESTAMP), 10) AS t(k, __START_AT, __END_AT, price)""")
+    facts = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP'2024-01-05', 'x'), (1, TIMESTAMP'2024-02-05', 'y') AS t(k, at, f)")
+    for before, want in (("drop", [("y", 10)]), ("earliest", [("x", 10), ("y", 10)])):
+        for probe, most in ((64, 100), (0, 100), (0, 1)):
+            got = as_of_version_join(facts, versions, "k", "at", before, max_versions_to_probe=probe, max_group_rows=most)
+            assert sorted((r.f, r.price) for r in got.collect()) == want, (before, probe, most)

@@ -46,6 +46,13 @@ def heavy_or_none(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_
     return F.broadcast(heavy) if count <= MAX_BROADCAST_KEYS else heavy
 
 
+def check_order(df: DataFrame, order: str) -> None:
+    """Times, dates and numbers can be cut into chunks; other orders are refused before any path is chosen."""
+    kind = df.schema[order].dataType
+    if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
+        raise TypeError(f"{order} must be a time, a date or a number, not {kind.simpleString()}")
+
+
 def chunk_of(df: DataFrame, order: str, unit: str = "DAY") -> Column:
     """Chunk number along the ordering column; rises with the order."""
     kind = df.schema[order].dataType
@@ -67,6 +74,7 @@ def with_chunks(df: DataFrame, heavy: DataFrame, keys: Sequence[str], order: str
 
 
 def _neighbour(df, keys, order, value, name, heavy, unit, step) -> DataFrame:
+    check_order(df, order)
     pick = F.lag if step < 0 else F.lead
     # Boxed, so that a neighbour whose value is NULL differs from no neighbour at all.
     boxed = F.struct(value.alias("value"))
@@ -76,10 +84,11 @@ def _neighbour(df, keys, order, value, name, heavy, unit, step) -> DataFrame:
 
     chunked = with_chunks(df, heavy, keys, order, unit).withColumn("__value", boxed)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    # Nearest row of the neighbouring chunk: its last row when looking back, its first when looking ahead.
+    # Nearest row of the neighbouring chunk: its last row when looking back, its first when looking ahead. The order is
+    # boxed, because these aggregates skip rows whose order is NULL.
     edge = F.max_by if step < 0 else F.min_by
     borders = (chunked.filter(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK)
-                      .agg(edge("__value", order).alias("__edge")))
+                      .agg(edge("__value", F.struct(order)).alias("__edge")))
     across = Window.partitionBy(*keys).orderBy(CHUNK)
     borders = borders.select(*keys, CHUNK, pick("__edge").over(across).alias("__across"))
     return (chunked.withColumn(name, pick("__value").over(inside))

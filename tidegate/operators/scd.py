@@ -1,6 +1,6 @@
 """Slowly changing dimensions, type 1 (current row) and type 2 (validity intervals), from a change feed.
 
-Rules that hold for both types: rows with a NULL key are ignored; only ``insert`` and
+Rules that hold for both types: rows with a NULL key or a NULL sequence are ignored; only ``insert`` and
 ``update_postimage`` changes apply; a later sequence value wins no matter when it arrives; among equal
 sequence values the later commit wins, then the row that is greatest in column order.
 """
@@ -12,17 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, METADATA, UPSERTS
-from .ordered import MAX_GROUP_ROWS, heavy_or_none, with_next, with_previous
+from .ordered import MAX_GROUP_ROWS, check_order, heavy_or_none, with_next, with_previous
 
 START_AT, END_AT, DELETED = "__START_AT", "__END_AT", "__deleted"
 
 
-def applicable(changes: DataFrame, keys: Sequence[str], delete_when: Column | None = None) -> DataFrame:
-    """Changes that take part in the merge, flagged with whether they delete their key."""
+def applicable(changes: DataFrame, keys: Sequence[str], delete_when: Column | None = None,
+               sequence_by: str | None = None) -> DataFrame:
+    """Changes that take part in the merge, flagged with whether they delete their key.
+
+    A change without a place in the sequence can neither win nor bound a version, so it takes no part.
+    """
     deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
     rows = changes.withColumn(DELETED, deleted)
-    for key in keys:
-        rows = rows.filter(F.col(key).isNotNull())
+    for column in [*keys, *([sequence_by] if sequence_by else [])]:
+        rows = rows.filter(F.col(column).isNotNull())
     if CHANGE_TYPE in changes.columns:
         rows = rows.filter(F.col(CHANGE_TYPE).isin(*UPSERTS) | F.col(DELETED))
     return rows
@@ -52,7 +56,7 @@ def _reduce_in_place(changes: DataFrame, group: Sequence[str], sequence_by: str)
 def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIMESTAMP,
          except_columns: Sequence[str] = METADATA, delete_when: Column | None = None) -> DataFrame:
     """The current row of every key."""
-    latest = reduce_changes(applicable(changes, keys, delete_when), keys, sequence_by)
+    latest = reduce_changes(applicable(changes, keys, delete_when, sequence_by), keys, sequence_by)
     return latest.filter(~F.col(DELETED)).drop(DELETED, *except_columns)
 
 
@@ -66,7 +70,8 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIME
     of each key, such as the raw feed.
     """
     keys = list(keys)
-    rows = applicable(changes, keys, delete_when)
+    check_order(changes, sequence_by)
+    rows = applicable(changes, keys, delete_when, sequence_by)
     heavy = heavy_or_none(rows if sized_by is None else sized_by, keys, max_group_rows)
     group = [*keys, sequence_by]
     if heavy is None:

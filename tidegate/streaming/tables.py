@@ -209,7 +209,7 @@ class MergeTarget:
         if store.load() != batch.schema:
             store.save(batch.schema, version)
         schema = self._row_schema(batch.schema)
-        winners = reduce_changes(applicable(batch, self.keys, self.delete_when), self._group, self.sequence_by)
+        winners = reduce_changes(applicable(batch, self.keys, self.delete_when, self.sequence_by), self._group, self.sequence_by)
         base = self._base_version(spark, before=version)
         write_commit(winners, self._changes_since(base), version)
         if self.publish and self.scd_type == 1:
