@@ -2,8 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidegate.functions import (average_half_up, customer_segment, direction, normalise_name, parse_date,
-                                parse_timestamp, title_case, to_cents)
+from tidegate.functions import (as_amount, average_half_up, customer_segment, direction, exact, normalise_name,
+                                parse_date, parse_timestamp, title_case)
 
 
 def values(spark, texts, expression):
@@ -53,11 +53,12 @@ def test_direction(spark):
 
 
 def test_average_rounds_half_away_from_zero(spark):
-    rows = spark.createDataFrame([(1, 2), (-1, 2), (1, 3), (2, 3), (301, 2), (None, 0)], "c bigint, n bigint")
-    got = [r[0] for r in rows.select(average_half_up(F.col("c"), F.col("n"))).collect()]
+    rows = spark.createDataFrame([("0.01", 2), ("-0.01", 2), ("0.01", 3), ("0.02", 3), ("3.01", 2), (None, 0)], "c string, n bigint")
+    got = [r[0] for r in rows.select(average_half_up(exact(F.col("c")), F.col("n"))).collect()]
     assert got == [0.01, -0.01, 0.0, 0.01, 1.51, None]
 
 
-def test_cents(spark):
-    rows = spark.createDataFrame([(0.29,), (1.1,), (-1.1,), (490.02,)], "a double")
-    assert [r[0] for r in rows.select(to_cents(F.col("a"))).collect()] == [29, 110, -110, 49002]
+def test_sums_of_small_fractions_and_no_numbers(spark):
+    rows = spark.range(1000).select(F.lit(0.004).alias("a")).unionByName(
+        spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "a double"))
+    assert rows.agg(as_amount(F.sum(exact(F.col("a"))))).first()[0] == 4.0

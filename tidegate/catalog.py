@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import adapters as feeds
-from .functions import customer_segment, direction, from_cents, parse_date, parse_timestamp, to_cents
+from .functions import as_amount, customer_segment, direction, exact, parse_date, parse_timestamp
 from .operators import changes as ch, scd
 from .operators.ordered import with_previous
 from .operators.quality import expect_all_or_drop, expectation_report
@@ -431,10 +431,10 @@ def temporal_join_fallback(spark, sf_dir):
 def _event_windows(events):
     totals = (events.withWatermark("at", gold.WATERMARK)
               .groupBy(F.window("at", gold.WINDOW), "event_type")
-              .agg(F.count(F.lit(1)).alias("n"), F.sum(to_cents(F.col("value"))).alias("cents")))
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(exact(F.col("value"))).alias("money")))
     return totals.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                          F.col("window.end").cast("timestamp_ntz").alias("window_end"), "event_type", "n",
-                         from_cents(F.col("cents")).alias("total"))
+                         as_amount(F.col("money")).alias("total"))
 
 
 @query("tumbling_window_agg")
@@ -475,7 +475,7 @@ def customer_segment_of_day(spark, sf_dir):
     spent = orders.groupBy(F.concat(F.lit("CUST"), F.col("o_custkey").cast("string")).alias("customer_id"),
                            "o_orderdate").agg(
         F.count(F.lit(1)).alias("order_count"),
-        from_cents(F.sum(to_cents(F.col("o_totalprice") / 40))).alias("total_spent"))
+        as_amount(F.sum(exact(F.col("o_totalprice") / 40))).alias("total_spent"))
     return spent.drop("o_orderdate").withColumn("customer_segment", customer_segment(F.col("total_spent")))
 
 
@@ -510,6 +510,13 @@ def payment_analysis(spark, sf_dir):
     return gold.payment_analysis(_orders(spark, sf_dir))
 
 
+@query("payment_analysis_fractions")
+def payment_analysis_fractions(spark, sf_dir):
+    """Amounts with five decimals."""
+    orders = _orders(spark, sf_dir).withColumn("amount", F.col("amount") / 1000)
+    return gold.payment_analysis(orders).select("payment_method", "total_revenue", "total_orders", "avg_transaction_value")
+
+
 @query("price_demand_analysis")
 def price_demand_analysis(spark, sf_dir):
     return gold.price_demand_analysis(_sales(spark, sf_dir), _history_table(spark, sf_dir),

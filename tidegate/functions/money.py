@@ -1,19 +1,26 @@
-"""Exact money arithmetic: sums run over whole cents, so they do not depend on row order."""
+"""Exact money arithmetic: sums run over wide decimals, so they lose nothing and do not depend on row order."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+MONEY = "decimal(38,10)"
 
-def to_cents(amount: Column) -> Column:
-    return F.floor(amount.cast("double") * 100 + 0.5)
 
+def exact(amount: Column) -> Column:
+    """An amount with up to ten decimals. Not-a-number and infinity are no amounts and become NULL."""
+    return amount.try_cast(MONEY)
 
-def from_cents(cents: Column) -> Column:
-    return cents.cast("double") / F.lit(100.0)
 
+def finite(amount: Column) -> Column:
+    """The amount as it is, NULL where :func:`exact` has none, so that all aggregates leave out the same rows."""
+    return F.when(exact(amount).isNotNull(), amount.cast("double"))
 
-def average_half_up(cents: Column, count: Column) -> Column:
-    """Average of a cent sum as currency, rounded half away from zero to two digits."""
-    half_up = F.call_function("div", F.abs(cents) * 2 + count, count * 2)
-    return from_cents(F.signum(cents.cast("double")) * half_up)
+
+def as_amount(total: Column) -> Column:
+    return total.cast("double")
+
+
+def average_half_up(total: Column, count: Column) -> Column:
+    """Average of an exact sum, rounded half away from zero to two digits."""
+    return F.round(total / count, 2).cast("double")

@@ -309,7 +309,7 @@ def oracle_queries() -> dict[str, str]:
         "customer_segment": f"""
             SELECT customer_id, order_count, total_spent, {_SEGMENT.format(t="total_spent")} AS customer_segment
             FROM (SELECT 'CUST' || o_custkey AS customer_id, o_orderdate, count(*) AS order_count,
-                         CAST(sum(CAST(floor(o_totalprice / 40 * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100.0
+                         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 4000.0
                            AS total_spent
                   FROM orders GROUP BY ALL)""",
         "customer_behavior": _behavior("closed"),
@@ -322,6 +322,11 @@ def oracle_queries() -> dict[str, str]:
                    {_AVG} AS avg_transaction_value, max(amount) AS max_transaction, min(amount) AS min_transaction
             FROM (SELECT *, CAST(round(amount * 100) AS BIGINT) AS cents FROM orders_clean)
             GROUP BY payment_method""",
+        "payment_analysis_fractions": """
+            SELECT payment_method, CAST(sum(cents) AS DOUBLE) / 100000.0 AS total_revenue, count(order_id) AS total_orders,
+                   ((2 * sum(cents) + 1000 * count(*)) // (2000 * count(*))) / 100.0 AS avg_transaction_value
+            FROM (SELECT *, CAST(round(amount * 100) AS BIGINT) AS cents FROM orders_clean)
+            GROUP BY payment_method""",
         "price_demand_analysis": _demand(
             f"SELECT {_PERIOD} FROM sales o JOIN price_steps p ON o.product_id = p.product_id "
             f"AND (({_IN_RANGE}) OR ({_EARLY}))"),

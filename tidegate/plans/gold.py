@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import average_half_up, customer_segment, direction, from_cents, to_cents
+from ..functions import as_amount, average_half_up, customer_segment, direction, exact, finite
 from ..operators.ordered import (MAX_GROUP_ROWS, heavy_or_none, largest_group, running_total_before,
                                  with_previous)
 from ..operators.scd import END_AT, START_AT, current, with_first_start
 from ..operators.temporal import MAX_VERSIONS_TO_PROBE, as_of_version_join
 
+# Length of the windows and how late a row may come.
 WINDOW, WATERMARK = "5 minutes", "2 minutes"
 EVENT_TIME = "Order_timestamp"
 
@@ -47,45 +48,44 @@ def _per_window(orders: DataFrame, dimension: DataFrame | None, key: str, attrib
 
 def customer_behavior(orders: DataFrame, customers: DataFrame | None, window: str = WINDOW,
                       delay: str = WATERMARK, amount: str = "amount") -> DataFrame:
-    spent = to_cents(F.col(amount))
-    totals = [F.sum(spent).alias("cents"), F.count(spent).alias("priced"),
+    spent = exact(F.col(amount))
+    totals = [F.sum(spent).alias("money"), F.count(spent).alias("priced"),
               F.count(F.lit(1)).alias("purchase_count"),
               F.max(F.to_date("Order_date")).alias("last_purchase_date")]
     attributes = ["customer_name", "city", "state", "gender"]
     rows = _per_window(with_event_time(orders, delay), customers, "customer_id", attributes, totals, window)
-    total = from_cents(F.col("cents"))
+    total = as_amount(F.col("money"))
     return rows.select(
         *window_bounds(), "customer_id", *attributes,
         total.alias("total_spent"), "purchase_count",
-        average_half_up(F.col("cents"), F.col("priced")).alias("avg_purchase_value"),
+        average_half_up(F.col("money"), F.col("priced")).alias("avg_purchase_value"),
         "last_purchase_date", customer_segment(total).alias("customer_segment"))
 
 
 def product_performance(orders: DataFrame, product_history: DataFrame | None, window: str = WINDOW,
                         delay: str = WATERMARK, amount: str = "amount") -> DataFrame:
     products = None if product_history is None else current(product_history)
-    earned = to_cents(F.col(amount))
-    totals = [F.sum(earned).alias("cents"), F.count(earned).alias("priced"),
+    earned = exact(F.col(amount))
+    totals = [F.sum(earned).alias("money"), F.count(earned).alias("priced"),
               F.sum(F.col("quantity").cast("int")).alias("units_sold"),
               F.count(F.lit(1)).alias("order_frequency")]
     attributes = ["product_name", "category", "price"]
     rows = _per_window(with_event_time(orders, delay), products, "product_id", attributes, totals, window)
     return rows.select(
         *window_bounds(), "product_id", *attributes,
-        from_cents(F.col("cents")).alias("total_revenue"), "units_sold", "order_frequency",
-        average_half_up(F.col("cents"), F.col("priced")).alias("avg_revenue_per_order"))
+        as_amount(F.col("money")).alias("total_revenue"), "units_sold", "order_frequency",
+        average_half_up(F.col("money"), F.col("priced")).alias("avg_revenue_per_order"))
 
 
 def payment_analysis(orders: DataFrame, amount: str = "amount") -> DataFrame:
-    value = F.col(amount).cast("double")
-    cents = to_cents(value)
+    value, money = finite(F.col(amount)), exact(F.col(amount))
     totals = orders.groupBy("payment_method").agg(
-        F.sum(cents).alias("cents"), F.count(cents).alias("priced"),
+        F.sum(money).alias("money"), F.count(money).alias("priced"),
         F.count("order_id").alias("total_orders"),
         F.max(value).alias("max_transaction"), F.min(value).alias("min_transaction"))
     return totals.select(
-        "payment_method", from_cents(F.col("cents")).alias("total_revenue"), "total_orders",
-        average_half_up(F.col("cents"), F.col("priced")).alias("avg_transaction_value"),
+        "payment_method", as_amount(F.col("money")).alias("total_revenue"), "total_orders",
+        average_half_up(F.col("money"), F.col("priced")).alias("avg_transaction_value"),
         "max_transaction", "min_transaction")
 
 
