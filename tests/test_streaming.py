@@ -7,7 +7,7 @@ from tidegate.operators.changes import METADATA, as_change_feed
 from tidegate.plans import gold
 from tidegate.plans.bronze import CUSTOMER_RULES, ORDER_RULES, PRODUCT_RULES
 from tidegate.plans.silver import clean_customers, clean_orders, clean_products
-from tidegate.sources.csv_feed import SchemaStore, csv_feed, infer_and_store_schema
+from tidegate.sources.csv_feed import SchemaStore, append_csv, csv_feed, infer_and_store_schema
 from tidegate.streaming.runs import append_parquet, run_available
 from tidegate.streaming.tables import MergeTarget, RawTable, enrich_commits, stream_commits
 
@@ -252,3 +252,72 @@ def test_from_files_to_results(spark, tmp_path):
     assert rows(performance, "product_id", "price", "units_sold", "order_frequency") == [("p1", 12.0, 4, 3)]
     demand = gold.price_demand_analysis(orders, merged["products"].read(spark))
     assert rows(demand, "category", "current_price", "current_demand") == [("Iron", 10.0, 13)]
+
+
+# ---- lossless ingest
+
+def _ingest(spark, tmp_path, table, deliveries):
+    for n, files in enumerate(deliveries):
+        for name, text in files.items():
+            write(tmp_path / "in", name, text, n)
+        run_available(table.append_flow(spark, [str(tmp_path / "in")]))
+
+
+def test_types_widen_and_misfits_are_rescued(spark, tmp_path):
+    table = RawTable("t", str(tmp_path / "t"))
+    _ingest(spark, tmp_path, table, [
+        {"a.csv": "id,amount\n1,5\n2,6\n", "b.csv": "amount,id\n5.75,3\n"}, {"c.csv": "id,amount\nA4,7e3\n12345678901,\n"}])
+    got = rows(table.read(spark, rescued="kept").withColumn("kept", F.col("kept.id")), "id", "amount", "kept")
+    assert got == sorted([(1, 5.0, None), (2, 6.0, None), (3, 5.75, None), (None, 7000.0, "A4"), (12345678901, None, None)], key=str)
+    assert rows(table.rescued_values(spark), "column_name", "rescued") == [("amount", 0), ("id", 1)]
+
+
+def test_a_text_in_a_number_column_breaks_its_rule_and_not_the_feed(spark, tmp_path):
+    table = RawTable("t", str(tmp_path / "t"), {"quantity": "quantity > 0"}, "orders", {"quantity": "int", "phone": "string"})
+    _ingest(spark, tmp_path, table, [{"a.csv": "id,quantity,phone\n1,n/a,+4401\n2,3,007\n"}, {"b.csv": "id,quantity,phone\n3,4,1\n"}])
+    assert rows(table.read(spark), "id", "quantity", "phone") == [(2, 3, "007"), (3, 4, "1")]
+    assert rows(table.expectations(spark), "rule", "passed", "failed") == [("quantity", 2, 1)]
+    assert rows(table.rescued_values(spark).filter("rescued > 0"), "column_name", "rescued") == [("quantity", 1)]
+    assert {r.table_comment for r in table.describe(spark).collect()} == {"orders"}
+
+
+def test_old_files_and_odd_names_are_read_once(spark, tmp_path):
+    table = RawTable("t", str(tmp_path / "t"))
+    write(tmp_path / "in", "sales1.csv", "id\n2\n", 0)
+    write(tmp_path / "in", "sales[1].csv", "id\n1\n", 0)
+    write(tmp_path / "in", "a b%20{x}.csv", "id\n5\n", 0)
+    run_available(table.append_flow(spark, [str(tmp_path / "in")]))
+    write(tmp_path / "in", "late.csv", "id\n3\n", -30 * 86400)
+    write(tmp_path / "in", "new.csv", "id\n4\n", 86400)
+    run_available(table.append_flow(spark, [str(tmp_path / "in")]))
+    assert rows(table.read(spark), "id") == [(1,), (2,), (3,), (4,), (5,)]
+
+
+def test_jobs_for_headers_do_not_grow_with_files(spark, tmp_path):
+    from tidegate.sources.csv_feed import group_by_header
+
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for count in (40, 120):
+        for n in range(count):
+            write(tmp_path / str(count), f"{n}.csv", f"id,{'v' if n % 2 else 'w'}\n{n},1\n")
+        group = f"headers-{count}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = group_by_header(spark, [str(p) for p in (tmp_path / str(count)).iterdir()])
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+        assert sorted(found) == [("id", "v"), ("id", "w")]
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[0] == jobs[1]
+
+
+def test_csv_keeps_blanks(spark, tmp_path):
+    df = spark.createDataFrame([("  x ", 1)], "s string, i int")
+    append_csv(df, str(tmp_path / "out"))
+    assert rows(spark.read.schema(df.schema).option("header", "true").csv(str(tmp_path / "out")), "s", "i") == [("  x ", 1)]
+
+
+def test_change_kinds_around_deletes(spark, tmp_path):
+    target = MergeTarget("t", str(tmp_path / "t"), ("id",), sequence_by="seq", delete_when=F.col("gone"))
+    for version, (i, seq, gone) in enumerate([(1, 1, False), (1, 2, True), (1, 3, False), (9, 4, True), (1, 5, False)]):
+        target.merge(spark.createDataFrame([(i, seq, gone)], "id int, seq int, gone boolean"), version)
+    assert rows(target.feed(spark), "seq", "_change_type") == [
+        (1, "insert"), (2, "delete"), (3, "insert"), (5, "update_postimage")]
