@@ -21,8 +21,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if value is None:
         return "NULL"
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
     if hasattr(value, "tzinfo") and value.tzinfo is not None:
         value = value.replace(tzinfo=None)
     return repr(float(value)) if isinstance(value, float) else str(value)
