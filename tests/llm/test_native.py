@@ -44,6 +44,9 @@ def test_base_phrases_against_plain_python(spark):
 
 def test_edited_license_texts_are_found_over_neighbouring_diagonals(spark):
     rows = {r.doc_id: r for r in license_scan(spark, documents(spark, LICENSED)).collect()}
+    half = "redistribution and use in source and binary forms with or without asking is fine"
+    twice = license_scan(spark, spark.createDataFrame([(1, half)] * 3, SCHEMA)).collect()
+    assert len(twice) == 3 and {(r.labels, r.n_spans) for r in twice} == {("", 0)}
     assert rows[6].labels == "mit" and rows[6].base_labels == "" and 0.6 <= rows[6].score < 1
     assert rows[7].labels == "reserved" and rows[7].score == 1 and rows[8].labels == "" and rows[8].score == 0
 

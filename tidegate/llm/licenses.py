@@ -54,8 +54,7 @@ def templates(spark: SparkSession) -> DataFrame:
 def license_scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...) → (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_spans).
 
-    One row per distinct (doc_id, text); repeated rows count once per row. A null text is empty; a text without matches
-    has n_base 0, null places, empty labels and score 0. score is the largest share of a license found. Other columns
+    One row per row of ``docs``; repeated rows have the same result. A null text is empty; a text without matches has n_base 0, null places, empty labels and score 0. score is the largest share of a license found. Other columns
     are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"),
@@ -66,10 +65,10 @@ def license_scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = (rows.select("doc_id", "version", "words", F.posexplode(hashes).alias("place", "pair"))
              .join(F.broadcast(templates(spark)), "pair")
              .filter((F.get("words", F.col("place")) == F.col("word")) & (F.get("words", F.col("place") + 1) == F.col("second")))
-             .select("doc_id", "version", "template", "label", "base", "pairs", (F.col("place") - F.col("at")).alias("diagonal")))
+             .select("doc_id", "version", "template", "label", "base", "pairs", "at", (F.col("place") - F.col("at")).alias("diagonal")))
     keys = ["doc_id", "version", "template", "label", "base", "pairs"]
-    votes = found.groupBy(*keys, "diagonal").agg(F.count(F.lit(1)).alias("votes"))
-    # Repeated rows vote once each; a diagonal has at most one vote per pair and row.
+    # A place of the license votes once on a diagonal, also if the row is there several times.
+    votes = found.groupBy(*keys, "diagonal").agg(F.size(F.collect_set("at")).alias("votes"))
     complete = votes.filter("base AND votes >= pairs").select(
         *keys, "diagonal", F.lit(1.0).alias("share"))
     along = Window.partitionBy("doc_id", "version", "template").orderBy("diagonal")
