@@ -107,6 +107,23 @@ def test_benchmark_items_exact_reworded_and_inconsistent(spark):
     assert contaminated(spark, spark.createDataFrame([], SCHEMA), items).collect() == []
 
 
+def found_in(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    return {(r.doc_id, r.item_id): r for r in contaminated(spark, docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+
+def test_benchmark_items_in_other_capitals_and_spacing(spark):
+    same = ITEMS[0][1]
+    renamed = same.replace("Anna", "Clara").replace("Bernd", "David").replace("12", "7").replace("5", "3")
+    texts = [same.lower(), same.upper(), same.title(), same.replace(" ", "  "), same.replace(" ", "\n"), same.replace("to Bernd", "to\nBernd"),
+             same.replace("Bernd", '"Bernd"'), same.replace("Anna", "(Anna)"), renamed.replace(" ", "\n"), renamed.replace("David", "“David”"),
+             "Question:\n" + renamed, "a heading\n" + renamed, same.lower().replace("12", "7")]
+    got = found_in(spark, [f"lead: {t} end" for t in texts] + texts, ITEMS)
+    assert set(got) == {(i, 1) for i in range(2 * len(texts))}
+    assert all(got[i, 1].coverage == 1 and not got[i, 1].reworded for i in range(8))
+    assert all(got[i, 1].reworded for i in range(8, len(texts)))
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     from tidegate.llm import decontamination
 

@@ -1,10 +1,12 @@
 """Benchmark decontamination by templates.
 
-Numbers, names and units become typed placeholders, in documents and in benchmark items. Windows of five words of these
-templates are joined by hash and compared word by word. Matches that lie on one diagonal (place in the document minus
-place in the item) are counted together; an item is in a document if a diagonal has three quarters of the item's windows,
-and if the placeholders are filled consistently: each filling of the item has one counterpart in the document and the
-other way round. So a question whose numbers or names were replaced throughout is caught too. Built-in functions only.
+A text has two forms. In the plain one numbers and units become typed placeholders and all else is lower-cased words; in
+the other one names become placeholders too. Capitals decide what a name is, so a text in other capitals meets an item in
+the plain form, and one with other names in the second. Windows of five places of these forms are joined by hash and
+compared place by place. Matches that lie on one diagonal (place in the document minus place in the item) are counted
+together; an item is in a document if a diagonal has three quarters of the windows of one of the item's forms, and if the
+placeholders are filled consistently: each filling of the item has one counterpart in the document and the other way
+round. So a question whose numbers or names were replaced throughout is caught too. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -24,89 +26,166 @@ UNITS = ("mm", "cm", "m", "km", "in", "ft", "mi", "g", "kg", "mg", "lb", "oz", "
          "feet", "inches", "grams", "kilograms", "liters", "litres", "seconds", "minutes", "hours", "days", "weeks", "months",
          "years", "degrees")
 NAME = "\x01"
+#: Windows of the plain form and of the form with names. Where one begins and its kind are kept as begin * KINDS + kind.
+PLAIN, NAMED, KINDS = 0, 1, 8
 
 
-def raw_words(text: Column) -> Column:
-    """Words in lower case without punctuation; a capitalised word inside a sentence carries a mark in front."""
-    marked = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), NAME, " "),
-                              r"(?<=[\p{Ll}\p{N},;:] )(?=\p{Lu}\p{Ll})", NAME)
-    return F.array_remove(F.split(F.lower(F.regexp_replace(marked, r"[^\p{L}\p{N}\x01]+", " ")), " "), "")
+def marked_text(text: Column) -> Column:
+    """Words in their own capitals, one blank between them; a capitalised word inside a sentence carries a mark in front.
+
+    Line breaks, quotes, brackets and dashes are blanks here; a name does not begin after . ! or ? and a blank.
+    """
+    even = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}.!?,;:]+", " ")
+    marked = F.regexp_replace(even, r"(?<=[\p{Ll}\p{N},;:] )(?=\p{Lu}\p{Ll})", NAME)
+    return F.regexp_replace(marked, r"[ .!?,;:]+", " ")
+
+
+def _split(marked: Column) -> Column:
+    return F.array_remove(F.split(F.lower(marked), " "), "")
+
+
+def _is_number(word: Column) -> Column:
+    return (word >= "0") & (word < ":")
 
 
-def template(words: Column) -> Column:
+def _plain_form(words: Column) -> Column:
     """A unit is one only after a number."""
-    def kind(word, i):
-        after_number = (i > 0) & F.get(words, i - 1).rlike("^[0-9]")
-        return (F.when(word.startswith(NAME), F.lit("<name>")).when(word.rlike("^[0-9]"), F.lit("<number>"))
-                .when(word.isin(*UNITS) & after_number, F.lit("<unit>")).otherwise(word))
+    return F.transform(words, lambda word, i: F.when(_is_number(word), F.lit("<number>"))
+                       .when(word.isin(*UNITS) & (i > 0) & _is_number(F.get(words, i - 1)), F.lit("<unit>")).otherwise(word))
 
-    return F.transform(words, kind)
 
+def _with_forms(rows: DataFrame) -> DataFrame:
+    """Adds the marked text, its words, their plain form, and the places (form, first word) of the form with names.
 
-def _windows(form: Column) -> Column:
-    """Hash of each window; a text with fewer words has none."""
-    places = F.when(F.size(form) >= WIDTH, F.sequence(F.lit(0), F.size(form) - WIDTH)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(*(F.get(form, i + k) for k in range(WIDTH))))
+    A text without names has no such places.
+    """
+    rows = rows.withColumn("marked", marked_text(F.col("text")))
+    rows = rows.withColumn("words", _split(F.replace("marked", F.lit(NAME), F.lit(""))))
+    rows = rows.withColumn("form", _plain_form(F.col("words")))
+    places = F.transform(_split(F.col("marked")), lambda word, i: F.struct(
+        F.when(word.startswith(NAME), F.lit("<name>")).otherwise(F.get("form", i)).alias("form"), i.alias("at")))
+    none = F.array().cast("array<struct<form:string,at:int>>")
+    return rows.withColumn("named", F.when(F.contains("marked", F.lit(NAME)), places).otherwise(none))
 
 
 def _is_slot(word: Column) -> Column:
-    return word.isin("<name>", "<number>", "<unit>")
+    return word.startswith("<")
+
+
+def _places(column: str) -> Column:
+    """Where a window can begin; a text with fewer words has none."""
+    last = F.size(column) - WIDTH
+    return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+
+def _begins() -> Column:
+    """All windows of the plain form, and those with a name of the other one, which are new."""
+    last = F.size("named") - WIDTH
+    names = F.filter(F.transform("named", lambda p, i: F.when(p["form"] == "<name>", i)), lambda i: i.isNotNull())
+    near = F.array_distinct(F.flatten(F.transform(names, lambda i: F.sequence(
+        F.greatest(i - (WIDTH - 1), F.lit(0)), F.least(i, last)))))
+    named = F.when(last >= 0, near).otherwise(F.array().cast("array<int>"))
+    return F.concat(F.transform(_places("words"), lambda i: i * KINDS + PLAIN), F.transform(named, lambda i: i * KINDS + NAMED))
+
+
+def _parts(column: str, first: Column) -> list[Column]:
+    parts = [F.get(column, first + k) for k in range(WIDTH)]
+    return [p["form"] for p in parts] if column == "named" else parts
+
+
+def _key(kind: int, parts: list[Column]) -> Column:
+    return F.xxhash64(F.lit(kind), *parts)
+
+
+def _fill(first: Column) -> Column:
+    """The words at the places of a window of the form with names."""
+    def words(i):
+        at = F.get("named", i)["at"]
+        return F.array_join(F.slice("words", at + 1, F.coalesce(F.get("named", i + 1)["at"], F.size("words")) - at), " ")
+
+    return F.array(*(words(first + k) for k in range(WIDTH)))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """One row per item and window that says something. Items of fewer than five words have none and are never found."""
-    rows = items.filter("item_id IS NOT NULL").select("item_id", raw_words(F.col("text")).alias("item_words")).distinct()
-    rows = rows.withColumn("item_form", template(F.col("item_words")))
-    rows = rows.select("item_id", "item_words", "item_form", F.posexplode(_windows(F.col("item_form"))).alias("item_place", "window"))
-    form = F.slice("item_form", F.col("item_place") + 1, WIDTH)
-    rows = rows.select("item_id", "item_place", "window", form.alias("item_form"),
-                       F.slice("item_words", F.col("item_place") + 1, WIDTH).alias("item_words"))
+    """One row per form of an item and window that says something. Items of fewer than five words have none and are never
+    found.
+
+    An item may follow a colon or a heading in a document, so it has a further form in which its first word is a name.
+    """
+    rows = items.filter("item_id IS NOT NULL").select("item_id", "text")
+    alone = _with_forms(rows).withColumn("variant", F.xxhash64("marked"))
+    inside = _with_forms(rows.withColumn("text", F.concat(F.lit(", "), "text"))).withColumn("variant", F.xxhash64("marked"))
+    plain = alone.select("item_id", F.lit(PLAIN).alias("kind"), "variant", "words", "form", F.explode(_places("form")).alias("item_place"))
+    plain = plain.select("item_id", "kind", "variant", "item_place", F.col("item_place").alias("item_at"),
+                         F.array(*_parts("form", F.col("item_place"))).alias("item_form"),
+                         F.array(*_parts("words", F.col("item_place"))).alias("item_words"))
+    named = alone.unionByName(inside).select("item_id", F.lit(NAMED).alias("kind"), "variant", "words", "named",
+                                             F.explode(_places("named")).alias("item_place"))
+    named = named.select("item_id", "kind", "variant", "item_place", F.get("named", F.col("item_place"))["at"].alias("item_at"),
+                         F.array(*_parts("named", F.col("item_place"))).alias("item_form"),
+                         _fill(F.col("item_place")).alias("item_words"))
+    rows = plain.unionByName(named).distinct()
     rows = rows.filter(F.size(F.filter("item_form", lambda w: ~_is_slot(w))) >= LEAST_WORDS)
-    totals = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    return rows.join(totals, "item_id")
+    parts = [F.get("item_form", F.lit(k)) for k in range(WIDTH)]
+    rows = rows.withColumn("window", F.when(F.array_contains("item_form", "<name>"), _key(NAMED, parts)).otherwise(_key(PLAIN, parts)))
+    totals = rows.groupBy("item_id", "kind", "variant").agg(F.count(F.lit(1)).alias("n_windows"))
+    return rows.join(totals, ["item_id", "kind", "variant"])
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...), items (item_id, text, ...) → (doc_id, item_id, first_word, coverage, reworded).
 
-    One row per document and item found in it: where it begins (words from 0), the share of the item's windows on the
-    best diagonal, and whether placeholders are filled otherwise than in the item. Null and empty texts hold and give
-    nothing, rows without id are left out, repeated rows count once. Other columns are ignored.
+    One row per document and item found in it: where it begins (words from 0), the share of the windows of one of the
+    item's forms on the best diagonal, and whether placeholders are filled otherwise than in the item. Null and empty texts
+    hold and give nothing, rows without id are left out, repeated rows count once. Other columns are ignored.
     """
     windows = benchmark_windows(items)
     number = windows.count()
     passes = -(-number // BLOCK)
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"),
-                                                   F.xxhash64("text").alias("version"), raw_words(F.col("text")).alias("words"))
-    rows = rows.withColumn("form", template(F.col("words")))
-    rows = rows.select("doc_id", "version", "words", "form", F.posexplode(_windows(F.col("form"))).alias("place", "window"))
+    rows = _with_forms(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"),
+                                                                F.xxhash64("text").alias("version"), "text"))
+    rows = rows.select("doc_id", "version", "words", "form", "named", F.explode(_begins()).alias("begin"))
+    at, own = F.shiftright("begin", 3), F.col("begin").bitwiseAND(KINDS - 1)
+    rows = rows.withColumn("at", at).withColumn("own", own)
+    at, own = F.col("at"), F.col("own")
+    rows = rows.withColumn("window", F.when(own == PLAIN, _key(PLAIN, _parts("form", at))).otherwise(_key(NAMED, _parts("named", at))))
+    # A window without names stands in both forms, here with its place in the plain one.
+    place = F.when((own == PLAIN) & (F.col("kind") == NAMED) & (F.size("named") > 0),
+                   F.size(F.filter("named", lambda p: p["at"] <= at)) - 1).otherwise(at)
+    first = F.when(own == PLAIN, at).otherwise(F.get("named", at)["at"])
     hits = None
     for i in range(max(1, passes)):
         block = windows
         if passes > 1:
-            block = windows.filter(F.pmod(F.xxhash64("item_id", "item_place"), F.lit(passes)) == i)
-        some = rows.join(F.broadcast(block), "window").filter(F.slice("form", F.col("place") + 1, WIDTH) == F.col("item_form"))
+            block = windows.filter(F.pmod(F.xxhash64("item_id", "kind", "variant", "item_place"), F.lit(passes)) == i)
+        some = rows.join(F.broadcast(block), "window").filter(
+            F.when(own == PLAIN, F.array(*_parts("form", at))).otherwise(F.array(*_parts("named", at))) == F.col("item_form"))
+        some = some.withColumn("filled", F.when(own == PLAIN, F.array(*_parts("words", at))).otherwise(_fill(at)))
         # Each window answers for its placeholders.
         slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.struct(
-            F.get("item_form", k).alias("form"), F.get("item_words", k).alias("item"),
-            F.get("words", F.col("place") + k).alias("doc"))), lambda s: _is_slot(s["form"]))
-        some = some.select("doc_id", "version", "item_id", "n_windows", (F.col("place") - F.col("item_place")).alias("diagonal"),
-                           "item_place", F.transform(slots, lambda s: F.struct(s["item"], s["doc"])).alias("slots"))
+            F.get("item_form", k).alias("form"), F.get("item_words", k).alias("item"), F.get("filled", k).alias("doc"))),
+            lambda s: _is_slot(s["form"]))
+        some = some.select("doc_id", "version", "item_id", "kind", "variant", "n_windows", (place - F.col("item_place")).alias("diagonal"),
+                           "item_place", (first - F.col("item_at")).alias("first"),
+                           F.transform(slots, lambda s: F.struct(s["item"], s["doc"])).alias("slots"))
         hits = some if hits is None else hits.unionByName(some)
-    keys = ["doc_id", "version", "item_id", "n_windows", "diagonal"]
+    keys = ["doc_id", "version", "item_id", "kind", "variant", "n_windows", "diagonal"]
     # An item's windows bound what comes together here.
-    spans = hits.groupBy(*keys).agg(F.collect_set("item_place").alias("places"),
+    spans = hits.groupBy(*keys).agg(F.collect_set("item_place").alias("places"), F.min_by("first", "item_place").alias("first"),
                                     F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    one_to_one = ((F.size(F.array_distinct(F.transform("slots", lambda s: s["item"]))) == F.size("slots"))
-                  & (F.size(F.array_distinct(F.transform("slots", lambda s: s["doc"]))) == F.size("slots")))
-    spans = spans.select("doc_id", "item_id", (F.size("places") / F.col("n_windows")).alias("coverage"), "diagonal",
-                         F.exists("slots", lambda s: s["item"] != s["doc"]).alias("reworded"), one_to_one.alias("fits"))
+    spans = spans.select("doc_id", "item_id", (F.size("places") / F.col("n_windows")).alias("coverage"), "first",
+                         F.exists("slots", lambda s: s["item"] != s["doc"]).alias("reworded"), _one_to_one("slots").alias("fits"))
     found = spans.filter(F.col("fits") & (F.col("coverage") >= LEAST_SHARE))
-    best = F.max_by(F.struct(F.col("diagonal").cast("long").alias("first_word"), "coverage", "reworded"),
-                    F.struct("coverage", -F.col("diagonal")))
+    best = F.max_by(F.struct(F.col("first").cast("long").alias("first_word"), "coverage", "reworded"),
+                    F.struct("coverage", -F.col("first"), "reworded"))
     return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
+def _one_to_one(slots: Column | str) -> Column:
+    return ((F.size(F.array_distinct(F.transform(slots, lambda s: s["item"]))) == F.size(slots))
+            & (F.size(F.array_distinct(F.transform(slots, lambda s: s["doc"]))) == F.size(slots)))
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found."""
     bad = contaminated(spark, docs.select("doc_id", "text"), items).select("doc_id").distinct()
