@@ -124,6 +124,18 @@ def test_benchmark_items_in_other_capitals_and_spacing(spark):
     assert all(got[i, 1].reworded for i in range(8, len(texts)))
 
 
+def test_benchmark_items_of_numbers_and_of_few_words(spark):
+    items = [(1, "Compute 12 + 15 - 7 * 3"), (2, "Add 3 17 24 58 and 91"), (3, "Two plus 5?"), (4, "Why"), (5, "7 8 9 10")]
+    texts = [f"lead, words: {t}; more text" for _, t in items] + [
+        "compute 12 15 7 4 and Add 3 17 24 59 and 91", "COMPUTE 12 15\n7 3 add", "two plus 6", "7 8 9 and 10", "whys"]
+    got = found_in(spark, texts, items)
+    assert set(got) == {(i, i + 1) for i in range(5)} | {(6, 1)}
+    assert all(r.coverage == 1 and not r.reworded for r in got.values()) and got[0, 1].first_word == 2
+    # A number-heavy part that is quoted without the rest of the item.
+    long = [(1, "Add 3 17 24 58 61 72 83 94 15 26 37 48 59 60 and tell the class it")]
+    assert set(found_in(spark, [long[0][1].split(" tell")[0], "add 3 17 24 58 61"], long)) == {(0, 1)}
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     from tidegate.llm import decontamination
 

@@ -6,7 +6,9 @@ the plain form, and one with other names in the second. Windows of five places o
 compared place by place. Matches that lie on one diagonal (place in the document minus place in the item) are counted
 together; an item is in a document if a diagonal has three quarters of the windows of one of the item's forms, and if the
 placeholders are filled consistently: each filling of the item has one counterpart in the document and the other way
-round. So a question whose numbers or names were replaced throughout is caught too. Built-in functions only.
+round. So a question whose numbers or names were replaced throughout is caught too. Windows that are nearly all placeholders
+say something by their words only: an item that has them is also found if three quarters of all its windows are there word
+for word, and an item of fewer than five words if it is there as a whole. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ UNITS = ("mm", "cm", "m", "km", "in", "ft", "mi", "g", "kg", "mg", "lb", "oz", "
          "feet", "inches", "grams", "kilograms", "liters", "litres", "seconds", "minutes", "hours", "days", "weeks", "months",
          "years", "degrees")
 NAME = "\x01"
-#: Windows of the plain form and of the form with names. Where one begins and its kind are kept as begin * KINDS + kind.
-PLAIN, NAMED, KINDS = 0, 1, 8
+#: Windows of the plain form, of the form with names, and of the words themselves. Where a document's window begins and its
+#: kind are kept as begin * KINDS + kind; RAW + m - 1 is there the kind of a window of m words, fewer than WIDTH.
+PLAIN, NAMED, RAW, KINDS = 0, 1, 2, 8
 
 
 def marked_text(text: Column) -> Column:
@@ -72,27 +75,36 @@ def _is_slot(word: Column) -> Column:
     return word.startswith("<")
 
 
-def _places(column: str) -> Column:
+def _places(column: str, width: int = WIDTH) -> Column:
     """Where a window can begin; a text with fewer words has none."""
-    last = F.size(column) - WIDTH
+    last = F.size(column) - width
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _begins() -> Column:
-    """All windows of the plain form, and those with a name of the other one, which are new."""
+def _coded(begins: Column, kind: int) -> Column:
+    return F.transform(begins, lambda i: i * KINDS + kind)
+
+
+def _begins(short: list[int]) -> Column:
+    """All windows of the plain form, those with a name of the other one, which are new, and those of ``short`` words."""
     last = F.size("named") - WIDTH
     names = F.filter(F.transform("named", lambda p, i: F.when(p["form"] == "<name>", i)), lambda i: i.isNotNull())
     near = F.array_distinct(F.flatten(F.transform(names, lambda i: F.sequence(
         F.greatest(i - (WIDTH - 1), F.lit(0)), F.least(i, last)))))
     named = F.when(last >= 0, near).otherwise(F.array().cast("array<int>"))
-    return F.concat(F.transform(_places("words"), lambda i: i * KINDS + PLAIN), F.transform(named, lambda i: i * KINDS + NAMED))
+    return F.concat(_coded(_places("words"), PLAIN), _coded(named, NAMED),
+                    *(_coded(_places("words", m), RAW + m - 1) for m in short))
 
 
-def _parts(column: str, first: Column) -> list[Column]:
-    parts = [F.get(column, first + k) for k in range(WIDTH)]
+def _parts(column: str, first: Column, width: int = WIDTH) -> list[Column]:
+    parts = [F.get(column, first + k) for k in range(width)]
     return [p["form"] for p in parts] if column == "named" else parts
 
 
+def _says_little(parts: list[Column]) -> Column:
+    return sum((_is_slot(p).cast("int") for p in parts), F.lit(0)) > WIDTH - LEAST_WORDS
+
+
 def _key(kind: int, parts: list[Column]) -> Column:
     return F.xxhash64(F.lit(kind), *parts)
 
@@ -107,8 +119,7 @@ def _fill(first: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """One row per form of an item and window that says something. Items of fewer than five words have none and are never
-    found.
+    """One row per form of an item and window that says something; an item of fewer than five words is one window.
 
     An item may follow a colon or a heading in a document, so it has a further form in which its first word is a name.
     """
@@ -125,9 +136,20 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
                          F.array(*_parts("named", F.col("item_place"))).alias("item_form"),
                          _fill(F.col("item_place")).alias("item_words"))
     rows = plain.unionByName(named).distinct()
-    rows = rows.filter(F.size(F.filter("item_form", lambda w: ~_is_slot(w))) >= LEAST_WORDS)
     parts = [F.get("item_form", F.lit(k)) for k in range(WIDTH)]
     rows = rows.withColumn("window", F.when(F.array_contains("item_form", "<name>"), _key(NAMED, parts)).otherwise(_key(PLAIN, parts)))
+    little = _says_little(parts)
+    own = [F.get("item_words", F.lit(k)) for k in range(WIDTH)]
+    raw = rows.filter(F.col("kind") == PLAIN)
+    raw = raw.join(raw.filter(little).select("item_id", "variant").distinct(), ["item_id", "variant"]).select(
+        "item_id", F.lit(RAW).alias("kind"), "variant", "item_place", "item_at", F.col("item_words").alias("item_form"), "item_words",
+        F.when(little, _key(RAW, own)).otherwise(F.col("window")).alias("window"))
+    rows = rows.filter(~little).unionByName(raw)
+    for m in range(1, WIDTH):
+        few = alone.filter(F.size("words") == m).select(
+            "item_id", F.lit(RAW).alias("kind"), "variant", F.lit(0).alias("item_place"), F.lit(0).alias("item_at"),
+            F.col("words").alias("item_form"), F.col("words").alias("item_words"), _key(RAW, _parts("words", F.lit(0), m)).alias("window"))
+        rows = rows.unionByName(few.distinct())
     totals = rows.groupBy("item_id", "kind", "variant").agg(F.count(F.lit(1)).alias("n_windows"))
     return rows.join(totals, ["item_id", "kind", "variant"])
 
@@ -140,27 +162,35 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
     hold and give nothing, rows without id are left out, repeated rows count once. Other columns are ignored.
     """
     windows = benchmark_windows(items)
-    number = windows.count()
+    size = F.size("item_words")
+    number, short = windows.agg(F.count(F.lit(1)), F.collect_set(F.when(size < WIDTH, size))).first()
     passes = -(-number // BLOCK)
     rows = _with_forms(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"),
                                                                 F.xxhash64("text").alias("version"), "text"))
-    rows = rows.select("doc_id", "version", "words", "form", "named", F.explode(_begins()).alias("begin"))
+    rows = rows.select("doc_id", "version", "words", "form", "named", F.explode(_begins(sorted(short))).alias("begin"))
     at, own = F.shiftright("begin", 3), F.col("begin").bitwiseAND(KINDS - 1)
     rows = rows.withColumn("at", at).withColumn("own", own)
     at, own = F.col("at"), F.col("own")
-    rows = rows.withColumn("window", F.when(own == PLAIN, _key(PLAIN, _parts("form", at))).otherwise(_key(NAMED, _parts("named", at))))
+    plain = F.when(_says_little(_parts("form", at)), _key(RAW, _parts("words", at))).otherwise(_key(PLAIN, _parts("form", at)))
+    key = F.when(own == PLAIN, plain)
+    for m in short:
+        key = key.when(own == RAW + m - 1, _key(RAW, _parts("words", at, m)))
+    key = key.otherwise(_key(NAMED, _parts("named", at)))
+    form = F.when(own >= RAW, F.slice("words", at + 1, own - (RAW - 1))).when(
+        F.col("kind") == RAW, F.array(*_parts("words", at))).when(
+        own == PLAIN, F.array(*_parts("form", at))).otherwise(F.array(*_parts("named", at)))
+    rows = rows.withColumn("window", key)
     # A window without names stands in both forms, here with its place in the plain one.
     place = F.when((own == PLAIN) & (F.col("kind") == NAMED) & (F.size("named") > 0),
                    F.size(F.filter("named", lambda p: p["at"] <= at)) - 1).otherwise(at)
-    first = F.when(own == PLAIN, at).otherwise(F.get("named", at)["at"])
+    first = F.when(own == NAMED, F.get("named", at)["at"]).otherwise(at)
     hits = None
     for i in range(max(1, passes)):
         block = windows
         if passes > 1:
             block = windows.filter(F.pmod(F.xxhash64("item_id", "kind", "variant", "item_place"), F.lit(passes)) == i)
-        some = rows.join(F.broadcast(block), "window").filter(
-            F.when(own == PLAIN, F.array(*_parts("form", at))).otherwise(F.array(*_parts("named", at))) == F.col("item_form"))
-        some = some.withColumn("filled", F.when(own == PLAIN, F.array(*_parts("words", at))).otherwise(_fill(at)))
+        some = rows.join(F.broadcast(block), "window").filter(form == F.col("item_form"))
+        some = some.withColumn("filled", F.when(own == NAMED, _fill(at)).otherwise(F.array(*_parts("words", at))))
         # Each window answers for its placeholders.
         slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.struct(
             F.get("item_form", k).alias("form"), F.get("item_words", k).alias("item"), F.get("filled", k).alias("doc"))),
