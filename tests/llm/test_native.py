@@ -136,6 +136,18 @@ def test_benchmark_items_of_numbers_and_of_few_words(spark):
     assert set(found_in(spark, [long[0][1].split(" tell")[0], "add 3 17 24 58 61"], long)) == {(0, 1)}
 
 
+def test_benchmark_items_with_longer_fillings_and_words_put_in(spark):
+    same = ITEMS[0][1]
+    texts = [same.replace("5", "2.5"), same.replace("12", "1,200"), same.replace("Bernd", "Mary Ann"),
+             same.replace("Anna", "Mary Ann Lee").replace("Bernd", "Jo Ann Poe").replace("12", "1,000,000").replace("5", "0.25"),
+             same.replace("how many", "how very many"), same.replace("gives", "then gladly gives")]
+    mixed = [same.replace("Anna", "Clara").replace("buys 12", "buys 7").replace("how many", "how very many"),
+             same.replace("to Bernd", "to Bernd at school"), same.replace("gives 5 of them", "eats a lot of pears")]
+    got = found_in(spark, [f"lead: {t}. End" for t in texts + mixed], ITEMS)
+    assert set(got) == {(i, 1) for i in (*range(6), 7)}
+    assert all(got[i, 1].coverage == 1 and got[i, 1].first_word == 1 and got[i, 1].reworded == (i < 4) for i in range(6))
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     from tidegate.llm import decontamination
 

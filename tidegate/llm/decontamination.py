@@ -4,16 +4,17 @@ A text has two forms. In the plain one numbers and units become typed placeholde
 the other one names become placeholders too. Capitals decide what a name is, so a text in other capitals meets an item in
 the plain form, and one with other names in the second. Windows of five places of these forms are joined by hash and
 compared place by place. Matches that lie on one diagonal (place in the document minus place in the item) are counted
-together; an item is in a document if a diagonal has three quarters of the windows of one of the item's forms, and if the
-placeholders are filled consistently: each filling of the item has one counterpart in the document and the other way
-round. So a question whose numbers or names were replaced throughout is caught too. Windows that are nearly all placeholders
+together, and those of neighbouring diagonals too, as long as they agree, because a word put in moves all that follow. An
+item is in a document if that has three quarters of the windows of one of the item's forms, and if the placeholders are
+filled consistently: each filling of the item has one counterpart in the document and the other way round. A number with
+a point or grouped digits is one word, and a run of names one placeholder. So a question whose numbers or names were replaced throughout is caught too. Windows that are nearly all placeholders
 say something by their words only: an item that has them is also found if three quarters of all its windows are there word
 for word, and an item of fewer than five words if it is there as a whole. Built-in functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 WIDTH = 5
 LEAST_SHARE = 0.75
@@ -27,7 +28,10 @@ UNITS = ("mm", "cm", "m", "km", "in", "ft", "mi", "g", "kg", "mg", "lb", "oz", "
          "gbp", "dollars", "euros", "pounds", "cents", "percent", "meters", "metres", "kilometers", "kilometres", "miles",
          "feet", "inches", "grams", "kilograms", "liters", "litres", "seconds", "minutes", "hours", "days", "weeks", "months",
          "years", "degrees")
-NAME = "\x01"
+#: Diagonals up to this far apart are counted together.
+REACH = 8
+#: Marks: of a name (two of them after a comma, where a run of names ends), and between the parts of a number.
+NAME, POINT = "\x01", "\x02"
 #: Windows of the plain form, of the form with names, and of the words themselves. Where a document's window begins and its
 #: kind are kept as begin * KINDS + kind; RAW + m - 1 is there the kind of a window of m words, fewer than WIDTH.
 PLAIN, NAMED, RAW, KINDS = 0, 1, 2, 8
@@ -36,10 +40,13 @@ PLAIN, NAMED, RAW, KINDS = 0, 1, 2, 8
 def marked_text(text: Column) -> Column:
     """Words in their own capitals, one blank between them; a capitalised word inside a sentence carries a mark in front.
 
-    Line breaks, quotes, brackets and dashes are blanks here; a name does not begin after . ! or ? and a blank.
+    Line breaks, quotes, brackets and dashes are blanks here; a name does not begin after . ! or ? and a blank. 2.5 and 1,200
+    are one word each; 2,5 is two, since it may as well be a list.
     """
     even = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}.!?,;:]+", " ")
+    even = F.regexp_replace(even, r"\.(?<=[0-9]\.)(?=[0-9])|,(?<=[0-9],)(?=[0-9]{3}(?![0-9]))", POINT)
     marked = F.regexp_replace(even, r"(?<=[\p{Ll}\p{N},;:] )(?=\p{Lu}\p{Ll})", NAME)
+    marked = F.regexp_replace(marked, f"[,;:] {NAME}", f" {NAME}{NAME}")
     return F.regexp_replace(marked, r"[ .!?,;:]+", " ")
 
 
@@ -65,10 +72,13 @@ def _with_forms(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("marked", marked_text(F.col("text")))
     rows = rows.withColumn("words", _split(F.replace("marked", F.lit(NAME), F.lit(""))))
     rows = rows.withColumn("form", _plain_form(F.col("words")))
-    places = F.transform(_split(F.col("marked")), lambda word, i: F.struct(
-        F.when(word.startswith(NAME), F.lit("<name>")).otherwise(F.get("form", i)).alias("form"), i.alias("at")))
-    none = F.array().cast("array<struct<form:string,at:int>>")
-    return rows.withColumn("named", F.when(F.contains("marked", F.lit(NAME)), places).otherwise(none))
+    rows = rows.withColumn("parts", F.when(F.contains("marked", F.lit(NAME)), _split(F.col("marked")))
+                           .otherwise(F.array().cast("array<string>")))
+    runs_on = lambda word, i: (word.startswith(NAME) & ~word.startswith(NAME * 2) & (i > 0)
+                               & F.get("parts", i - 1).startswith(NAME))
+    places = F.transform("parts", lambda word, i: F.when(~F.coalesce(runs_on(word, i), F.lit(False)), F.struct(
+        F.when(word.startswith(NAME), F.lit("<name>")).otherwise(F.get("form", i)).alias("form"), i.alias("at"))))
+    return rows.withColumn("named", F.filter(places, lambda p: p.isNotNull())).drop("parts")
 
 
 def _is_slot(word: Column) -> Column:
@@ -150,15 +160,15 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
             "item_id", F.lit(RAW).alias("kind"), "variant", F.lit(0).alias("item_place"), F.lit(0).alias("item_at"),
             F.col("words").alias("item_form"), F.col("words").alias("item_words"), _key(RAW, _parts("words", F.lit(0), m)).alias("window"))
         rows = rows.unionByName(few.distinct())
-    totals = rows.groupBy("item_id", "kind", "variant").agg(F.count(F.lit(1)).alias("n_windows"))
-    return rows.join(totals, ["item_id", "kind", "variant"])
+    item = Window.partitionBy("item_id", "kind", "variant")
+    return rows.withColumns({"n_windows": F.count(F.lit(1)).over(item), "nth": F.row_number().over(item.orderBy("item_place"))})
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...), items (item_id, text, ...) → (doc_id, item_id, first_word, coverage, reworded).
 
     One row per document and item found in it: where it begins (words from 0), the share of the windows of one of the
-    item's forms on the best diagonal, and whether placeholders are filled otherwise than in the item. Null and empty texts
+    item's forms on the best diagonals, and whether placeholders are filled otherwise than in the item. Null and empty texts
     hold and give nothing, rows without id are left out, repeated rows count once. Other columns are ignored.
     """
     windows = benchmark_windows(items)
@@ -196,21 +206,53 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
             F.get("item_form", k).alias("form"), F.get("item_words", k).alias("item"), F.get("filled", k).alias("doc"))),
             lambda s: _is_slot(s["form"]))
         some = some.select("doc_id", "version", "item_id", "kind", "variant", "n_windows", (place - F.col("item_place")).alias("diagonal"),
-                           "item_place", (first - F.col("item_at")).alias("first"),
+                           "item_place", "nth", (first - F.col("item_at")).alias("first"),
                            F.transform(slots, lambda s: F.struct(s["item"], s["doc"])).alias("slots"))
         hits = some if hits is None else hits.unionByName(some)
-    keys = ["doc_id", "version", "item_id", "kind", "variant", "n_windows", "diagonal"]
+    keys = ["doc_id", "version", "item_id", "kind", "variant", "n_windows"]
     # An item's windows bound what comes together here.
-    spans = hits.groupBy(*keys).agg(F.collect_set("item_place").alias("places"), F.min_by("first", "item_place").alias("first"),
-                                    F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    spans = spans.select("doc_id", "item_id", (F.size("places") / F.col("n_windows")).alias("coverage"), "first",
-                         F.exists("slots", lambda s: s["item"] != s["doc"]).alias("reworded"), _one_to_one("slots").alias("fits"))
-    found = spans.filter(F.col("fits") & (F.col("coverage") >= LEAST_SHARE))
+    spans = hits.groupBy(*keys, "diagonal").agg(
+        F.collect_set(F.struct("item_place", "nth")).alias("places"), F.min(F.struct("item_place", "first")).alias("first"),
+        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    # Each diagonal on its own, and in the two overlapping bands that hold it and all within REACH of it on one side.
+    band = F.floor(F.col("diagonal") / REACH)
+    bands = [F.struct(F.lit(wide).alias("wide"), at.cast("long").alias("at"))
+             for wide, at in ((False, F.col("diagonal")), (True, band), (True, band + 1))]
+    spans = spans.withColumn("band", F.explode(F.array(*bands)))
+    spans = spans.groupBy(*keys, "band").agg(F.sort_array(F.collect_list(F.struct(
+        (-F.size("places")).alias("fewer"), "diagonal", "places", "first", "slots"))).alias("spans"))
+    spans = spans.filter(~F.col("band.wide") | (F.size("spans") > 1)).select(*keys, _together("spans").alias("all"))
+    spans = spans.select("doc_id", "item_id", (_covered("all.places") / F.col("n_windows")).alias("coverage"),
+                         F.col("all.first.first").alias("first"),
+                         F.exists("all.slots", lambda s: s["item"] != s["doc"]).alias("reworded"))
+    found = spans.filter(F.col("coverage") >= LEAST_SHARE)
     best = F.max_by(F.struct(F.col("first").cast("long").alias("first_word"), "coverage", "reworded"),
                     F.struct("coverage", -F.col("first"), "reworded"))
     return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
+def _together(spans: str) -> Column:
+    """The diagonals as one, longest first, without those that add no place or fill a placeholder otherwise."""
+    none = F.struct(F.array().cast("array<struct<item_place:int,nth:int>>").alias("places"),
+                    F.lit(None).cast("struct<item_place:int,first:int>").alias("first"),
+                    F.array().cast("array<struct<item:string,doc:string>>").alias("slots"))
+
+    def add(held, span):
+        places, slots = F.array_union(held["places"], span["places"]), F.array_union(held["slots"], span["slots"])
+        return F.when((F.size(places) > F.size(held["places"])) & _one_to_one(slots), F.struct(
+            places.alias("places"), F.least(held["first"], span["first"]).alias("first"), slots.alias("slots"))).otherwise(held)
+
+    return F.aggregate(spans, none, add)
+
+
+def _covered(places: str) -> Column:
+    """Windows that are matched, or all of whose words lie in matched ones."""
+    order = F.array_sort(places)
+    between = F.zip_with(order, F.slice(order, 2, F.size(places)), lambda a, b: F.when(
+        b["item_place"] - a["item_place"] <= WIDTH, b["nth"] - a["nth"] - 1).otherwise(0))
+    return F.size(places) + F.aggregate(between, F.lit(0), lambda total, n: total + n)
+
+
 def _one_to_one(slots: Column | str) -> Column:
     return ((F.size(F.array_distinct(F.transform(slots, lambda s: s["item"]))) == F.size(slots))
             & (F.size(F.array_distinct(F.transform(slots, lambda s: s["doc"]))) == F.size(slots)))
