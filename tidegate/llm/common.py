@@ -33,11 +33,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+def stored(spark: SparkSession, df: DataFrame, label: str, with_folder: bool = False):
+    """Write to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    ``with_folder`` gives the pair (folder, DataFrame), for a table to :func:`discard` when nothing reads it any more.
+    """
     folder = work_dir(spark, label)
     df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    back = spark.read.schema(df.schema).parquet(folder)
+    return (folder, back) if with_folder else back
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove an intermediate table of this run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id, modulus: int, remainder: int):
