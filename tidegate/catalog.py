@@ -15,10 +15,10 @@ from .operators.temporal import as_of_version_join
 from .plans import gold
 from .plans.bronze import (CUSTOMER_RULES, CUSTOMER_TYPES, ORDER_RULES, ORDER_TYPES, PRODUCT_RULES, PRODUCT_TYPES)
 from .plans.silver import clean_customers, clean_orders, clean_products, tidy_customers, tidy_orders, tidy_products
-from .session import work_dir
-from .sources.csv_feed import (SchemaStore, append_csv, csv_feed, infer_and_store_schema, schema_as_rows)
-from .streaming.runs import append_parquet, materialize, run_available
-from .streaming.tables import MergeTarget, RawTable
+from .session import remove_path, work_dir
+from .sources.csv_feed import (ANY_AGE, SchemaStore, append_csv, csv_feed, infer_and_store_schema, schema_as_rows)
+from .streaming.runs import append_parquet, materialize, run_available, run_live
+from .streaming.tables import MergeTarget, RawTable, enrich_commits, stream_commits
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -220,6 +220,85 @@ def rescued_values(spark, sf_dir):
     return rows.select("order_id", F.try_element_at("kept", F.lit("quantity")).alias("rescued_quantity"))
 
 
+@query("schema_order_free")
+def schema_order_free(spark, sf_dir):
+    """The same three deliveries in three orders and cuts: whole amounts, amounts with cents, unreadable quantities. All
+    tables come to the same types and rows."""
+    feed = _orders_feed(spark, sf_dir).select("order_id", "quantity", "amount", "payment_method")
+    part, folder = F.col("order_id") % 3, work_dir(spark, "orders_of_files")
+    deliveries = [feed.filter(part == 0).withColumn("amount", F.floor(F.abs("amount"))),
+                  feed.filter(part == 1).select("payment_method", "amount", "quantity", "order_id"),
+                  feed.filter(part == 2).withColumn("quantity", F.when(F.col("order_id") % 7 == 0, F.lit("n/a"))
+                                                    .otherwise(F.col("quantity").cast("string")))]
+    tables = []
+    for run, commits in enumerate([[[0], [1], [2]], [[2], [1], [0]], [[1, 2, 0]]]):
+        table = RawTable("orders", f"{folder}/table_{run}")
+        for parts in commits:
+            for k in parts:
+                append_csv(deliveries[k], f"{folder}/in_{run}")
+            run_available(table.append_flow(spark, [f"{folder}/in_{run}"]))
+        tables.append(table.read(spark).select(F.lit(run).alias("run"), "order_id", "quantity", "amount", "payment_method"))
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
+@query("stream_type_widening")
+def stream_type_widening(spark, sf_dir):
+    """Amounts turn from whole units to cents, and a column is added, while the stream that reads them runs."""
+    even, odd = feeds.orders_feed_halves(*_t(spark, sf_dir, "events"))
+    folder = work_dir(spark, "widening")
+    table, target = RawTable("orders", f"{folder}/table"), MergeTarget("orders", f"{folder}/orders", ("order_id",), publish=False)
+    append_csv(even.select("order_id", F.floor(F.abs("amount")).alias("amount")), f"{folder}/in")
+    run_available(table.append_flow(spark, [f"{folder}/in"]))
+    running = run_live(target.apply_changes(table, lambda rows: rows, spark), "0 seconds")
+    try:
+        running.processAllAvailable()
+        append_csv(odd.select("payment_method", "amount", "order_id"), f"{folder}/in")
+        run_available(table.append_flow(spark, [f"{folder}/in"]))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return target.read(spark).select("order_id", "amount", "payment_method")
+
+
+def _renamed(spark, folder: str, rename: Callable[[int], str], age_days: int = 0) -> None:
+    """Give the files of a folder other names, and another age."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    files = jvm.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(str(f.getPath().getName()) for f in files.listStatus(jvm.Path(folder)))
+    for n, name in enumerate(p for p in parts if p.startswith("part-")):
+        new = jvm.Path(jvm.Path(folder), rename(n))
+        files.rename(jvm.Path(f"{folder}/{name}"), new)
+        if age_days:
+            files.setTimes(new, files.getFileStatus(new).getModificationTime() - age_days * 86_400_000, -1)
+
+
+@query("late_file_ingest")
+def late_file_ingest(spark, sf_dir):
+    """The second delivery's files are a month older than those that were read before them."""
+    even, odd = feeds.orders_feed_halves(*_t(spark, sf_dir, "events"))
+    folder = work_dir(spark, "late_files")
+    table = RawTable("orders", f"{folder}/table", types=ORDER_TYPES)
+    for n, half in enumerate((even, odd)):
+        append_csv(half, f"{folder}/part_{n}")
+        _renamed(spark, f"{folder}/part_{n}", lambda k: f"region_{k}.csv", 30 * n)
+    run_available(table.append_flow(spark, [f"{folder}/part_[0]"]))
+    run_available(table.append_flow(spark, [f"{folder}/part_[01]"]))
+    return table.read(spark).select(*_typed(odd.schema))
+
+
+@query("odd_file_names")
+def odd_file_names(spark, sf_dir):
+    """Names with blanks, brackets, braces and percent signs mean themselves; each file counts once."""
+    even, odd = feeds.orders_feed_halves(*_t(spark, sf_dir, "events"))
+    folder = work_dir(spark, "odd_names")
+    table = RawTable("orders", f"{folder}/table", types=ORDER_TYPES)
+    for name, half in (("a", even), ("b", odd)):
+        append_csv(half, f"{folder}/{name}")
+        _renamed(spark, f"{folder}/{name}", lambda k: f"sales [{k}] {{x}}%20.csv")
+    run_available(table.append_flow(spark, [f"{folder}/a", f"{folder}/b"]))
+    return table.read(spark).select(*_typed(odd.schema))
+
+
 @query("bronze_orders_bad_text")
 def bronze_orders_bad_text(spark, sf_dir):
     """Declared types: a quantity that is no number breaks its rule and does not stop the feed."""
@@ -372,6 +451,14 @@ def scd2_first_start(spark, sf_dir):
     return _ntz(_intervals(scd.with_first_start(_history(spark, sf_dir), "product_id")), "min_start")
 
 
+@query("scd2_history_heavy")
+def scd2_history_heavy(spark, sf_dir):
+    """All products count as heavy: their timelines are cut into ranges of a few rows."""
+    updates = feeds.product_updates(*_t(spark, sf_dir, "lineitem", "part"))
+    rows = tidy_products(expect_all_or_drop(updates, PRODUCT_RULES))
+    return _intervals(scd.scd2(rows, ["product_id"], max_group_rows=6))
+
+
 @query("price_change_direction")
 def price_change_direction(spark, sf_dir):
     return _ntz(gold.price_changes(_history(spark, sf_dir)), scd.START_AT).select(
@@ -409,10 +496,79 @@ def stream_static_join_product(spark, sf_dir):
     return _streamed(spark, joined, "join")
 
 
-def _temporal(spark, sf_dir, before_first):
+def _hot(orders: DataFrame, column: str, value: str) -> DataFrame:
+    """A third of the orders has the same customer or product."""
+    return orders.withColumn(column, F.when(F.col("order_id") % 3 == 0, F.lit(value)).otherwise(F.col(column)))
+
+
+@query("stream_static_join_hot_key")
+def stream_static_join_hot_key(spark, sf_dir):
+    customers = _stored(spark, _customers(spark, sf_dir).select("customer_id", "customer_name", "city"), "customers")
+    orders = _hot(_order_stream(spark, sf_dir), "customer_id", "CUST1").select("order_id", "customer_id", "amount")
+    folder = work_dir(spark, "hot_join")
+    run_available(enrich_commits(orders, lambda _: customers, "customer_id", folder, max_key_rows=50))
+    return spark.read.parquet(f"{folder}/enriched").select("order_id", "customer_id", "customer_name", "city", "amount")
+
+
+def _enriched_stream(spark, orders, dimension, key, max_key_rows):
+    """Orders that met the dimension in their micro-batch, as a stream that carries its attributes."""
+    folder = work_dir(spark, "enriched")
+    run_available(enrich_commits(orders, lambda _: dimension, key, folder, max_key_rows))
+    return stream_commits(spark, folder, orders.join(dimension, key).schema)
+
+
+@query("customer_behavior_hot_key")
+def customer_behavior_hot_key(spark, sf_dir):
+    attributes = ["customer_name", "city", "state", "gender"]
+    customers = _stored(spark, _customers(spark, sf_dir).select("customer_id", *attributes), "customers")
+    orders = _hot(_order_stream(spark, sf_dir), "customer_id", "CUST1")
+    rows = gold.customer_behavior(_enriched_stream(spark, orders, customers, "customer_id", 50), None)
+    return _streamed(spark, rows, "behavior")
+
+
+@query("product_performance_hot_key")
+def product_performance_hot_key(spark, sf_dir):
+    products = _current_table(spark, sf_dir).select("product_id", "product_name", "category", "price")
+    orders = _hot(_order_stream(spark, sf_dir), "product_id", "PROD1")
+    rows = gold.product_performance(_enriched_stream(spark, orders, products, "product_id", 50), None)
+    return _streamed(spark, rows, "performance")
+
+
+@query("enrich_changing_dimension")
+def enrich_changing_dimension(spark, sf_dir):
+    """The dimension changes between two micro-batches, and the first of them is repeated after the change, as after a
+    failure before its end was noted down: it meets the dimension that it met before."""
+    events, = _t(spark, sf_dir, "events")
+    folder = work_dir(spark, "changing")
+    customers = MergeTarget("customers", f"{folder}/customers", ("customer_id",), publish=False)
+    state = _customers(spark, sf_dir).select("customer_id", "city")
+
+    def report(version: int, rows: DataFrame) -> None:
+        customers.merge(ch.as_change_feed(rows, F.lit(version), F.timestamp_seconds(F.lit(version))), version)
+
+    halves = [tidy_orders(expect_all_or_drop(half, ORDER_RULES)).select("order_id", "customer_id", "amount")
+              for half in feeds.orders_feed_halves(events)]
+
+    def run() -> None:
+        arriving = spark.readStream.schema(halves[0].schema).options(**ANY_AGE).parquet(f"{folder}/in")
+        run_available(enrich_commits(arriving, customers, "customer_id", f"{folder}/joined"))
+
+    report(0, state)
+    halves[0].write.parquet(f"{folder}/in")
+    run()
+    report(1, state.withColumn("city", F.concat(F.lit("new "), F.col("city"))))
+    for lost in ("checkpoint/commits/0", "checkpoint/commits/.0.crc", "enriched/_commit_version=0"):
+        remove_path(spark, f"{folder}/joined/{lost}")
+    run()
+    halves[1].write.mode("append").parquet(f"{folder}/in")
+    run()
+    return spark.read.parquet(f"{folder}/joined/enriched").select("order_id", "customer_id", "amount", "city")
+
+
+def _temporal(spark, sf_dir, before_first, **limits):
     versions = _history_table(spark, sf_dir).select("product_id", "price", scd.START_AT, scd.END_AT)
     joined = as_of_version_join(_sales(spark, sf_dir), versions, "product_id", "Order_date", before_first,
-                                sized_by=_product_keys(*_t(spark, sf_dir, "lineitem")))
+                                sized_by=_product_keys(*_t(spark, sf_dir, "lineitem")), **limits)
     return _ntz(_intervals(joined), "Order_date")
 
 
@@ -426,6 +582,18 @@ def temporal_join_fallback(spark, sf_dir):
     return _temporal(spark, sf_dir, "earliest")
 
 
+@query("temporal_join_sweep")
+def temporal_join_sweep(spark, sf_dir):
+    """No version list is short enough to be probed: facts are placed on the timeline of their key in one sweep."""
+    return _temporal(spark, sf_dir, "earliest", max_versions_to_probe=0)
+
+
+@query("temporal_join_crowded")
+def temporal_join_crowded(spark, sf_dir):
+    """Every product has too many sales for a task: distinct times are swept in ranges."""
+    return _temporal(spark, sf_dir, "earliest", max_group_rows=12)
+
+
 # ---- event time
 
 def _event_windows(events):
@@ -455,7 +623,7 @@ def late_data_drop(spark, sf_dir):
              events.filter(age >= last - part).unionByName(events.filter(age < first + part / 2))]
     for part in parts:
         part.write.mode("append").parquet(f"{folder}/in")
-        windows = _event_windows(spark.readStream.schema(events.schema).parquet(f"{folder}/in"))
+        windows = _event_windows(spark.readStream.schema(events.schema).options(**ANY_AGE).parquet(f"{folder}/in"))
         run_available(append_parquet(windows, f"{folder}/out", f"{folder}/checkpoint"))
     return spark.read.schema(windows.schema).parquet(f"{folder}/out")
 
@@ -529,6 +697,38 @@ def price_demand_any_product_fallback(spark, sf_dir):
                                                   sized_by=_product_keys(*_t(spark, sf_dir, "lineitem")))
 
 
+@query("price_demand_any_product_fallback_heavy")
+def price_demand_any_product_fallback_heavy(spark, sf_dir):
+    """All products count as heavy, and the running total over time is cut into ranges."""
+    return gold.price_demand_any_product_fallback(_sales(spark, sf_dir), _history_table(spark, sf_dir), max_group_rows=20)
+
+
+@query("customer_behavior_rewrites")
+def customer_behavior_rewrites(spark, sf_dir):
+    """The second of three deliveries also amends orders of the first. Its commit rewrites rows, so the stream of appended
+    orders passes over it."""
+    feed = _orders_feed(spark, sf_dir)
+    part, orders = F.col("order_id") % 3, MergeTarget("orders", work_dir(spark, "rewritten"), ("order_id",))
+    amended = feed.filter(F.col("order_id") % 30 == 3).withColumn("payment_method", F.lit("amended"))
+    for version, rows in enumerate((feed.filter(part == 0), feed.filter(part == 1).unionByName(amended), feed.filter(part == 2))):
+        commit = ch.as_change_feed(expect_all_or_drop(rows, ORDER_RULES), F.lit(version), F.timestamp_seconds(F.lit(version)))
+        orders.merge(tidy_orders(commit), version)
+    customers = _stored(spark, _customers(spark, sf_dir), "customers")
+    return _streamed(spark, gold.customer_behavior(orders.stream_appends(spark), customers), "behavior")
+
+
+@query("product_performance_incremental")
+def product_performance_incremental(spark, sf_dir):
+    """Products come from a type 2 table that was merged from two deliveries, the later half of the changes first."""
+    updates = feeds.product_updates(*_t(spark, sf_dir, "lineitem", "part"))
+    products = MergeTarget("products", work_dir(spark, "products"), ("product_id",), scd_type=2)
+    late = F.col(ch.COMMIT_VERSION) % 2 == 0
+    for version, rows in enumerate((updates.filter(late), updates.filter(~late))):
+        products.merge(tidy_products(expect_all_or_drop(rows, PRODUCT_RULES)), version)
+    current = _stored(spark, products.read(spark), "products_now")
+    return _streamed(spark, gold.product_performance(_order_stream(spark, sf_dir), current), "performance")
+
+
 @query("customer_behavior_end_to_end")
 def customer_behavior_end_to_end(spark, sf_dir):
     """From CSV files over raw tables, cleaning and merge targets to the windowed stream."""
@@ -539,9 +739,9 @@ def customer_behavior_end_to_end(spark, sf_dir):
     run_available(raw_customers.append_flow(spark, [f"{folder}/customers_in"]))
 
     customers = MergeTarget("customers", f"{folder}/customers", ("customer_id",), publish=False)
-    run_available(customers.apply_changes(raw_customers.stream_changes(spark), tidy_customers))
+    run_available(customers.apply_changes(raw_customers, tidy_customers, spark))
     orders = MergeTarget("orders", f"{folder}/orders", ("order_id",))
-    run_available(orders.apply_changes(raw_orders.stream_changes(spark), tidy_orders))
+    run_available(orders.apply_changes(raw_orders, tidy_orders, spark))
 
     rows = gold.customer_behavior(orders.stream_appends(spark), _stored(spark, customers.read(spark), "dim"))
     run_available(append_parquet(rows, f"{folder}/out", f"{folder}/out_checkpoint"))

@@ -1,22 +1,26 @@
 """Previous and next value within a key, for keys of any size.
 
 A window function brings all rows of a key into one task. That is fine for ordinary keys. When some
-key has more than ``max_rows`` rows, the timeline of the heavy keys is cut into chunks, the window
-runs per (key, chunk), and the value that crosses a chunk border comes from a summary with one row per
-heavy (key, chunk). Keys that are not heavy stay whole and have no summary rows.
+key has more than ``max_rows`` rows, the timeline of the heavy keys is cut into ranges that hold about half as many rows
+each, the window runs per (key, range), and the value that crosses a border comes from a summary with one row per
+heavy (key, range). The borders are quantiles of the rows, whatever their times are; rows of one key with the same
+order value stay together. Keys that are not heavy stay whole and have no summary rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import work_dir
+
 MAX_GROUP_ROWS = 2_000_000
 MAX_BROADCAST_KEYS = 100_000
 CHUNK = "__chunk"
-NUMERIC_CHUNK = 100_000
-BEFORE_ALL = -(2 ** 62)
+SPLITS = "__splits"
+BEFORE_ALL = -1
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
@@ -53,27 +57,48 @@ def check_order(df: DataFrame, order: str) -> None:
         raise TypeError(f"{order} must be a time, a date or a number, not {kind.simpleString()}")
 
 
-def chunk_of(df: DataFrame, order: str, unit: str = "DAY") -> Column:
-    """Chunk number along the ordering column; rises with the order."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_seconds(F.date_trunc(unit, F.col(order).cast("timestamp")))
-    return F.floor(F.col(order).cast("double") / NUMERIC_CHUNK)
-
-
-def with_chunks(df: DataFrame, heavy: DataFrame, keys: Sequence[str], order: str,
-                unit: str = "DAY") -> DataFrame:
-    """Add the chunk number: NULL for ordinary keys, so that each of them forms one group.
+def split_points(df: DataFrame, keys: Sequence[str], order: str, max_rows: int) -> DataFrame:
+    """(keys, __splits): rising values of ``order`` that cut the rows of every key into ranges of about ``max_rows`` / 2.
 
-    Rows of a heavy key without an ordering value go to a chunk before all others.
+    One aggregation with partial sketches. The result is written down, so that all later steps see the same borders:
+    all in all 2 * rows / ``max_rows`` values at most.
+    """
+    max_rows = max(1, max_rows)
+    sizes = df.groupBy(*keys).agg(F.count(order).alias("__n"))
+    largest = sizes.agg(F.max("__n")).first()[0] or 0
+    most = max(1, math.ceil(2 * largest / max_rows))
+    wanted = F.greatest(F.lit(1), F.ceil(2 * F.col("__n") / max_rows))
+    quantiles = F.percentile_approx(order, [k / most for k in range(1, most)] or [0.5], max(10_000, 20 * most))
+    found = df.groupBy(*keys).agg(F.count(order).alias("__n"), quantiles.alias("__q")).withColumn("__wanted", wanted)
+    # Of the quantiles that the largest key needs, a smaller one takes as many as it needs, evenly.
+    place = lambda i: F.floor((i + 1) * F.col("__wanted") / most)
+    kept = F.array_distinct(F.filter("__q", lambda q, i: place(i) > F.floor(i * F.col("__wanted") / most)))
+    splits = found.select(*keys, F.when(F.col("__wanted") > 1, kept).otherwise(F.slice("__q", 1, 0)).alias(SPLITS))
+    folder = work_dir(df.sparkSession, "borders")
+    splits.write.parquet(folder)
+    return df.sparkSession.read.schema(splits.schema).parquet(folder)
+
+
+def range_of(order: str | Column, splits: Column) -> Column:
+    """Number of the range of a value; rises with the order."""
+    value = F.col(order) if isinstance(order, str) else order
+    return F.size(F.filter(splits, lambda s: s <= value)).cast("long")
+
+
+def with_chunks(df: DataFrame, heavy: DataFrame, keys: Sequence[str], order: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Add the range number: NULL for ordinary keys, so that each of them forms one group.
+
+    Rows of a heavy key without an ordering value go to a range before all others.
     """
-    flagged = df.join(heavy.withColumn("__heavy", F.lit(True)), list(keys), "left")
-    return (flagged.withColumn(CHUNK, F.when(F.col("__heavy"),
-                                               F.coalesce(chunk_of(df, order, unit), F.lit(BEFORE_ALL))))
-                   .drop("__heavy"))
+    borders = split_points(df.join(heavy, list(keys), "left_semi"), keys, order, max_rows)
+    if borders.count() <= MAX_BROADCAST_KEYS:
+        borders = F.broadcast(borders)
+    flagged = df.join(borders, list(keys), "left")
+    chunk = F.when(F.col(order).isNull(), BEFORE_ALL).otherwise(range_of(order, F.col(SPLITS)))
+    return flagged.withColumn(CHUNK, F.when(F.col(SPLITS).isNotNull(), chunk)).drop(SPLITS)
 
 
-def _neighbour(df, keys, order, value, name, heavy, unit, step) -> DataFrame:
+def _neighbour(df, keys, order, value, name, heavy, max_rows, step) -> DataFrame:
     check_order(df, order)
     pick = F.lag if step < 0 else F.lead
     # Boxed, so that a neighbour whose value is NULL differs from no neighbour at all.
@@ -82,7 +107,7 @@ def _neighbour(df, keys, order, value, name, heavy, unit, step) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(order)
         return df.withColumn(name, pick(boxed).over(w))
 
-    chunked = with_chunks(df, heavy, keys, order, unit).withColumn("__value", boxed)
+    chunked = with_chunks(df, heavy, keys, order, max_rows).withColumn("__value", boxed)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
     # Nearest row of the neighbouring chunk: its last row when looking back, its first when looking ahead. The order is
     # boxed, because these aggregates skip rows whose order is NULL.
@@ -98,36 +123,42 @@ def _neighbour(df, keys, order, value, name, heavy, unit, step) -> DataFrame:
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
-                  heavy: DataFrame | None = None, unit: str = "DAY") -> DataFrame:
+                  heavy: DataFrame | None = None, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``name``: a struct with the ``value`` of the preceding row of the key, NULL on its first row."""
-    return _neighbour(df, keys, order, value, name, heavy, unit, -1)
+    return _neighbour(df, keys, order, value, name, heavy, max_rows, -1)
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str,
-              heavy: DataFrame | None = None, unit: str = "DAY") -> DataFrame:
+              heavy: DataFrame | None = None, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``name``: a struct with the ``value`` of the following row of the key, NULL on its last row."""
-    return _neighbour(df, keys, order, value, name, heavy, unit, 1)
+    return _neighbour(df, keys, order, value, name, heavy, max_rows, 1)
 
 
 def running_total_before(amounts: DataFrame, points: DataFrame, at: str, amount: str,
-                         unit: str = "DAY") -> DataFrame:
+                         max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """For each distinct point in time: sum of ``amount`` over all rows strictly earlier than it.
 
-    Amounts are first added up per point in time. Totals then run inside each time unit, and the sum of
-    all earlier units is added from a table with one row per unit, which is all that meets in one task.
-    Returns ``at, total_before, rows_before``.
+    Amounts are first added up per point in time, and the points are cut into ranges of about ``max_rows`` / 2 rows.
+    Totals run inside each range; what the earlier ranges add up to are 2 * rows / ``max_rows`` numbers, which the driver
+    adds up. Returns ``at, total_before, rows_before``.
     """
     per_time = (amounts.filter(F.col(at).isNotNull()).groupBy(at)
                 .agg(F.sum(amount).alias("__sum"), F.count(F.lit(1)).alias("__n")))
     events = (per_time.withColumn("__side", F.lit(1))
               .unionByName(points.select(at).filter(F.col(at).isNotNull()).distinct()
                            .withColumn("__side", F.lit(0)), allowMissingColumns=True))
-    events = events.withColumn(CHUNK, chunk_of(events, at, unit))
-
-    units = events.groupBy(CHUNK).agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
-    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    units = units.select(CHUNK, F.sum("__sum").over(earlier).alias("__units_sum"),
-                         F.sum("__n").over(earlier).alias("__units_n"))
+    events = events.withColumn("__all", F.lit(0))
+    borders = F.broadcast(split_points(events, ["__all"], at, max_rows))  # one row
+    events = events.join(borders, "__all").withColumn(CHUNK, range_of(at, F.col(SPLITS))).drop("__all", SPLITS)
+
+    ranges = events.groupBy(CHUNK).agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
+    kinds = {f.name: f.dataType for f in ranges.schema}
+    earlier, upto_sum, upto_n = [], 0, 0
+    for row in sorted(ranges.collect()):
+        earlier.append((row[CHUNK], upto_sum, upto_n))
+        upto_sum, upto_n = upto_sum + (row["__sum"] or 0), upto_n + (row["__n"] or 0)
+    carried = amounts.sparkSession.createDataFrame(earlier, T.StructType([
+        T.StructField(CHUNK, kinds[CHUNK]), T.StructField("__ranges_sum", kinds["__sum"]), T.StructField("__ranges_n", kinds["__n"])]))
 
     upto = (Window.partitionBy(CHUNK).orderBy(at, "__side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -135,7 +166,7 @@ def running_total_before(amounts: DataFrame, points: DataFrame, at: str, amount:
                     .withColumn("__in_n", F.sum("__n").over(upto))
                     .filter(F.col("__side") == 0))
     zero = F.lit(0)
-    return inside.join(units, CHUNK).select(
+    return inside.join(carried, CHUNK).select(
         at,
-        (F.coalesce("__in_sum", zero) + F.coalesce("__units_sum", zero)).alias("total_before"),
-        (F.coalesce("__in_n", zero) + F.coalesce("__units_n", zero)).alias("rows_before"))
+        (F.coalesce("__in_sum", zero) + F.coalesce("__ranges_sum", zero)).alias("total_before"),
+        (F.coalesce("__in_n", zero) + F.coalesce("__ranges_n", zero)).alias("rows_before"))

@@ -83,11 +83,11 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str = COMMIT_TIME
     if collapse_unchanged:
         untracked = {*keys, sequence_by, *METADATA, *except_columns}
         tracked = F.struct(*[F.col(c) for c in versions.columns if c not in untracked])
-        versions = with_previous(versions, keys, sequence_by, tracked, "__previous", heavy)
+        versions = with_previous(versions, keys, sequence_by, tracked, "__previous", heavy, max_group_rows)
         same = F.col("__previous").isNotNull() & F.col("__previous.value").eqNullSafe(tracked)
         versions = versions.filter(~same).drop("__previous")
 
-    versions = with_next(versions, keys, sequence_by, F.col(sequence_by), "__next", heavy)
+    versions = with_next(versions, keys, sequence_by, F.col(sequence_by), "__next", heavy, max_group_rows)
     kept = [c for c in changes.columns if c not in except_columns]
     return (versions.filter(~F.col(DELETED))
                     .select(*kept, F.col(sequence_by).alias(START_AT), F.col("__next.value").alias(END_AT)))

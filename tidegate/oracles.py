@@ -37,6 +37,22 @@ _NAMES = {
     "closed": """
         SELECT * FROM orders_timed
         WHERE window_end <= (SELECT max(order_time) FROM orders_clean) - INTERVAL 2 MINUTE""",
+    "appended": """
+        SELECT * FROM orders_timed WHERE order_id % 3 <> 1""",
+    "appended_closed": """
+        SELECT * FROM appended
+        WHERE window_end <= (SELECT max(order_time) FROM appended) - INTERVAL 2 MINUTE""",
+    "hot_customers": """
+        SELECT * REPLACE (CASE WHEN order_id % 3 = 0 THEN 'CUST1' ELSE customer_id END AS customer_id) FROM orders_clean""",
+    "hot_customers_closed": """
+        SELECT * REPLACE (CASE WHEN order_id % 3 = 0 THEN 'CUST1' ELSE customer_id END AS customer_id) FROM orders_timed
+        WHERE window_end <= (SELECT max(h.order_time) FROM hot_customers h JOIN customers_clean c ON h.customer_id = c.customer_id)
+                            - INTERVAL 2 MINUTE""",
+    "hot_products_closed": """
+        SELECT * REPLACE (CASE WHEN order_id % 3 = 0 THEN 'PROD1' ELSE product_id END AS product_id) FROM orders_timed
+        WHERE window_end <= (SELECT max(order_time) FROM orders_clean o JOIN product_history p
+                             ON CASE WHEN order_id % 3 = 0 THEN 'PROD1' ELSE o.product_id END = p.product_id AND p.end_at IS NULL)
+                            - INTERVAL 2 MINUTE""",
     "customers_feed": """
         SELECT 'CUST' || c_custkey AS customer_id,
                '  ' || CASE WHEN c_custkey % 2 = 0 THEN lower(c_name) ELSE c_name END || ' ' AS customer_name,
@@ -225,6 +241,28 @@ def oracle_queries() -> dict[str, str]:
         "rescued_values": """
             SELECT order_id, CASE WHEN order_id % 2 = 1 AND order_id % 7 = 0 THEN 'n/a' END AS rescued_quantity
             FROM orders_feed""",
+        "schema_order_free": """
+            SELECT run, order_id, CASE WHEN order_id % 3 = 2 AND order_id % 7 = 0 THEN NULL ELSE quantity END AS quantity,
+                   CASE WHEN order_id % 3 = 0 THEN floor(abs(amount)) ELSE amount END AS amount, payment_method
+            FROM orders_feed, (VALUES (0), (1), (2)) AS runs(run)""",
+        "stream_type_widening": """
+            SELECT order_id, CASE WHEN order_id % 2 = 0 THEN floor(abs(amount)) ELSE amount END AS amount,
+                   CASE WHEN order_id % 2 = 1 THEN payment_method END AS payment_method FROM orders_feed""",
+        "late_file_ingest": f"SELECT {_ORDER_COLUMNS} FROM orders_feed",
+        "odd_file_names": f"SELECT {_ORDER_COLUMNS} FROM orders_feed",
+        "scd2_history_heavy": f"SELECT {_HISTORY} FROM product_history",
+        "temporal_join_sweep": _TEMPORAL.format(on=f"({_IN_RANGE}) OR ({_EARLY})"),
+        "temporal_join_crowded": _TEMPORAL.format(on=f"({_IN_RANGE}) OR ({_EARLY})"),
+        "stream_static_join_hot_key": """
+            SELECT o.order_id, o.customer_id, c.customer_name, c.city, o.amount
+            FROM hot_customers o JOIN customers_clean c ON o.customer_id = c.customer_id""",
+        "customer_behavior_hot_key": _behavior("hot_customers_closed"),
+        "product_performance_hot_key": _performance("hot_products_closed"),
+        "enrich_changing_dimension": """
+            SELECT o.order_id, o.customer_id, o.amount, CASE WHEN o.order_id % 2 = 0 THEN c.city ELSE 'new ' || c.city END AS city
+            FROM orders_clean o JOIN customers_clean c ON o.customer_id = c.customer_id""",
+        "customer_behavior_rewrites": _behavior("appended_closed"),
+        "product_performance_incremental": _performance("closed"),
         "bronze_orders_bad_text": f"SELECT {_ORDER_COLUMNS} FROM orders_bronze WHERE order_id % 5 <> 0",
         "bronze_products": f"SELECT {_PRODUCT_COLUMNS} FROM products_bronze",
         "expect_drop_orders": f"SELECT {_ORDER_COLUMNS} FROM orders_bronze",
@@ -335,5 +373,6 @@ def oracle_queries() -> dict[str, str]:
             f"UNION ALL SELECT {_PERIOD} FROM sales o "
             f"JOIN (SELECT * FROM price_steps WHERE start_at = min_start) p ON o.order_time < p.min_start"),
     }
+    plain["price_demand_any_product_fallback_heavy"] = plain["price_demand_any_product_fallback"]
     plain["late_data_drop"] = plain["tumbling_window_agg"]
     return {key: _with(sql) for key, sql in plain.items()}

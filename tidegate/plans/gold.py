@@ -89,9 +89,9 @@ def payment_analysis(orders: DataFrame, amount: str = "amount") -> DataFrame:
         "max_transaction", "min_transaction")
 
 
-def price_changes(product_history: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def price_changes(product_history: DataFrame, heavy: DataFrame | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Every product version with the price before it and the direction of the change."""
-    rows = with_previous(product_history, ["product_id"], START_AT, F.col("price"), "__previous", heavy)
+    rows = with_previous(product_history, ["product_id"], START_AT, F.col("price"), "__previous", heavy, max_group_rows)
     # A previous price of NULL falls back to the own price, like a missing one.
     rows = rows.withColumn("prev_price", F.coalesce("__previous.value", "price")).drop("__previous")
     return rows.withColumn("price_direction", direction(F.col("price").cast("double"),
@@ -104,24 +104,24 @@ def units_per_time(sales: DataFrame) -> DataFrame:
                  .agg(F.sum(F.col("quantity").cast("int")).alias("__units")))
 
 
-def demand_changes(demand: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def demand_changes(demand: DataFrame, heavy: DataFrame | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Each selling period with the demand of the product's selling period before it."""
-    rows = with_previous(demand, ["product_id"], START_AT, F.col("current_demand"), "__previous", heavy)
+    rows = with_previous(demand, ["product_id"], START_AT, F.col("current_demand"), "__previous", heavy, max_group_rows)
     rows = rows.withColumn("prev_demand", F.coalesce("__previous.value", "current_demand"))
     return rows.drop("__previous").withColumn(
         "demand_direction", direction(F.col("current_demand"), F.col("prev_demand")))
 
 
-def _priced_versions(product_history: DataFrame, heavy: DataFrame | None) -> DataFrame:
-    return price_changes(product_history, heavy).select(
+def _priced_versions(product_history: DataFrame, heavy: DataFrame | None, max_group_rows: int) -> DataFrame:
+    return price_changes(product_history, heavy, max_group_rows).select(
         "product_id", "category", F.col("price").cast("double").alias("current_price"),
         F.col("prev_price").cast("double").alias("prev_price"), "price_direction", START_AT, END_AT)
 
 
-def _price_demand_report(demand: DataFrame, heavy: DataFrame | None) -> DataFrame:
+def _price_demand_report(demand: DataFrame, heavy: DataFrame | None, max_group_rows: int) -> DataFrame:
     # The product and the start make the order total; sorting by few categories alone would leave
     # each category to one task.
-    return (demand_changes(demand, heavy).orderBy("category", "product_id", START_AT)
+    return (demand_changes(demand, heavy, max_group_rows).orderBy("category", "product_id", START_AT)
             .select("category", F.round("prev_price", 2).alias("prev_price"),
                     F.round("current_price", 2).alias("current_price"), "price_direction",
                     "prev_demand", "current_demand", "demand_direction"))
@@ -137,12 +137,12 @@ def price_demand_analysis(sales: DataFrame, product_history: DataFrame, before_f
     """
     largest = largest_group(product_history, ["product_id"])
     heavy = heavy_or_none(product_history, ["product_id"], max_group_rows, largest)
-    joined = as_of_version_join(units_per_time(sales), _priced_versions(product_history, heavy), "product_id",
+    joined = as_of_version_join(units_per_time(sales), _priced_versions(product_history, heavy, max_group_rows), "product_id",
                                 "Order_date", before_first, max_versions_to_probe, max_group_rows, largest,
                                 sales if sized_by is None else sized_by)
     demand = (joined.groupBy("product_id", "category", "current_price", "prev_price", "price_direction", START_AT)
                     .agg(F.sum("__units").alias("current_demand")))
-    return _price_demand_report(demand, heavy)
+    return _price_demand_report(demand, heavy, max_group_rows)
 
 
 def price_demand_any_product_fallback(sales: DataFrame, product_history: DataFrame,
@@ -156,7 +156,7 @@ def price_demand_any_product_fallback(sales: DataFrame, product_history: DataFra
     """
     largest = largest_group(product_history, ["product_id"])
     heavy = heavy_or_none(product_history, ["product_id"], max_group_rows, largest)
-    versions = _priced_versions(product_history, heavy)
+    versions = _priced_versions(product_history, heavy, max_group_rows)
     units = units_per_time(sales)
     own = (as_of_version_join(units, versions.select("product_id", START_AT, END_AT), "product_id", "Order_date",
                               "drop", max_versions_to_probe, max_group_rows, largest,
@@ -166,11 +166,11 @@ def price_demand_any_product_fallback(sales: DataFrame, product_history: DataFra
     versions = with_first_start(versions, "product_id", "__first", heavy)
     is_first = F.col(START_AT) == F.col("__first")
     starts = versions.filter(is_first).select(F.col(START_AT).alias("Order_date"))
-    earlier = running_total_before(units, starts, "Order_date", "__units").select(
+    earlier = running_total_before(units, starts, "Order_date", "__units", max_group_rows).select(
         F.col("Order_date").alias("__at"), "total_before", "rows_before")
     demand = (versions.join(own, ["product_id", START_AT], "left")
               .join(earlier, (F.col(START_AT) == F.col("__at")) & is_first, "left")
               .filter(F.col("__own").isNotNull() | (F.col("rows_before") > 0))
               .withColumn("current_demand",
                           F.coalesce("__own", F.lit(0)) + F.coalesce("total_before", F.lit(0))))
-    return _price_demand_report(demand, heavy)
+    return _price_demand_report(demand, heavy, max_group_rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -58,3 +59,19 @@ def work_dir(spark: SparkSession, label: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder of this run."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The n of all folders ``name=n`` in ``path``, rising: one listing, nothing is opened."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(jvm_path):
+        return []
+    listed = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files.listStatus(jvm_path)).toString()
+    return sorted({int(n) for n in re.findall(rf"/{re.escape(name)}=(\d+)[;,\s]", listed)})

@@ -9,17 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, METADATA
-from ..operators.quality import expect_all_or_drop, expectation_report
+from ..operators.ordered import MAX_GROUP_ROWS
+from ..operators.quality import expect_all_or_drop, report_of, violation_counts
 from ..operators.scd import DELETED, applicable, reduce_changes, scd1, scd2
-from ..session import path_exists
-from ..sources.csv_feed import (ANY_AGE, CORRUPT, SchemaStore, discover_files, evolve_types, group_by_header, misfit,
-                                read_as_text, typed)
+from ..operators.skew import salted_join
+from ..session import numbered_folders, path_exists, remove_path
+from ..sources.csv_feed import (ANY_AGE, CORRUPT, SchemaStore, add_counts, discover_files, group_by_header, kind_counts, misfit,
+                                misfits, read_as_text, typed, typed_or_stop, typed_schema)
 
+RESCUED = "column_name string, seen bigint, rescued bigint"
 MAX_FILES = 1000
 # Written into the rows of a commit; the version is the name of its sub-folder.
 STAMPS = T.StructType([T.StructField(CHANGE_TYPE, T.StringType()),
@@ -52,12 +57,22 @@ def _with_stamps(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name not in METADATA] + list(STAMPS))
 
 
+def _as_schema(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows written under an earlier schema; a column they lack is NULL."""
+    if rows.schema == schema:
+        return rows
+    return rows.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                         for f in schema])
+
+
 @dataclass(frozen=True)
 class RawTable:
     """An append-only table fed from CSV folders, with quality rules and a stored schema.
 
     Values are stored as the texts they came as and get their types when they are read, so a type that has to widen
-    later costs nothing and loses nothing. ``types`` declares columns; the others follow their values.
+    later costs nothing and loses nothing. ``types`` declares columns; the others follow their values, whose kinds are
+    counted in every commit: the counts of all commits decide, so neither the order of the files nor their cut into
+    commits does. The schemas are a log: a reader can ask for the types as of a commit.
     """
 
     name: str
@@ -70,14 +85,19 @@ class RawTable:
     def data(self) -> str:
         return f"{self.path}/data"
 
+    @property
+    def log(self) -> str:
+        """One row per finished commit. Readers that follow it see a commit whole, with its schema, or not at all."""
+        return f"{self.path}/log"
+
     def schema_store(self, spark: SparkSession) -> SchemaStore:
         return SchemaStore(spark, f"{self.path}/schema")
 
-    def schema(self, spark: SparkSession) -> T.StructType:
-        stored = self.schema_store(spark).load()
+    def schema(self, spark: SparkSession, as_of: int | None = None) -> T.StructType:
+        stored = self.schema_store(spark).load(as_of)
         if stored is None:
             raise ValueError(f"table {self.name} has no data yet")
-        return _with_stamps(stored)
+        return _with_stamps(T.StructType([T.StructField(f.name, f.dataType) for f in stored]))
 
     def describe(self, spark: SparkSession) -> DataFrame:
         """Columns, their types, and the table's comment."""
@@ -92,45 +112,83 @@ class RawTable:
 
         def commit(files: DataFrame, version: int) -> None:
             found = files.collect()  # paths only, as many as one micro-batch has files
-            if not found:
-                return
-            groups = group_by_header(spark, [row["path"] for row in found])
-            if not groups:
-                return
-            store = self.schema_store(spark)
-            before = store.load()
-            known = {f.name: f.dataType.simpleString() for f in before or []}
-            texts = read_as_text(spark, [*known], groups)
-            types = evolve_types(texts, known, self.types)
-            schema = T.StructType([T.StructField(c, T.StructType.fromDDL(f"x {t}")[0].dataType) for c, t in types.items()])
-            if schema != before:
-                store.save(schema, version)
-            reports = {"expectations": self.rules, "rescued": [c for c, t in types.items() if t != "string"]}
-            if not is_committed(spark, self.data, version):
-                kept = texts
-                if self.rules:
-                    held = {c: f"__text_{i}" for i, c in enumerate(texts.columns)}
-                    both = texts.select(*[F.col(c).try_cast(types.get(c, "string")).alias(c) for c in texts.columns],
-                                        *[F.col(c).alias(h) for c, h in held.items()])
-                    kept = expect_all_or_drop(both, self.rules).select(*[F.col(h).alias(c) for c, h in held.items()])
-                stamped = kept.select("*", F.lit("insert").alias(CHANGE_TYPE),
-                                      F.lit(found[0]["seen_at"]).cast("timestamp").alias(COMMIT_TIMESTAMP))
-                write_commit(stamped, self.data, version)
-            for folder, names in reports.items():
-                if names and not is_committed(spark, f"{self.path}/{folder}", version):
-                    if folder == "expectations":
-                        report = expectation_report(typed(texts, types), self.rules)
-                    else:
-                        counts = texts.agg(F.count(F.lit(1)).alias("n"), *[
-                            F.count_if(misfit(c, types[c])).alias(f"c{i}") for i, c in enumerate(names)])
-                        report = counts.select(F.inline(F.array(*[F.struct(
-                            F.lit(c).alias("column_name"), F.col("n").alias("seen"), F.col(f"c{i}").alias("rescued"))
-                            for i, c in enumerate(names)])))
-                    write_commit(report.coalesce(1), f"{self.path}/{folder}", version)
+            if found and not is_committed(spark, self.log, version):
+                groups = group_by_header(spark, [row["path"] for row in found])
+                if groups:
+                    self._commit(spark, groups, found[0]["seen_at"], version)
 
         return (discover_files(spark, folders, max_files).writeStream.foreachBatch(commit)
                 .option("checkpointLocation", f"{self.path}/checkpoint"))
 
+    def _commit(self, spark: SparkSession, groups: dict[tuple, list[str]], seen_at, version: int) -> None:
+        """One pass over the files writes the rows and counts kinds of values, misfits and broken rules on the way.
+
+        Rules on columns without a declared type need the counts of all rows first. The rows are then kept as
+        Parquet in between, so the files are still read once. What was counted is stored with the commit, and a
+        repeated commit counts the same. Rows that are complete already are not written again, as a stream may have read them.
+        """
+        store = self.schema_store(spark)
+        before = store.load(version - 1) or T.StructType([])
+        texts = read_as_text(spark, before.names, groups)
+        columns = [c for c in texts.columns if c != CORRUPT]
+        lowered = {c.lower(): t for c, t in self.types.items()}
+        declared = {c: lowered[c.lower()] for c in columns if c.lower() in lowered}
+        undeclared = [c for c in columns if c not in declared]
+        held = {c: f"__text_{i}" for i, c in enumerate(texts.columns)}
+        stamps = [F.lit("insert").alias(CHANGE_TYPE), F.lit(seen_at).cast("timestamp").alias(COMMIT_TIMESTAMP)]
+
+        def with_texts(rows: DataFrame, types: dict[str, str]) -> DataFrame:
+            return rows.select(*[F.col(c).try_cast(types.get(c, "string")).alias(c) for c in texts.columns],
+                               *[F.col(c).alias(h) for c, h in held.items()])
+
+        def write(rows: DataFrame, counts: list[Column], rules: dict[str, str]) -> dict[str, int]:
+            seen = Observation()
+            kept = expect_all_or_drop(rows.observe(seen, *violation_counts(rules), *counts), rules)
+            kept = kept.select(*[F.col(h).alias(c) for c, h in held.items()], *stamps)
+            if is_committed(spark, self.data, version):
+                kept.write.format("noop").mode("overwrite").save()
+            else:
+                write_commit(kept, self.data, version)
+            return seen.get
+
+        counts = kind_counts({c: held[c] for c in undeclared}) + [
+            F.count_if(misfit(held[c], t)).alias(f"misfit_{c}") for c, t in declared.items()]
+        if self._known_before_counting(spark, texts.columns, declared):
+            found = write(with_texts(texts, declared), counts, self.rules)
+            schema = typed_schema(columns, self.types, add_counts(before, undeclared, found))
+        else:
+            between, seen = f"{self.path}/between/{COMMIT_VERSION}={version}", Observation()
+            with_texts(texts, {}).observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").parquet(between)
+            found = seen.get
+            schema = typed_schema(columns, self.types, add_counts(before, undeclared, found))
+            stored = spark.read.schema(with_texts(texts, {}).schema).parquet(between).select(
+                *[F.col(h).alias(c) for c, h in held.items()])
+            found |= write(with_texts(stored, {f.name: f.dataType.simpleString() for f in schema}), [], self.rules)
+            remove_path(spark, between)
+        store.save(schema, version)
+
+        rescued = []
+        for f in schema:
+            kind = f.dataType.simpleString()
+            if kind != "string":
+                here = add_counts(T.StructType([]), undeclared, found).get(f.name)
+                rescued.append((f.name, found["rows_seen"], misfits(kind, here) if here else found[f"misfit_{f.name}"]))
+        reports = {"expectations": report_of(spark, found, self.rules) if self.rules else None,
+                   "rescued": spark.createDataFrame(rescued, RESCUED) if rescued else None}
+        for folder, report in reports.items():
+            if report is not None and not is_committed(spark, f"{self.path}/{folder}", version):
+                write_commit(report.coalesce(1), f"{self.path}/{folder}", version)
+        write_commit(spark.createDataFrame([(found["rows_seen"],)], "rows_seen bigint").coalesce(1), self.log, version)
+
+    def _known_before_counting(self, spark: SparkSession, columns: Sequence[str], declared: dict[str, str]) -> bool:
+        """Whether the rules ask for columns with a declared type, or for the files' lines, only."""
+        known = ", ".join(f"`{c}` {t}" for c, t in declared.items())
+        try:
+            expect_all_or_drop(spark.createDataFrame([], known or "`__none` int"), self.rules).schema
+        except AnalysisException:
+            return False
+        return True
+
     def expectations(self, spark: SparkSession) -> DataFrame:
         """What the rules rejected so far. A value that does not fit its column breaks rules like a missing one."""
         lines = spark.read.schema("rule string, passed bigint, failed bigint").parquet(f"{self.path}/expectations")
@@ -138,15 +196,15 @@ class RawTable:
 
     def rescued_values(self, spark: SparkSession) -> DataFrame:
         """How many values of each typed column did not fit it when they arrived, in rows kept or not."""
-        lines = spark.read.schema("column_name string, seen bigint, rescued bigint").parquet(f"{self.path}/rescued")
+        lines = spark.read.schema(RESCUED).parquet(f"{self.path}/rescued")
         return lines.groupBy("column_name").agg(F.sum("seen").alias("seen"), F.sum("rescued").alias("rescued"))
 
     def read(self, spark: SparkSession, rescued: str | None = None) -> DataFrame:
         """The rows; ``rescued`` names a map with the values that do not fit, and lines that were torn."""
         return self.changes(spark, rescued).drop(*METADATA)
 
-    def _types(self, spark: SparkSession) -> tuple[dict[str, str], T.StructType]:
-        schema = self.schema(spark)
+    def _types(self, spark: SparkSession, as_of: int | None = None) -> tuple[dict[str, str], T.StructType]:
+        schema = self.schema(spark, as_of)
         types = {f.name: f.dataType.simpleString() for f in schema if f.name not in METADATA}
         stored = [T.StructField(c, T.StringType()) for c in (*types, CORRUPT)]
         return types, T.StructType(stored + [f for f in schema if f.name in METADATA])
@@ -156,8 +214,29 @@ class RawTable:
         return typed(read_commits(spark, self.data, stored), types, rescued)
 
     def stream_changes(self, spark: SparkSession) -> DataFrame:
+        """The rows as a stream with the columns and types of this moment. A number that needs a wider type stops the
+        stream; :meth:`follow` goes on with the new types."""
         types, stored = self._types(spark)
-        return typed(spark.readStream.schema(stored).options(**ANY_AGE).parquet(self.data), types)
+        return typed_or_stop(spark.readStream.schema(stored).options(**ANY_AGE).parquet(self.data), types)
+
+    def follow(self, spark: SparkSession, handle: Callable[[DataFrame, int], None], checkpoint: str,
+               max_commits: int = MAX_FILES) -> DataStreamWriter:
+        """New commits, given to ``handle(rows, number of the micro-batch)`` with columns and types as of the last of them.
+
+        The stream reads the log; rows are read as texts and typed in each micro-batch. So columns and types may change
+        while it runs, a value never gets lost to a type that was too narrow, and a repeated micro-batch has the types it had.
+        """
+
+        def batch(commits: DataFrame, number: int) -> None:
+            versions = sorted(row[COMMIT_VERSION] for row in commits.select(COMMIT_VERSION).collect())
+            if versions:
+                types, stored = self._types(spark, versions[-1])
+                reader = spark.read.schema(stored).option("basePath", self.data)
+                handle(typed(reader.parquet(*[f"{self.data}/{COMMIT_VERSION}={v}" for v in versions]), types), number)
+
+        log = (spark.readStream.schema(f"rows_seen bigint, {COMMIT_VERSION} bigint").options(**ANY_AGE)
+               .option("maxFilesPerTrigger", max_commits).parquet(self.log))
+        return log.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
 
 
 @dataclass(frozen=True)
@@ -190,10 +269,13 @@ class MergeTarget:
         return T.StructType(plain + [T.StructField(DELETED, T.BooleanType()),
                                      T.StructField(COMMIT_VERSION, T.LongType())])
 
-    def apply_changes(self, changes: DataFrame,
-                      transform: Callable[[DataFrame], DataFrame]) -> DataStreamWriter:
-        """Stream of changes, cleaned by ``transform``, into this target."""
-
+    def apply_changes(self, changes: DataFrame | RawTable, transform: Callable[[DataFrame], DataFrame],
+                      spark: SparkSession | None = None) -> DataStreamWriter:
+        """Stream of changes, cleaned by ``transform``, into this target. A raw table is followed with the types it has
+        at each commit."""
+        if isinstance(changes, RawTable):
+            spark = spark or SparkSession.active()
+            return changes.follow(spark, lambda rows, version: self.merge(transform(rows), version, spark), f"{self.path}/checkpoint")
         spark = changes.sparkSession
 
         def commit(batch: DataFrame, version: int) -> None:
@@ -255,17 +337,33 @@ class MergeTarget:
     def _stored(self, spark: SparkSession, schema: T.StructType, base: int | None,
                 before: int | None = None) -> DataFrame:
         """Winning changes so far: a compacted base and the commits after it."""
-        changes = read_commits(spark, self._changes_since(base), schema)
-        if before is not None:
-            changes = changes.filter(F.col(COMMIT_VERSION) < before)
+        changes = self._commits(spark, self._changes_since(base), schema, before)
         if base is None:
             return changes
         # The base keeps the commit version of each row as a column of its own, which ranks ties.
-        base_schema = T.StructType([f for f in schema if f.name != COMMIT_VERSION]
+        written = self._row_schema(SchemaStore(spark, f"{self.path}/schema").load(base))
+        base_schema = T.StructType([f for f in written if f.name != COMMIT_VERSION]
                                    + [T.StructField("version", T.LongType())])
         compacted = (spark.read.schema(base_schema).parquet(f"{self.path}/base/{base}")
                      .withColumnRenamed("version", COMMIT_VERSION))
-        return compacted.unionByName(changes)
+        return _as_schema(compacted, schema).unionByName(changes)
+
+    def _commits(self, spark: SparkSession, folder: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+        """Commits in ``folder``, each read with the schema it was written with, as ``schema`` has the columns now."""
+        store = SchemaStore(spark, f"{self.path}/schema")
+        starts = store.versions(None if before is None else before - 1) or [0]
+        parts = []
+        for start, end in zip(starts, [*starts[1:], before]):
+            written = store.load(start)
+            own = schema if written is None else T.StructType(
+                [f for f in self._row_schema(written) if f.name in schema.names])
+            rows = read_commits(spark, folder, own)
+            if len(starts) > 1:
+                rows = rows.filter(F.col(COMMIT_VERSION) >= start)
+            if end is not None:
+                rows = rows.filter(F.col(COMMIT_VERSION) < end)
+            parts.append(_as_schema(rows, schema))
+        return reduce(DataFrame.unionByName, parts)
 
     def compact(self, spark: SparkSession, version: int) -> None:
         """Reduce everything up to ``version`` into a new base; older commits stay as they are."""
@@ -278,18 +376,30 @@ class MergeTarget:
         mark = spark.createDataFrame([(True,)], "finished boolean")
         write_commit(mark.coalesce(1), f"{self.path}/compacted", version)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The dimension as of the last commit."""
-        stored_schema = SchemaStore(spark, f"{self.path}/schema").load()
+    def read(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
+        """The dimension as of the last commit, or as of an earlier one. Nothing written is ever changed, so a version
+        that was read once can be read again."""
+        stored_schema = SchemaStore(spark, f"{self.path}/schema").load(as_of)
         if stored_schema is None:
             raise ValueError(f"table {self.name} has no data yet")
-        rows = self._stored(spark, self._row_schema(stored_schema), self._base_version(spark))
+        before = None if as_of is None else as_of + 1
+        rows = self._stored(spark, self._row_schema(stored_schema), self._base_version(spark, before), before)
         build = scd1 if self.scd_type == 1 else scd2
         marked = rows.withColumnRenamed(DELETED, "__gone").withColumn(CHANGE_TYPE, F.lit("insert"))
         return build(marked, self.keys, self.sequence_by, [*self.except_columns, "__gone"], F.col("__gone"))
 
+    def last_version(self, spark: SparkSession) -> int:
+        """The newest commit that is complete."""
+        base = self._base_version(spark)
+        for version in reversed(numbered_folders(spark, self._changes_since(base), COMMIT_VERSION)):
+            if is_committed(spark, self._changes_since(base), version):
+                return version
+        if base is None:
+            raise ValueError(f"table {self.name} has no data yet")
+        return base
+
     def feed(self, spark: SparkSession) -> DataFrame:
-        return read_commits(spark, f"{self.path}/feed", self._feed_schema(spark))
+        return self._commits(spark, f"{self.path}/feed", self._feed_schema(spark))
 
     def stream_appends(self, spark: SparkSession) -> DataFrame:
         """Inserted rows of qualifying commits, as a stream."""
@@ -300,21 +410,33 @@ class MergeTarget:
         return T.StructType([f for f in self._row_schema(schema) if f.name != DELETED])
 
 
-def enrich_commits(stream: DataFrame, dimension: Callable[[SparkSession], DataFrame], key: str,
-                   folder: str) -> DataStreamWriter:
+def enrich_commits(stream: DataFrame, dimension: Callable[[SparkSession], DataFrame] | MergeTarget, key: str, folder: str,
+                   max_key_rows: int = MAX_GROUP_ROWS) -> DataStreamWriter:
     """Inner join of each micro-batch with the dimension as it is at that moment, written as commits.
 
-    For a dimension that changes while the stream runs, or is too big to broadcast. The micro-batch is
-    written first and joined as an ordinary batch, where adaptive execution splits a heavy key. A windowed
-    result then reads the commits with :func:`stream_commits`.
+    For a dimension that changes while the stream runs, or is too big to broadcast, and for facts of which one key may
+    have a large share. The micro-batch is written first and joined as an ordinary batch, in which keys with more than
+    ``max_key_rows`` facts are dealt out. A dimension given as a target is read as of a version that is written down before the
+    join, so a repeated micro-batch meets the state that it met before. A windowed result then reads the commits
+    with :func:`stream_commits`.
     """
     spark, schema = stream.sparkSession, stream.schema
 
+    def dimension_at(version: int) -> DataFrame:
+        if not isinstance(dimension, MergeTarget):
+            return dimension(spark)
+        if not is_committed(spark, f"{folder}/dimension", version):
+            pin = spark.createDataFrame([(dimension.last_version(spark),)], "as_of bigint")
+            write_commit(pin.coalesce(1), f"{folder}/dimension", version)
+        pinned = read_commit(spark, f"{folder}/dimension", T.StructType.fromDDL("as_of bigint"), version).first()
+        return dimension.read(spark, pinned["as_of"])
+
     def commit(batch: DataFrame, version: int) -> None:
+        if is_committed(spark, f"{folder}/enriched", version):
+            return
         write_commit(batch, f"{folder}/arrived", version)
         arrived = spark.read.schema(schema).parquet(f"{folder}/arrived/{COMMIT_VERSION}={version}")
-        if not is_committed(spark, f"{folder}/enriched", version):
-            write_commit(arrived.join(dimension(spark), key, "inner"), f"{folder}/enriched", version)
+        write_commit(salted_join(arrived, dimension_at(version), key, max_key_rows), f"{folder}/enriched", version)
 
     return stream.writeStream.foreachBatch(commit).option("checkpointLocation", f"{folder}/checkpoint")
 
