@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .spans import Memo, pieces, span_hashes
+from .spans import Memo, pieces, word_hashes
 
 #: Unicode's White_Space characters, which the pre-tokenizer takes for blanks.
 WHITE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -254,17 +254,26 @@ class Automaton:
         return starts, special
 
     def _library_split(self, raw: bytes, shift: int, special: dict[int, int]) -> np.ndarray:
-        starts, rest = [], raw
-        while rest:
-            found = [(rest.find(t.encode()), -len(t), t) for t in self.special if t.encode() in rest]
-            stop, _, token = min(found) if found else (len(rest), 0, "")
-            for _, (a, _) in self.library.pre_tokenizer.pre_tokenize_str(rest[:stop].decode()):
-                starts.append(shift + len(rest[:stop].decode()[:a].encode()))
+        """First bytes of the words of a text as the library splits it; each part of the text is decoded once."""
+        cuts = []
+        for token in self.special:
+            place = raw.find(token.encode())
+            while place >= 0:
+                cuts.append((place, -len(token), token))
+                place = raw.find(token.encode(), place + 1)
+        starts, done = [], 0
+        for place, _, token in [*sorted(cuts), (len(raw), 0, "")]:
+            if place < done:
+                continue
+            if place > done:
+                text = raw[done:place].decode()
+                # Where each character begins.
+                at = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8)[done:place] & 0xC0) != 0x80), place - done)
+                starts += [shift + done + int(at[a]) for _, (a, _) in self.library.pre_tokenizer.pre_tokenize_str(text)]
             if token:
-                special[shift + stop] = self.special[token]
-                starts.append(shift + stop)
-                stop += len(token.encode())
-            shift, rest = shift + stop, rest[stop:]
+                special[shift + place] = self.special[token]
+                starts.append(shift + place)
+            done = place + len(token.encode())
         return np.array(sorted(set(starts)), np.int64)
 
     # ---- texts
@@ -277,7 +286,7 @@ class Automaton:
                 continue
             starts, special = self.split(data, offsets)
             ends = np.append(starts[1:], len(data))
-            hashes = span_hashes(data, starts, ends)
+            hashes = word_hashes(data, starts, ends)
             if special:  # a special token isn't the word that is spelled the same
                 marks = np.searchsorted(starts, sorted(special))
                 hashes[marks] ^= np.uint64(0x5851F42D4C957F2D)
