@@ -100,3 +100,36 @@ def test_training_order_round_trip(spark, tmp_path):
     assert all(by_slot[r.slot] == r.ids_sha256 for r in resumed)
     assert training_order(spark, spark.createDataFrame([(1, None), (2, "")], SCHEMA)).collect() == []
     assert LONG  # one text fills many sequences
+
+
+def test_random_counts_equal_the_library():
+    from tidegate.llm.token_counts import PieceCounter
+
+    rng = random.Random(9)
+    alphabets = ("ab ▁", "▁ \n", "a▁ 🙂é", "the of ▁x", " ab")
+    texts = ["".join(rng.choice(a) for _ in range(rng.randint(0, 30))) for a in alphabets for _ in range(4000)]
+    texts += ["▁ ▁", "a▁ 🙂", "▁ \n"]
+    with open(PIECES, "rb") as file:
+        got = PieceCounter(file.read()).count(pa.array(texts))
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert got.tolist() == [len(ids) for ids in model.encode(texts, num_threads=1)]
+
+
+def test_words_whose_polynomial_hashes_agree_are_told_apart():
+    """The sequence of Thue and Morse and its complement: all terms of a polynomial modulo 2^64 cancel out."""
+    bits = [bin(n).count("1") % 2 for n in range(1024)]
+    a, b = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    text = a + "\n" + b
+    with open(BPE, encoding="utf-8") as file:
+        machine = automaton(file.read())
+    (ids, _), = machine.encode(pa.array([text]))
+    assert ids.tolist() == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
+
+
+def test_a_long_text_that_the_library_splits(spark):
+    """Emoji and special tokens in a text of a megabyte; the split takes time in proportion."""
+    text = "some words, 🙂 and <|endoftext|> others é\n" * 24_000
+    tokenizer = Tokenizer.from_file(BPE)
+    got = bpe_round_trip(spark.createDataFrame([(1, text)], SCHEMA), BPE).first()
+    ids = tokenizer.encode(text, add_special_tokens=False).ids
+    assert got["n_tokens"] == len(ids) and got["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()

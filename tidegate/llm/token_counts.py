@@ -16,18 +16,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import path_exists
-from .spans import Memo, pieces, span_hashes, spans
+from .spans import Memo, pieces, spans, word_hashes
 
 LIMIT = 4096
 CACHE = "digest string, n_tokens long"
+#: The character that stands for a blank in pieces.
+BLANK = "▁".encode()
 
 
 class PieceCounter:
     """Counts tokens as sentencepiece does.
 
     Where no piece holds a blank after another character, merges don't reach across the blank before a word, and a text
-    without double or trailing blanks is counted word by word, each distinct word once. Other texts, and all texts of
-    other models, are encoded whole.
+    without double or trailing blanks is counted word by word, each distinct word once. Other texts, those that hold the
+    character that stands for a blank in pieces, and all texts of other models, are encoded whole.
     """
 
     def __init__(self, model: bytes):
@@ -53,12 +55,16 @@ class PieceCounter:
             blanks = np.concatenate(([0], np.cumsum(blank)))
             words = np.bincount(owner, minlength=n)
             odd = blanks[offsets[1:]] - blanks[offsets[:-1]] != np.maximum(words - 1, 0)
+            raw = data.tobytes()
+            place = raw.find(BLANK)
+            while place >= 0:
+                odd[np.searchsorted(offsets, place, "right") - 1] = True
+                place = raw.find(BLANK, place + len(BLANK))
             if not self.by_word:
                 odd[:] = True
             fine = ~odd[owner]
             starts, ends, owner = starts[fine], ends[fine], owner[fine]
-            hashes, place, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-            raw = data.tobytes()
+            hashes, place, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
 
             def add(new, first):
                 counts = self._whole([raw[starts[i]: ends[i]].decode() for i in place[new]])
