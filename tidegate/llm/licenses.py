@@ -2,8 +2,9 @@
 
 All pairs of neighbouring words of a text are joined by hash to the places in license texts where the same pair stands.
 A match votes for the diagonal (place in the text minus place in the license). A license's words stand consecutively
-where one diagonal has all its votes; a license text that was edited shows as neighbouring diagonals, whose votes are
-merged into one span. Matches are verified on the words themselves. Built-in functions only.
+where one diagonal has all its votes; a license text that was edited shows as neighbouring diagonals. Those within a
+band are merged: a span is as good as the share of the license's pairs that can be found in it one after the other, in
+the order of the license, each pair counted once. Matches are verified on the words themselves. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ TEXTS = {
 }
 #: Share of a license text's word pairs that a span needs.
 LEAST_SHARE = 0.6
-#: Words by which neighbouring diagonals may differ.
-SHIFT = 3
+#: Width of a band: words that an edited license may have more, or fewer, than the original, all in all.
+BAND = 6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,24 +60,35 @@ def license_scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"),
                        words_of(F.col("text")).alias("words"))
-    hashes = F.zip_with("words", F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))),
-                        lambda a, b: F.xxhash64(a, b))
-    # Words go along with the positions, but only matches look at them.
-    found = (rows.select("doc_id", "version", "words", F.posexplode(hashes).alias("place", "pair"))
-             .join(F.broadcast(templates(spark)), "pair")
-             .filter((F.get("words", F.col("place")) == F.col("word")) & (F.get("words", F.col("place") + 1) == F.col("second")))
+    known = templates(spark)
+    # A word pair is a small struct; only pairs of the fixed list leave the array of their text.
+    pairs = F.transform("words", lambda w, i: F.struct(i.cast("int").alias("place"), w.alias("first_word"),
+                                                       F.get("words", i + 1).alias("next_word")))
+    keys_of_pairs = [r["pair"] for r in known.select("pair").distinct().collect()]
+    matched = F.filter(pairs, lambda p: F.xxhash64(p["first_word"], p["next_word"]).isin(keys_of_pairs))
+    found = (rows.select("doc_id", "version", F.explode(matched).alias("match")).select("doc_id", "version", "match.*")
+             .withColumn("pair", F.xxhash64("first_word", "next_word")).join(F.broadcast(known), "pair")
+             .filter((F.col("first_word") == F.col("word")) & (F.col("next_word") == F.col("second")))
              .select("doc_id", "version", "template", "label", "base", "pairs", "at", (F.col("place") - F.col("at")).alias("diagonal")))
     keys = ["doc_id", "version", "template", "label", "base", "pairs"]
     # A place of the license votes once on a diagonal, also if the row is there several times.
-    votes = found.groupBy(*keys, "diagonal").agg(F.size(F.collect_set("at")).alias("votes"))
-    complete = votes.filter("base AND votes >= pairs").select(
+    votes = found.groupBy(*keys, "diagonal").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    complete = votes.filter("base AND size(ats) >= pairs").select(
         *keys, "diagonal", F.lit(1.0).alias("share"))
     along = Window.partitionBy("doc_id", "version", "template").orderBy("diagonal")
-    merged = (votes.filter("NOT base AND votes >= 2 OR NOT base AND votes >= pairs")
-              .withColumn("fresh", (F.col("diagonal") - F.lag("diagonal", 1, -10 ** 9).over(along) > SHIFT).cast("int"))
-              .withColumn("span", F.sum("fresh").over(along)).groupBy(*keys, "span")
-              .agg(F.min("diagonal").alias("diagonal"), F.least(F.lit(1.0), F.sum("votes") / F.first("pairs")).alias("share"))
-              .filter(F.col("share") >= LEAST_SHARE).drop("span"))
+    band = F.collect_list(F.struct("diagonal", "ats")).over(along.rangeBetween(0, BAND))
+    places = F.array_sort(F.flatten(F.transform(band, lambda d: F.transform(d["ats"], lambda at: F.struct(
+        at.alias("at"), (at + d["diagonal"]).alias("place"))))))
+    # Pairs of the license that follow each other in the text as well: of each, the first place behind the one before.
+    start = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("place"), F.lit(0).alias("n"))
+    chain = F.aggregate(places, start, lambda last, p: F.when(
+        (p["at"] > last["at"]) & (p["place"] > last["place"]),
+        F.struct(p["at"].alias("at"), p["place"].alias("place"), (last["n"] + 1).alias("n"))).otherwise(last))
+    merged = (votes.filter("NOT base").withColumn("share", chain["n"] / F.col("pairs"))
+              .filter(F.col("share") >= LEAST_SHARE)
+              .withColumn("fresh", F.col("diagonal") - F.lag("diagonal", 1, -10 ** 9).over(along) > BAND)
+              .withColumn("span", F.sum(F.col("fresh").cast("int")).over(along)).groupBy(*keys, "span")
+              .agg(F.min("diagonal").alias("diagonal"), F.max("share").alias("share")).drop("span"))
     spans = complete.unionByName(merged)
     labels = F.array_join(F.sort_array(F.collect_set("label")), ",")
     base = F.when(F.col("base"), F.col("diagonal")).cast("long")
