@@ -9,6 +9,7 @@ whole training texts turns that into the score. Every window of every text is sc
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -327,13 +328,27 @@ def _training_windows(batches):
                 names=["number", "toxic", "nth", "words", "runs", "first"])
 
 
+def _train_task(batches):
+    """The windows, in order, → one row with the network; none without windows of both labels."""
+    given = list(batches)
+    if not given:
+        return
+    windows = pa.Table.from_batches(given).combine_chunks()
+    columns = [windows[k].to_pylist() for k in ("number", "toxic")]
+    lists = [[v.values.to_numpy() for v in windows[k]] for k in ("words", "runs", "first")]
+    data = [(n, t == 1, w.view(np.uint64), r.view(np.uint64), f) for n, t, w, r, f in zip(*columns, *lists)]
+    if len({w[1] for w in data}) == 2:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(data))], pa.binary())], names=["network"])
+
+
 def fit_network(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1)) -> Network | None:
     """Fit on labelled rows outside the holdout; None without documents of both labels.
 
-    The driver gets at most SAMPLE_WINDOWS windows of at most STEPS words, whatever the size of the tables.
+    One task gets at most SAMPLE_WINDOWS windows of at most STEPS words, whatever the size of the tables.
     """
     known = (labels.select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").alias("__toxic"))
-             .filter("__id IS NOT NULL AND __toxic IS NOT NULL").filter(~held_out("__id", *holdout)))
+             .filter("__id IS NOT NULL AND __toxic IS NOT NULL").filter(~held_out("__id", *holdout))
+             .join(docs.select(F.col("doc_id").cast("long").alias("__id")), "__id", "left_semi"))
     chosen = None
     for value in (0, 1):
         some = known.filter(F.col("__toxic") == value).orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE)
@@ -342,16 +357,14 @@ def fit_network(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (
             .join(F.broadcast(chosen), "__id").select(F.col("__id").cast("long"), F.col("__toxic").cast("int"), "__text"))
     # Three quarters train the network; the rest, which it hasn't seen, calibrate it.
     apart = F.pmod(F.xxhash64("__id", F.lit("calibration")), F.lit(4)) == 0
+    # The windows go to one task, which trains: the driver only gets the network.
     windows = (rows.filter(~apart).mapInArrow(_training_windows, "number long, toxic int, nth long, words array<long>, "
-                                                  "runs array<long>, first array<long>")
-               .orderBy(F.xxhash64("number", "nth"), "number", "nth", "toxic").limit(SAMPLE_WINDOWS).toArrow())
-    windows = windows.combine_chunks()
-    columns = [windows[k].to_pylist() for k in ("number", "toxic")]
-    lists = [[v.values.to_numpy() for v in windows[k]] for k in ("words", "runs", "first")]
-    data = [(n, t == 1, w.view(np.uint64), r.view(np.uint64), f) for n, t, w, r, f in zip(*columns, *lists)]
-    if len({w[1] for w in data}) < 2:
+                                              "runs array<long>, first array<long>")
+               .orderBy(F.xxhash64("number", "nth"), "number", "nth", "toxic").limit(SAMPLE_WINDOWS))
+    trained = windows.mapInArrow(_train_task, "network binary").collect()
+    if not trained:
         return None
-    net = train(data)
+    net = pickle.loads(trained[0]["network"])
 
     def worst(batches):
         for batch in batches:
