@@ -102,6 +102,9 @@ def test_benchmark_items_exact_reworded_and_inconsistent(spark):
     assert got == {(1, 1): (3, False), (2, 1): (1, True), (4, 2): (0, False), (8, 2): (3000, False)}
     kept = without_benchmark(spark, documents(spark, docs), items)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [3, 5, 6, 7]
+    assert kept.filter("doc_id IS NULL").count() == 0
+    twins = spark.createDataFrame([(1, same), (1, "a clean text with the id of another")], SCHEMA)
+    assert [r.text for r in without_benchmark(spark, twins, items).collect()] == ["a clean text with the id of another"]
     empty = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(spark, documents(spark, docs), empty).collect() == []
     assert contaminated(spark, spark.createDataFrame([], SCHEMA), items).collect() == []
@@ -200,3 +203,10 @@ def test_revisits_against_plain_python(spark, monkeypatch, chunk_rows):
             assert got[i].payload_sha256 == hashlib.sha256(answer[5].encode()).hexdigest()
             assert got[i].headers.get("x") == answer[4].get("X")  # not permitted in a not-modified answer
     assert warc.resolve_revisits(df.limit(0)).collect() == []
+
+
+def test_benchmark_items_in_a_text_of_a_megabyte(spark):
+    """Words by the hundred thousand, an item at the end; neither window nor text is repeated per word."""
+    text = " ".join(f"w{i % 5000} and" for i in range(100_000)) + " " + ITEMS[1][1]
+    got = found_in(spark, [text], ITEMS)
+    assert set(got) == {(0, 2)} and got[0, 2].first_word == 200_000 and got[0, 2].coverage == 1

@@ -177,19 +177,21 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
     passes = -(-number // BLOCK)
     rows = _with_forms(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"),
                                                                 F.xxhash64("text").alias("version"), "text"))
-    rows = rows.select("doc_id", "version", "words", "form", "named", F.explode(_begins(sorted(short))).alias("begin"))
+
+    def window_key(at: Column, own: Column) -> Column:
+        plain = F.when(_says_little(_parts("form", at)), _key(RAW, _parts("words", at))).otherwise(_key(PLAIN, _parts("form", at)))
+        key = F.when(own == PLAIN, plain)
+        for m in short:
+            key = key.when(own == RAW + m - 1, _key(RAW, _parts("words", at, m)))
+        return key.otherwise(_key(NAMED, _parts("named", at)))
+
+    # Windows stay numbers and hashes in the array of their text until it is known that an item has them.
+    keyed = F.transform(_begins(sorted(short)), lambda b: F.struct(
+        b.alias("begin"), window_key(F.shiftright(b, 3), b.bitwiseAND(KINDS - 1)).alias("window")))
     at, own = F.shiftright("begin", 3), F.col("begin").bitwiseAND(KINDS - 1)
-    rows = rows.withColumn("at", at).withColumn("own", own)
-    at, own = F.col("at"), F.col("own")
-    plain = F.when(_says_little(_parts("form", at)), _key(RAW, _parts("words", at))).otherwise(_key(PLAIN, _parts("form", at)))
-    key = F.when(own == PLAIN, plain)
-    for m in short:
-        key = key.when(own == RAW + m - 1, _key(RAW, _parts("words", at, m)))
-    key = key.otherwise(_key(NAMED, _parts("named", at)))
     form = F.when(own >= RAW, F.slice("words", at + 1, own - (RAW - 1))).when(
         F.col("kind") == RAW, F.array(*_parts("words", at))).when(
         own == PLAIN, F.array(*_parts("form", at))).otherwise(F.array(*_parts("named", at)))
-    rows = rows.withColumn("window", key)
     # A window without names stands in both forms, here with its place in the plain one.
     place = F.when((own == PLAIN) & (F.col("kind") == NAMED) & (F.size("named") > 0),
                    F.size(F.filter("named", lambda p: p["at"] <= at)) - 1).otherwise(at)
@@ -199,7 +201,13 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
         block = windows
         if passes > 1:
             block = windows.filter(F.pmod(F.xxhash64("item_id", "kind", "variant", "item_place"), F.lit(passes)) == i)
-        some = rows.join(F.broadcast(block), "window").filter(form == F.col("item_form"))
+        hashes = ", ".join(f"{r['window']}L" for r in block.select("window").distinct().collect())
+        if not hashes:
+            hashes = "NULL"
+        some = (rows.withColumn("keyed", keyed).select("doc_id", "version", "words", "form", "named", F.explode(
+            F.expr(f"filter(keyed, k -> k.window IN ({hashes}))")).alias("match"))
+            .select("doc_id", "version", "words", "form", "named", "match.*"))
+        some = some.join(F.broadcast(block), "window").filter(form == F.col("item_form"))
         some = some.withColumn("filled", F.when(own == NAMED, _fill(at)).otherwise(F.array(*_parts("words", at))))
         # Each window answers for its placeholders.
         slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.struct(
@@ -259,6 +267,8 @@ def _one_to_one(slots: Column | str) -> Column:
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item was found."""
-    bad = contaminated(spark, docs.select("doc_id", "text"), items).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` in which no benchmark item was found: each row by its own text, also those that share an id or
+    have none."""
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    bad = contaminated(spark, docs.select(row.alias("doc_id"), "text"), items).select(F.col("doc_id").alias("__row")).distinct()
+    return docs.join(bad, row == F.col("__row"), "left_anti").select(*docs.columns)
