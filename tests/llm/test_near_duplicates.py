@@ -69,3 +69,7 @@ def test_one_of_each_group_keeps_the_smallest_id_and_rows_without_id(spark):
     groups = near_duplicate_groups(TEXTS)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(groups.values()))
     assert kept.filter("doc_id IS NULL").count() == 1
+    twins = spark.createDataFrame([(1, "one text of its own that nothing else is like"), (1, "another text with the same id but other words"),
+                                   (None, "another text with the same id but other words"), (1, "one text of its own that nothing else is like")],
+                                  "doc_id long, text string")
+    assert sorted((r.doc_id, r.text[:3]) for r in one_of_each_group(spark, twins).collect()) == [(1, "ano"), (1, "one")]

@@ -233,11 +233,13 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, without those whose component has a smaller doc_id; repeated rows stay once.
-
-    Rows without a doc_id stay.
-    """
-    found = ngram_jaccard_components(spark, docs.select("doc_id", "text")).filter("doc_id <> component_id") \
-        .select("doc_id").distinct()
-    known = docs.filter("doc_id IS NOT NULL").join(found, "doc_id", "left_anti").select(*docs.columns)
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+    """One row of each component: that with the smallest doc_id, a null one last. Rows are told apart by doc_id and text, so
+    rows with one id and different texts that do not link both stay; rows equal in both stay once."""
+    row = F.xxhash64("doc_id", "text")
+    ids = docs.select("doc_id", row.alias("__row"))
+    found = ngram_jaccard_components(spark, docs.select(row.alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("__row"), "component_id").distinct()
+    first = ids.join(found, "__row").groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first"))
+    kept = first.select(F.col("first.__row").alias("__row"))
+    return docs.withColumn("__row", row).join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
