@@ -368,6 +368,20 @@ def dedup_within_commit(spark, sf_dir):
     return _ntz(ch.dedup_within_commit(copies), ch.COMMIT_TIMESTAMP)
 
 
+@query("dedup_stream_copies")
+def dedup_stream_copies(spark, sf_dir):
+    """The whole feed comes in a first micro-batch, and half of it again in a second one."""
+    feed = feeds.orders_feed(*_t(spark, sf_dir, "events")).join(
+        _t(spark, sf_dir, "events")[0].select(F.col("event_id").alias("order_id"), F.col("ts").cast("timestamp").alias("at")), "order_id")
+    folder = work_dir(spark, "copies")
+    for part in (feed, feed.filter(F.col("order_id") % 2 == 0)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(feed.schema).options(**ANY_AGE).parquet(f"{folder}/in")
+        once = ch.dedup_stream(stream, "at", "3650 days").drop("at")
+        run_available(append_parquet(once, f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.schema(once.schema).parquet(f"{folder}/out")
+
+
 # ---- cleaning
 
 @query("parse_dates_multi_format")
@@ -441,6 +455,18 @@ def scd2_history(spark, sf_dir):
     return _intervals(_history(spark, sf_dir))
 
 
+@query("scd2_change_feed")
+def scd2_change_feed(spark, sf_dir):
+    """Prices come in three deliveries, the middle of every product's history last. The changes that the type 2 table
+    publishes add up to the whole history."""
+    updates = feeds.product_updates(*_t(spark, sf_dir, "lineitem", "part"))
+    rows = tidy_products(expect_all_or_drop(updates, PRODUCT_RULES))
+    target, part = MergeTarget("products", work_dir(spark, "versions"), ("product_id",), scd_type=2), F.col(ch.COMMIT_VERSION) % 3
+    for version, delivery in enumerate((2, 0, 1)):
+        target.merge(rows.filter(F.pmod(part, F.lit(3)) == delivery), version)
+    return _intervals(target.rebuild(target.feed(spark)))
+
+
 @query("scd2_current")
 def scd2_current(spark, sf_dir):
     return _intervals(scd.current(_history(spark, sf_dir)))

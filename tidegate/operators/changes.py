@@ -25,6 +25,17 @@ def dedup_within_commit(changes: DataFrame) -> DataFrame:
     return changes.dropDuplicates()
 
 
+def dedup_stream(changes: DataFrame, at: str, delay: str) -> DataFrame:
+    """Drop copies of a row that come in later micro-batches of a stream, up to ``delay`` behind the newest ``at``.
+
+    The state holds a digest per distinct row instead of the row, and forgets it when the watermark has passed; rows that
+    are later than that are dropped, copies or not. Rows without a time are kept, and their copies with them.
+    """
+    row = F.to_json(F.struct(*[F.col(c) for c in sorted(changes.columns)]), {"ignoreNullFields": "false"})
+    known = changes.filter(F.col(at).isNotNull()).withColumn("__digest", F.sha2(row, 256)).withWatermark(at, delay)
+    return known.dropDuplicatesWithinWatermark(["__digest"]).drop("__digest").unionByName(changes.filter(F.col(at).isNull()))
+
+
 def append_only(changes: DataFrame, granularity: str = "commit") -> DataFrame:
     """Inserted rows of commits that did nothing but insert; with ``row``, inserts of every commit."""
     inserts = changes.filter(F.col(CHANGE_TYPE) == "insert")

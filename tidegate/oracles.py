@@ -250,6 +250,8 @@ def oracle_queries() -> dict[str, str]:
                    CASE WHEN order_id % 2 = 1 THEN payment_method END AS payment_method FROM orders_feed""",
         "late_file_ingest": f"SELECT {_ORDER_COLUMNS} FROM orders_feed",
         "odd_file_names": f"SELECT {_ORDER_COLUMNS} FROM orders_feed",
+        "dedup_stream_copies": f"SELECT {_ORDER_COLUMNS} FROM orders_feed",
+        "scd2_change_feed": f"SELECT {_HISTORY} FROM product_history",
         "scd2_history_heavy": f"SELECT {_HISTORY} FROM product_history",
         "temporal_join_sweep": _TEMPORAL.format(on=f"({_IN_RANGE}) OR ({_EARLY})"),
         "temporal_join_crowded": _TEMPORAL.format(on=f"({_IN_RANGE}) OR ({_EARLY})"),

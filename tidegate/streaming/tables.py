@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, METADATA
 from ..operators.ordered import MAX_GROUP_ROWS
 from ..operators.quality import expect_all_or_drop, report_of, violation_counts
-from ..operators.scd import DELETED, applicable, reduce_changes, scd1, scd2
+from ..operators.scd import DELETED, START_AT, applicable, reduce_changes, scd1, scd2
 from ..operators.skew import salted_join
 from ..session import numbered_folders, path_exists, remove_path
 from ..sources.csv_feed import (ANY_AGE, CORRUPT, SchemaStore, add_counts, discover_files, group_by_header, kind_counts, misfit,
@@ -245,8 +245,8 @@ class MergeTarget:
 
     A micro-batch is reduced to its winning changes and appended; readers reduce again over a compacted
     base and the commits after it. Nothing that is already written is rewritten, so what a commit writes
-    follows the size of the batch and not of the table. To ``publish`` the change feed of a type 1 target,
-    a commit also reads the key and sequence columns of what is stored.
+    follows the size of the batch and not of the table. To ``publish`` its change feed, a commit also reads what is stored: of
+    a type 1 target the key and sequence columns, of a type 2 target the versions of the keys that it touches.
     """
 
     name: str
@@ -298,6 +298,9 @@ class MergeTarget:
             # Read back: the commit is on shared storage now and need not be computed again.
             written = read_commit(spark, self._changes_since(base), schema, version)
             self._publish(spark, written, self._stored(spark, schema, base, before=version), schema, version)
+        elif self.publish and not is_committed(spark, f"{self.path}/feed", version):
+            written = read_commit(spark, self._changes_since(base), schema, version)
+            self._publish_versions(written, self._stored(spark, schema, base, before=version), version)
         if self.compact_every and version and version % self.compact_every == 0:
             self.compact(spark, version)
 
@@ -323,6 +326,32 @@ class MergeTarget:
         if not is_committed(spark, f"{self.path}/appends", version):
             write_commit(inserts, f"{self.path}/appends", version)
 
+    def _publish_versions(self, written: DataFrame, earlier: DataFrame, version: int) -> None:
+        """The change feed of a type 2 target: what the commit did to the versions of the keys that it touches.
+
+        The versions of these keys are built without and with the commit and compared by key and start. A version may be
+        opened (insert), get another end or other values (update_postimage), or go (delete) because a late change
+        makes it the continuation of the one before it.
+        """
+        touched = written.select(*self.keys).distinct()
+        before = self._build(earlier.join(touched, list(self.keys), "left_semi"))
+        after = self._build(earlier.join(touched, list(self.keys), "left_semi").unionByName(written))
+        place = [*self.keys, START_AT]
+        rest = [c for c in after.columns if c not in place]
+        old = before.select(*place, F.struct(*rest).alias("__old"))
+        new = after.select(*place, F.struct(*rest).alias("__new"))
+        both = old.join(new, place, "full").filter(~F.col("__old").eqNullSafe(F.col("__new")))
+        kind = F.when(F.col("__old").isNull(), "insert").when(F.col("__new").isNull(), "delete").otherwise("update_postimage")
+        row = F.coalesce("__new", "__old")
+        changed = both.select(*place, row.alias("__row"), kind.alias(CHANGE_TYPE)).select(*place, "__row.*", CHANGE_TYPE)
+        write_commit(changed.select(*after.columns, CHANGE_TYPE), f"{self.path}/feed", version)
+
+    def _build(self, rows: DataFrame) -> DataFrame:
+        """The dimension from winning changes."""
+        build = scd1 if self.scd_type == 1 else scd2
+        marked = rows.withColumnRenamed(DELETED, "__gone").withColumn(CHANGE_TYPE, F.lit("insert"))
+        return build(marked, self.keys, self.sequence_by, [*self.except_columns, "__gone"], F.col("__gone"))
+
     def _changes_since(self, base: int | None) -> str:
         """Commits after a base have a folder of their own, so a reader never lists those before it."""
         return f"{self.path}/changes/{'start' if base is None else base}"
@@ -383,10 +412,7 @@ class MergeTarget:
         if stored_schema is None:
             raise ValueError(f"table {self.name} has no data yet")
         before = None if as_of is None else as_of + 1
-        rows = self._stored(spark, self._row_schema(stored_schema), self._base_version(spark, before), before)
-        build = scd1 if self.scd_type == 1 else scd2
-        marked = rows.withColumnRenamed(DELETED, "__gone").withColumn(CHANGE_TYPE, F.lit("insert"))
-        return build(marked, self.keys, self.sequence_by, [*self.except_columns, "__gone"], F.col("__gone"))
+        return self._build(self._stored(spark, self._row_schema(stored_schema), self._base_version(spark, before), before))
 
     def last_version(self, spark: SparkSession) -> int:
         """The newest commit that is complete."""
@@ -399,7 +425,27 @@ class MergeTarget:
         return base
 
     def feed(self, spark: SparkSession) -> DataFrame:
-        return self._commits(spark, f"{self.path}/feed", self._feed_schema(spark))
+        """The published changes: of rows for a type 1 target, of versions for a type 2 target."""
+        if self.scd_type == 1:
+            return self._commits(spark, f"{self.path}/feed", self._feed_schema(spark))
+        return read_commits(spark, f"{self.path}/feed", self._version_feed_schema(spark))
+
+    def stream_versions(self, spark: SparkSession) -> DataFrame:
+        """The change feed of a type 2 target as a stream."""
+        return spark.readStream.schema(self._version_feed_schema(spark)).options(**ANY_AGE).parquet(f"{self.path}/feed")
+
+    def _version_feed_schema(self, spark: SparkSession) -> T.StructType:
+        schema = self._row_schema(SchemaStore(spark, f"{self.path}/schema").load())
+        versions = self._build(spark.createDataFrame([], schema)).schema
+        return T.StructType([*versions, T.StructField(CHANGE_TYPE, T.StringType()), T.StructField(COMMIT_VERSION, T.LongType())])
+
+    def rebuild(self, feed: DataFrame) -> DataFrame:
+        """The versions that the change feed of a type 2 target adds up to: per key and start what its last commit left."""
+        place = [*self.keys, START_AT]
+        kept = [c for c in feed.columns if c not in (CHANGE_TYPE, COMMIT_VERSION)]
+        rest = [c for c in feed.columns if c not in place]
+        last = feed.groupBy(*place).agg(F.max_by(F.struct(*rest), COMMIT_VERSION).alias("__last"))
+        return last.select(*place, "__last.*").filter(F.col(CHANGE_TYPE) != "delete").select(*kept)
 
     def stream_appends(self, spark: SparkSession) -> DataFrame:
         """Inserted rows of qualifying commits, as a stream."""
