@@ -28,7 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import stored
+from ..session import work_dir
+from .common import discard, stored
 from .components import components
 from .spans import mix, shingle_sets
 
@@ -39,7 +40,7 @@ BAND_GROWTH = 1.5
 #: Largest set size of each band; sizes beyond 1e12 words do not occur.
 BAND_TOPS = np.unique(np.floor(3 * BAND_GROWTH ** np.arange(66)).astype(np.int64))
 
-SKETCH = ("doc_id long, n int, set_a long, set_b long, band int, words array<long>, "
+SKETCH = ("doc_id long, n int, set_a long, set_b long, band int, lead boolean, words array<long>, "
           "parity array<long>")
 
 
@@ -82,13 +83,15 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts = batch.column(0), batch.column(1)
         for first, n_texts, values, owner in shingle_sets(texts, WIDTH):
             borders = np.searchsorted(owner, np.arange(n_texts + 1))
-            rows: dict[str, list] = {k: [] for k in ("at", "n", "a", "b", "band", "words", "p")}
+            rows: dict[str, list] = {k: [] for k in ("at", "n", "a", "b", "band", "lead", "words", "p")}
             for i in range(n_texts):
                 own = values[borders[i]: borders[i + 1]]
                 key = (int(np.sum(own, dtype=np.uint64).astype(np.int64)),
                        int(np.sum(mix(own ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64).astype(np.int64)))
-                for band in _bands(len(own)) if len(own) else (-1,):
+                bands = _bands(len(own)) if len(own) else range(-1, 0)
+                for band in bands:
                     rows["at"].append(first + i)
+                    rows["lead"].append(band == bands[0])
                     rows["n"].append(len(own))
                     rows["a"].append(key[0])
                     rows["b"].append(key[1])
@@ -100,13 +103,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(rows["at"], pa.int64())).cast(pa.int64()), pa.array(rows["n"], pa.int32()),
                  pa.array(rows["a"], pa.int64()), pa.array(rows["b"], pa.int64()), pa.array(rows["band"], pa.int32()),
+                 pa.array(rows["lead"], pa.bool_()),
                  pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(rows["words"]))),
                  parity.cast(pa.list_(pa.int64()))],
-                names=["doc_id", "n", "set_a", "set_b", "band", "words", "parity"])
+                names=["doc_id", "n", "set_a", "set_b", "band", "lead", "words", "parity"])
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document and size band: set size, hashes of the whole set, join keys, parity bits."""
+    """One row per document and size band: set size, hashes of the whole set, join keys, parity bits; ``lead`` in one of them."""
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sketches, SKETCH)
 
 
@@ -128,10 +132,21 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts link; ``texts`` has (doc_id, text)."""
+def _by_id(spark: SparkSession, texts: DataFrame) -> tuple[str, str]:
+    """Store (doc_id, text) in buckets by id, so that no round shuffles it again: (table, folder)."""
+    n, folder = int(spark.conf.get("spark.sql.shuffle.partitions")), work_dir(spark, "texts")
+    name = "near_duplicate_texts_" + folder.rsplit("-", 1)[1]
+    (texts.write.bucketBy(n, "doc_id").sortBy("doc_id").option("path", folder).option("compression", "zstd")
+     .saveAsTable(name))
+    return name, folder
+
+
+def linked(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts link; ``texts`` has (doc_id, text). A text is moved once per pair it is in as ``a``."""
+    pairs = stored(spark, pairs, "pairs")
+    hubs = stored(spark, texts.join(pairs.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi"), "hubs")
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    with_b = with_a.join(hubs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return with_b.select("a", "b", "text_a", "text_b").mapInArrow(_overlap, "a long, b long")
 
 
@@ -180,35 +195,33 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ``docs`` are ignored, whatever their names. An empty table gives an empty result.
     """
     sketch = stored(spark, sketches(docs), "sketches")
-    rows = sketch.groupBy("doc_id", "n", "set_a", "set_b").agg(
-        F.count(F.lit(1)).alias("bands"), F.min("band").alias("band0"), F.max("band").alias("band1"))
-    # Repeated rows of a document appear once per band each.
-    rows = rows.select("doc_id", "n", "set_a", "set_b",
-                       F.expr("CAST(bands DIV (band1 - band0 + 1) AS LONG)").alias("times"))
-    classes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "set_a", "set_b").agg(
-        F.min("doc_id").alias("rep"), F.sum("times").alias("n_copies"))
+    # Equal sets have equal sketches, so a class is put together, and its copies are dropped, before any key leaves its task.
+    reps = stored(spark, sketch.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "set_a", "set_b", "band", "lead").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"),
+        F.first("words").alias("words"), F.first("parity").alias("parity")), "classes")
+    classes = reps.filter("lead").select("n", "set_a", "set_b", F.col("doc_id").alias("rep"), "n_copies")
+    rows = sketch.filter("lead").select("doc_id", "n", "set_a", "set_b")
     member = stored(spark, rows.join(classes, ["n", "set_a", "set_b"], "left").select(
-        "doc_id", "n", "times", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"),
+        "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"),
         F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies")), "members")
     # A document with several rows may be in several classes.
     same_id = (member.filter("n > 0").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a"))
                .filter("a <> b").select("doc_id", "b").join(member.filter("n > 0").select("doc_id", "rep"), "doc_id")
                .select(F.col("rep").alias("a"), "b"))
 
-    # One sketch per class: that of its smallest id.
-    reps = sketch.join(member.filter("n > 0 AND doc_id = rep").select("doc_id", "n").distinct(), ["doc_id", "n"],
-                       "left_semi")
     keys = reps.select(F.explode("words").alias("key"), "doc_id", "band")
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last")
     groups = stored(spark, keys.join(hubs.select("key", "hub"), "key"), "groups")
 
     involved = groups.select("doc_id").distinct()
-    texts = stored(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                   .join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
     bits = stored(spark, reps.join(involved, "doc_id", "left_semi").select("doc_id", "n", "band", "parity"), "bits")
+    table, folder = _by_id(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").join(involved, "doc_id", "left_semi")
+        .dropDuplicates(["doc_id", "text"]))
+    texts = spark.table(table)
 
     star = _nearest(groups.filter("doc_id <> hub").select("doc_id", "hub", "band"), bits)
-    links = stored(spark, linked(star, texts).unionByName(same_id), "links")
+    links = stored(spark, linked(spark, star, texts).unionByName(same_id), "links")
     merged = components(spark, links)
 
     groups = stored(spark, _still_open(groups, merged), "open")
@@ -216,7 +229,7 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     picked = groups.groupBy("key").agg(F.min_by("doc_id", order).alias("hub"),
                                        F.min_by("component", order).alias("hub_component"))
     star = groups.join(picked, "key").filter("component <> hub_component").select("doc_id", "hub", "band")
-    links = stored(spark, linked(_nearest(star, bits), texts).unionByName(links), "links")
+    links = stored(spark, linked(spark, _nearest(star, bits), texts).unionByName(links), "links")
     merged = components(spark, links)
 
     groups = _still_open(groups.select("key", "doc_id", "band"), merged)
@@ -224,12 +237,13 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     across = (apart.alias("x").join(apart.alias("y"), F.expr(
         "x.key = y.key AND x.doc_id < y.doc_id AND x.component <> y.component") & _may_link("x", "y"))
         .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
-    last = stored(spark, linked(across, texts), "links")
+    last = stored(spark, linked(spark, across, texts), "links")
     final = merged if last.isEmpty() else components(spark, links.unionByName(last))
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    discard(spark, folder)
     return (member.join(final.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.coalesce("component", "rep").alias("component_id"), "n_copies",
-                    F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("time")).drop("time"))
+                    F.coalesce("component", "rep").alias("component_id"), "n_copies"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:

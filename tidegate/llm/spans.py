@@ -25,6 +25,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Mixed numbers of each byte at the first 64 places of a word.
+NEAR = mix(np.arange(64 << 8))
+
+
 @cache
 def powers(factor: int, bits: int) -> np.ndarray:
     out = np.full(1 << bits, np.uint64(factor), np.uint64)
@@ -88,7 +92,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     lengths = ends - starts
     first = np.concatenate(([0], np.cumsum(lengths)))
     place = np.arange(first[-1]) - np.repeat(first[:-1], lengths)
-    value = mix((place.astype(np.uint64) << np.uint64(8)) | data[np.repeat(starts, lengths) + place].astype(np.uint64))
+    at = (place << 8) | data[np.repeat(starts, lengths) + place]
+    value = NEAR[np.minimum(at, len(NEAR) - 1)]
+    far = np.flatnonzero(at >= len(NEAR))
+    value[far] = mix(at[far])
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
     return mix((total[first[1:]] - total[first[:-1]]) ^ (lengths.astype(np.uint64) << np.uint64(40)))
 
@@ -125,7 +132,7 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> Iterator[tuple[int, int, np
     for first, data, offsets in pieces(texts):
         lowered = LOWER[data]
         starts, ends, owner = spans(~IS_BLANK[lowered], offsets)
-        values, owner = windows(span_hashes(lowered, starts, ends), owner, len(offsets) - 1, width)
+        values, owner = windows(word_hashes(lowered, starts, ends), owner, len(offsets) - 1, width)
         order = np.lexsort((values, owner))
         values, owner = values[order], owner[order]
         fresh = np.ones(len(values), bool)
