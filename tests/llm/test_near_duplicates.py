@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from helpers import documents, near_duplicate_groups, shingles, SCHEMA, TEXTS
+from tidegate.llm import parity_join
 from tidegate.llm.components import components
 from tidegate.llm.parity_join import BAND_TOPS, _bands, ngram_jaccard_components, one_of_each_group
 
@@ -45,6 +46,52 @@ def test_groups_of_edited_copies_and_shared_passages(spark):
     _check(spark, rows)
 
 
+def _crowd(n, size, seed=5):
+    """Texts that share a passage of ``size`` words and nothing else, but for a few near copies among them."""
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(size)]
+    rows = [(i, " ".join([f"a{rng.random()}" for _ in range(50)] + passage + [f"b{rng.random()}" for _ in range(9)])) for i in range(n)]
+    return rows + [(n + i, rows[7 * i][1] + " more at the end") for i in range(n // 10)]
+
+
+def test_crowds_around_a_passage_against_brute_force(spark, monkeypatch):
+    """Groups beyond the limit are joined on rare shingles; so are groups of two if the limit is 0."""
+    _check(spark, _crowd(150, 60))
+    monkeypatch.setattr(parity_join, "CROWD", 0)
+    test_groups_of_edited_copies_and_shared_passages(spark)
+
+
+def test_a_crowd_is_not_compared_in_all_pairs(spark, monkeypatch):
+    """Where n texts share a passage, the pairs compared are about as many as the near copies among them."""
+    counted = []
+    monkeypatch.setattr(parity_join, "_pairs", lambda members, accept, real=parity_join._pairs: _noted(real(members, accept), counted))
+    n = 300
+    parity_join.ngram_jaccard_components(spark, spark.createDataFrame(_crowd(n, 60), SCHEMA)).count()
+    assert sum(counted) <= 12 * n
+
+
+def _noted(pairs, counted):
+    counted.append(pairs.count())
+    return pairs
+
+
+def test_exact_setting_joins_all_words(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(5000)}" for _ in range(900)]
+    rows = [(i, " ".join(base[:900 - 20 * i])) for i in range(8)] + [(20 + i, t) for i, t in TEXTS if i in (1, 3, 9, 10)]
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_components(
+        spark, spark.createDataFrame(rows, SCHEMA), exact=True).collect()}
+    assert got == near_duplicate_groups(rows)
+
+
+def test_words_of_two_letters_that_a_polynomial_confuses_do_not_link(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    _check(spark, [(1, word), (2, other), (3, f"x y {word} z"), (4, f"x y {other} z")])
+
+
 def test_documents_with_two_texts_join_their_groups(spark):
     a, b = "a b c d e f g h", "q r s t u v w x"
     _check(spark, [(5, a), (3, b), (9, a), (9, b), (4, a)])

@@ -14,10 +14,15 @@ K <= WORDS all words are joined; words without tokens say nothing, so sets with
 n // 4 + 1 hashes, of which two linked sets share one. No size of a join group is capped.
 
 *Verify.* Sets that are equal are one class. In each join group the members are first compared with the group's smallest
-id, then, where the group still holds several components, with a member picked by hash, and what is then still apart is
-compared in pairs across components. A second sketch of 1024 parity bits bounds the difference from below and rejects
+id, then, where the group still holds several components, with a member picked by hash. What is then still apart is
+compared in pairs: members outside a group's largest component with those of other components. Where more than ``CROWD``
+are outside, as when many unrelated texts share a passage, their documents are joined anew on their n // 4 + 1 rarest
+shingles, one of which two linked sets share whatever the order of rarity; so a passage brings two texts together only if
+it makes up three quarters of one of them. A second sketch of 1024 parity bits bounds the difference from below and rejects
 most pairs before texts are read; the others are decided on the exact shingle sets. So a group of n alike texts costs
 about n comparisons, and no link between components is lost.
+
+``exact=True`` joins all K words and rejects nothing by sampled bits, for those who want no chance of a miss.
 """
 
 from __future__ import annotations
@@ -37,6 +42,10 @@ WIDTH = 5
 WORDS = 48
 BITS = 1024
 BAND_GROWTH = 1.5
+#: Groups with more members outside their largest component are joined anew on rare shingles.
+CROWD = 64
+#: Shingles whose frequency counts for the order of rarity; any order gives the same links.
+POPULAR = 1 << 16
 #: Largest set size of each band; sizes beyond 1e12 words do not occur.
 BAND_TOPS = np.unique(np.floor(3 * BAND_GROWTH ** np.arange(66)).astype(np.int64))
 
@@ -55,18 +64,19 @@ def _sampling(band) -> int:
     return np.maximum(1, BAND_TOPS[band] // BITS)
 
 
-def _word_keys(values: np.ndarray, band: int) -> np.ndarray:
+def _word_keys(values: np.ndarray, band: int, exact: bool) -> np.ndarray:
     """Join keys of one set in one band. ``values`` are its hashes, rising, so that words are runs of them."""
     k = int(BAND_TOPS[band]) * 2 // 7 + 1
     # The word number comes from the upper 32 bits.
     word = ((values >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-    used = values[: int(np.searchsorted(word, min(k, WORDS)))]
+    joined = k if exact else min(k, WORDS)
+    used = values[: int(np.searchsorted(word, joined))]
     word = word[: len(used)]
     out = np.zeros(0, np.uint64)
     if len(used):
         first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
         out = np.bitwise_xor.reduceat(used, first) ^ mix(word[first] + np.uint64(band << 40))
-    if k <= WORDS and len(out) < k:
+    if joined == k and len(out) < k:
         out = np.concatenate((out, values[: len(values) // 4 + 1] ^ np.uint64((band + 1) << 48 | 1)))
     return mix(out + np.uint64(band))
 
@@ -78,7 +88,7 @@ def _parity(values: np.ndarray, band: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], exact: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for first, n_texts, values, owner in shingle_sets(texts, WIDTH):
@@ -96,7 +106,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows["a"].append(key[0])
                     rows["b"].append(key[1])
                     rows["band"].append(band)
-                    rows["words"].append(_word_keys(own, band).view(np.int64) if band >= 0 else np.zeros(0, np.int64))
+                    rows["words"].append(_word_keys(own, band, exact).view(np.int64) if band >= 0 else np.zeros(0, np.int64))
                     rows["p"].append(_parity(own, band) if band >= 0 else np.zeros(BITS // 64, np.int64))
             lengths = np.concatenate(([0], np.cumsum([len(w) for w in rows["words"]])))
             parity = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(rows["p"])), BITS // 64)
@@ -109,9 +119,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n", "set_a", "set_b", "band", "lead", "words", "parity"])
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, exact: bool = False) -> DataFrame:
     """One row per document and size band: set size, hashes of the whole set, join keys, parity bits; ``lead`` in one of them."""
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_sketches, SKETCH)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda b: _sketches(b, exact), SKETCH)
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,24 +166,26 @@ def _distance(x: str, y: str) -> Column:
     return F.aggregate(differ, F.lit(0), lambda total, d: total + d)
 
 
-def _may_link(x: str, y: str) -> Column:
+def _may_link(x: str, y: str, exact: bool) -> Column:
     """Sizes allow a link, and the parity bits differ in no more places than a link allows.
 
-    Bands that sample their hashes hold a share of the difference only; six standard deviations are added to it.
+    Bands that sample their hashes hold a share of the difference only; six standard deviations are added to it,
+    or with ``exact`` nothing is rejected by them.
     """
     a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
     most = F.floor((a + b) / 7)
     share = F.element_at(F.array(*(F.lit(int(_sampling(k))) for k in range(len(BAND_TOPS)))), F.col(f"{x}.band") + 1)
     allowed = F.when(share == 1, most).otherwise(most / share + 6 * F.sqrt(most / share) + 6)
-    return (4 * F.least(a, b) >= 3 * F.greatest(a, b)) & (_distance(x, y) <= allowed)
+    near = _distance(x, y) <= allowed
+    return (4 * F.least(a, b) >= 3 * F.greatest(a, b)) & ((share > 1) | near if exact else near)
 
 
-def _nearest(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+def _nearest(pairs: DataFrame, bits: DataFrame, exact: bool) -> DataFrame:
     """(doc_id, hub, band) → for each document the hub nearest by parity bits, of those it may link with: (a, b)."""
     sides = (pairs.distinct().join(bits.alias("x"), ["doc_id", "band"])
              .select("hub", "band", F.struct("x.*").alias("x"))
              .join(bits.select(F.col("doc_id").alias("hub"), "band", F.struct(*bits.columns).alias("y")), ["hub", "band"]))
-    return (sides.filter(_may_link("x", "y"))
+    return (sides.filter(_may_link("x", "y", exact))
             .groupBy(F.col("x.doc_id").alias("a")).agg(F.min_by("hub", _distance("x", "y")).alias("b")))
 
 
@@ -186,7 +198,77 @@ def _still_open(groups: DataFrame, merged: DataFrame) -> DataFrame:
     return now.join(keys, "key", "left_semi")
 
 
-def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def _outside(groups: DataFrame) -> DataFrame:
+    """Adds to the members (key, component, ...) of groups with several components the largest one, ``main``, and how many
+    members are ``outside`` of it."""
+    parts = groups.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
+    keys = parts.groupBy("key").agg(F.max_by("component", F.struct("members", "component")).alias("main"),
+                                    (F.sum("members") - F.max("members")).alias("outside")).filter("outside > 0")
+    return groups.join(keys, "key")
+
+
+def _pairs(members: DataFrame, accept: Column) -> DataFrame:
+    """The pairs of members of different components of a group (x, y) that ``accept`` takes."""
+    return (members.filter("component <> main").alias("x").join(members.alias("y"), F.expr(
+        "x.key = y.key AND x.component <> y.component AND (y.component = y.main OR x.doc_id < y.doc_id)") & accept)
+        .select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct())
+
+
+def _frequent(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Texts → (key, times) of the shingles that several texts of the task hold; beyond ``most`` the rarest are let go."""
+    keys, times, new = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+
+    def counted():
+        every, which = np.unique(np.concatenate([keys, *new]), return_inverse=True)
+        total = np.bincount(which[: len(keys)], times, len(every)) + np.bincount(which[len(keys):], minlength=len(every))
+        if len(every) > most:
+            kept = total > np.partition(total, len(total) - most)[len(total) - most]
+            every, total = every[kept], total[kept]
+        return every, total.astype(np.int64)
+
+    for batch in batches:
+        for _, _, values, _ in shingle_sets(batch.column(0), WIDTH):
+            new.append(values)
+            if sum(map(len, new)) > most // 2:
+                (keys, times), new = counted(), []
+    keys, times = counted()
+    several = times > 1
+    yield pa.RecordBatch.from_arrays([pa.array(keys[several].view(np.int64)), pa.array(times[several])], names=["key", "times"])
+
+
+def _rarest(batches: Iterator[pa.RecordBatch], popular: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(doc_id, component, text) → the n // 4 + 1 rarest shingles of each text: (key, doc_id, component, n)."""
+    for batch in batches:
+        for first, n_texts, values, owner in shingle_sets(batch.column(2), WIDTH):
+            at = np.minimum(np.searchsorted(popular, values), len(popular) - 1)
+            order = np.lexsort((values, np.where(popular[at] == values, times[at], 0), owner))
+            n = np.bincount(owner, minlength=n_texts)
+            place = np.arange(len(values)) - (np.cumsum(n) - n)[owner]
+            taken = place <= n[owner] // 4
+            rows = pa.array(first + owner[taken])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[order][taken].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array(n[owner[taken]].astype(np.int32))], names=["key", "doc_id", "component", "n"])
+
+
+def _crowded_pairs(spark: SparkSession, crowd: DataFrame, texts: DataFrame, bits: DataFrame, exact: bool) -> DataFrame:
+    """(doc_id, component) of crowded groups → pairs that share a rare shingle and may link: (a, b)."""
+    held = texts.join(crowd, "doc_id").select("doc_id", "component", "text")
+    often = (held.select("text").mapInArrow(_frequent, "key long, times long").groupBy("key").agg(F.sum("times").alias("times"))
+             .filter(F.col("times") > CROWD).orderBy(F.desc("times"), "key").limit(POPULAR).collect())
+    popular = np.array([r.key for r in often] or [0], np.int64).view(np.uint64)
+    times = np.array([r.times for r in often] or [0], np.int64)
+    order = np.argsort(popular)
+    popular, times = popular[order], times[order]
+    rare = stored(spark, _outside(held.mapInArrow(
+        lambda b: _rarest(b, popular, times), "key long, doc_id long, component long, n int")), "rare")
+    pairs = _pairs(rare, F.expr("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"))
+    sides = (pairs.join(bits.select(F.col("doc_id").alias("a"), "band", F.struct(*bits.columns).alias("x")), "a")
+             .join(bits.select(F.col("doc_id").alias("b"), "band", F.struct(*bits.columns).alias("y")), ["b", "band"]))
+    return sides.filter(_may_link("x", "y", exact)).select("a", "b").distinct()
+
+
+def ngram_jaccard_components(spark: SparkSession, docs: DataFrame, exact: bool = False) -> DataFrame:
     """docs (doc_id, text, ...) → (doc_id, n_shingles, component_id, n_copies), one row per row of ``docs``.
 
     n_copies counts the rows with an equal shingle set, the row itself included. A text that is null, empty or without
@@ -194,7 +276,7 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Rows with the same doc_id are one document: what any of them links with is in its component. Other columns of
     ``docs`` are ignored, whatever their names. An empty table gives an empty result.
     """
-    sketch = stored(spark, sketches(docs), "sketches")
+    sketch = stored(spark, sketches(docs, exact), "sketches")
     # Equal sets have equal sketches, so a class is put together, and its copies are dropped, before any key leaves its task.
     reps = stored(spark, sketch.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "set_a", "set_b", "band", "lead").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"),
@@ -220,7 +302,7 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
         .dropDuplicates(["doc_id", "text"]))
     texts = spark.table(table)
 
-    star = _nearest(groups.filter("doc_id <> hub").select("doc_id", "hub", "band"), bits)
+    star = _nearest(groups.filter("doc_id <> hub").select("doc_id", "hub", "band"), bits, exact)
     links = stored(spark, linked(spark, star, texts).unionByName(same_id), "links")
     merged = components(spark, links)
 
@@ -229,14 +311,14 @@ def ngram_jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     picked = groups.groupBy("key").agg(F.min_by("doc_id", order).alias("hub"),
                                        F.min_by("component", order).alias("hub_component"))
     star = groups.join(picked, "key").filter("component <> hub_component").select("doc_id", "hub", "band")
-    links = stored(spark, linked(spark, _nearest(star, bits), texts).unionByName(links), "links")
+    links = stored(spark, linked(spark, _nearest(star, bits, exact), texts).unionByName(links), "links")
     merged = components(spark, links)
 
-    groups = _still_open(groups.select("key", "doc_id", "band"), merged)
-    apart = stored(spark, groups.join(bits, ["doc_id", "band"]), "apart")
-    across = (apart.alias("x").join(apart.alias("y"), F.expr(
-        "x.key = y.key AND x.doc_id < y.doc_id AND x.component <> y.component") & _may_link("x", "y"))
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
+    groups = stored(spark, _outside(_still_open(groups.select("key", "doc_id", "band"), merged)), "apart")
+    apart = groups.filter(F.col("outside") <= CROWD).join(bits, ["doc_id", "band"])
+    across = _pairs(apart, _may_link("x", "y", exact))
+    crowd = groups.filter(F.col("outside") > CROWD).select("doc_id", "component").distinct()
+    across = across.unionByName(_crowded_pairs(spark, crowd, texts, bits, exact)).distinct()
     last = stored(spark, linked(spark, across, texts), "links")
     final = merged if last.isEmpty() else components(spark, links.unionByName(last))
     spark.sql(f"DROP TABLE IF EXISTS {table}")
