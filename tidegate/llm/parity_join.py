@@ -41,13 +41,13 @@ from .spans import mix, shingle_sets
 WIDTH = 5
 WORDS = 48
 BITS = 1024
-BAND_GROWTH = 1.5
+BAND_GROWTH = 2
 #: Groups with more members outside their largest component are joined anew on rare shingles.
 CROWD = 64
 #: Shingles whose frequency counts for the order of rarity; any order gives the same links.
 POPULAR = 1 << 16
 #: Largest set size of each band; sizes beyond 1e12 words do not occur.
-BAND_TOPS = np.unique(np.floor(3 * BAND_GROWTH ** np.arange(66)).astype(np.int64))
+BAND_TOPS = np.unique(np.floor(3 * BAND_GROWTH ** np.arange(40)).astype(np.int64))
 
 SKETCH = ("doc_id long, n int, set_a long, set_b long, band int, lead boolean, words array<long>, "
           "parity array<long>")
