@@ -1,4 +1,6 @@
+import fnmatch
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -11,7 +13,7 @@ from tokenizers import Tokenizer
 from helpers import documents, LONG, SCHEMA, TEXTS
 from tidegate.llm.bpe_automaton import Automaton, automaton, bpe_round_trip
 from tidegate.llm.token_counts import _cached, token_counts
-from tidegate.llm.training_order import (IDS, index_of, read_training_order, slot_of, training_order, write_training_order)
+from tidegate.llm.training_order import (IDS, _numbers_between, index_of, read_training_order, slot_of, training_order, write_training_order)
 
 BPE, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 
@@ -102,6 +104,72 @@ def test_training_order_round_trip(spark, tmp_path):
     assert LONG  # one text fills many sequences
 
 
+def test_training_order_of_token_ids(spark):
+    """Records hold the library's ids, in pieces, each document's in order."""
+    tokenizer = Tokenizer.from_file(BPE)
+    got = training_order(spark, documents(spark), tokenizer_path=BPE).collect()
+    room = IDS // 2
+    want = sorted((i is None, i or 0, k, hashlib.sha256(np.array(ids[k * room:(k + 1) * room], "<u2").tobytes()).hexdigest())
+                  for i, t in TEXTS for ids in [tokenizer.encode(t or "", add_special_tokens=False).ids] for k in range(-(-len(ids) // room)))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.part, r.ids_sha256) for r in got) == want
+    assert sorted(r.slot for r in got) == list(range(len(want)))
+    assert training_order(spark, spark.createDataFrame([], SCHEMA), tokenizer_path=BPE).collect() == []
+
+
+@pytest.mark.parametrize("width", [1, 2, 4])
+def test_ids_of_every_width_come_back(spark, tmp_path, width):
+    rng = random.Random(width)
+    top = min(2 ** (8 * width), 2 ** 31)
+    rows = [(i, [rng.randrange(top) for _ in range(rng.choice((0, 1, 300, 2000)))] + [10, top - 1]) for i in range(40)]
+    rows += [(900, []), (901, None)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<int>")
+    folder = str(tmp_path / "order")
+    n = write_training_order(spark, df, folder, shard_slots=16, ids="tokens", width=width)
+    got = read_training_order(spark, folder, shard_slots=16, with_ids=True).collect()
+    assert sorted(r.slot for r in got) == list(range(n))
+    back = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.part)):
+        back.setdefault(r.doc_id, []).extend(r.ids)
+    assert back == {i: ids for i, ids in rows if ids}
+    if width < 4:
+        with pytest.raises(Exception, match="does not fit"):
+            write_training_order(spark, spark.createDataFrame([(1, [top])], df.schema), folder, ids="tokens", width=width)
+
+
+def test_resuming_opens_no_other_shards(spark, tmp_path):
+    """Shards outside the slots asked for are made too long to be read."""
+    folder = tmp_path / "order"
+    rows = [(i, list(range(i % 7 + 1))) for i in range(400)]
+    n = write_training_order(spark, spark.createDataFrame(rows, "doc_id long, ids array<int>"), str(folder), shard_slots=32, ids="ids")
+    assert n == 400
+    whole = {r.slot: r for r in read_training_order(spark, str(folder), shard_slots=32).collect()}
+    for file in folder.glob("part-*"):
+        if int(file.name[5:10]) not in (4, 5):
+            os.truncate(file, 3 << 30)
+    got = read_training_order(spark, str(folder), 130, 60, shard_slots=32).collect()
+    assert {r.slot: r for r in got} == {s: whole[s] for s in range(130, 190)}
+    assert read_training_order(spark, str(folder), 130, 0, shard_slots=32).collect() == []
+
+
+def test_input_that_changes_after_the_count_stops_the_job(spark, tmp_path):
+    def some(batches):
+        for batch in batches:
+            keep = np.random.default_rng().random(len(batch)) < 0.5
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), pa.array(["some"] * int(keep.sum()))], names=["doc_id", "text"])
+
+    changing = spark.range(20_000, numPartitions=2).mapInArrow(some, "doc_id long, text string")
+    with pytest.raises(Exception, match="store it first"):
+        write_training_order(spark, changing, str(tmp_path / "order"))
+
+
+def test_patterns_of_file_numbers():
+    for low, high in ((0, 0), (3, 3), (0, 99_999), (7, 1234), (128, 10 ** 9), (99_990, 100_020), (5, 4)):
+        names = _numbers_between(low, high)
+        tried = {*range(0, 1500), *range(99_900, 100_100), 10 ** 9, 10 ** 9 + 1}
+        assert all(any(fnmatch.fnmatchcase(f"{i:05d}", p) for p in names) == (low <= i <= high) for i in tried)
+        assert len(names) < 120
+
+
 def test_random_counts_equal_the_library():
     from tidegate.llm.token_counts import PieceCounter
 

@@ -358,3 +358,22 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, with_ids: bool = False)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+
+def token_ids(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """docs (doc_id, text, ...) → (doc_id, ids), one row per row of ``docs``: the encoding half of ``bpe_round_trip``."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        held = docs.sparkSession.sparkContext.broadcast(file.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = automaton(held.value)
+        for batch in batches:
+            done = 0
+            for ids, first in machine.encode(batch.column(1)):
+                n = len(first) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, n), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))],
+                    names=["doc_id", "ids"])
+                done += n
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")

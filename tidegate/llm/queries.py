@@ -42,7 +42,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order(spark, table(spark, sf_dir, "documents"))
+    return training_order(spark, table(spark, sf_dir, "documents"), tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
