@@ -66,10 +66,23 @@ def test_a_crowd_is_not_compared_in_all_pairs(spark, monkeypatch):
     counted = []
     monkeypatch.setattr(parity_join, "_pairs", lambda members, accept, real=parity_join._pairs: _noted(real(members, accept), counted))
     n = 300
+    monkeypatch.setattr(parity_join, "_rare_pairs", lambda rare, real=parity_join._rare_pairs: _noted(real(rare), counted))
     parity_join.ngram_jaccard_components(spark, spark.createDataFrame(_crowd(n, 60), SCHEMA)).count()
     assert sum(counted) <= 12 * n
 
 
+def test_a_passage_of_most_of_the_text_is_not_compared_in_all_pairs(spark, monkeypatch):
+    """Texts that share four fifths of their words, not enough for a link, and some near copies among them."""
+    rng = random.Random(12)
+    passage = [f"p{i}" for i in range(84)]
+    rows = [(i, " ".join([f"a{rng.random()}" for _ in range(20)] + passage)) for i in range(200)]
+    rows += [(200 + i, rows[9 * i][1] + " more") for i in range(20)] + [(300, " ".join(passage)), (301, " ".join(passage[:-4]))]
+    counted = []
+    monkeypatch.setattr(parity_join, "_rare_pairs", lambda rare, real=parity_join._rare_pairs: _noted(real(rare), counted))
+    _check(spark, rows)
+    assert 0 < len(counted) and sum(counted) <= 3 * len(rows)
+
+
 def _noted(pairs, counted):
     counted.append(pairs.count())
     return pairs

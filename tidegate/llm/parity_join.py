@@ -17,8 +17,8 @@ n // 4 + 1 hashes, of which two linked sets share one. No size of a join group i
 id, then, where the group still holds several components, with a member picked by hash. What is then still apart is
 compared in pairs: members outside a group's largest component with those of other components. Where more than ``CROWD``
 are outside, as when many unrelated texts share a passage, their documents are joined anew on their n // 4 + 1 rarest
-shingles, one of which two linked sets share whatever the order of rarity; so a passage brings two texts together only if
-it makes up three quarters of one of them. A second sketch of 1024 parity bits bounds the difference from below and rejects
+shingles, one of which two linked sets share whatever the order of rarity, and only where enough of both sets follows in
+that order; so a passage brings two texts together only if it makes up six sevenths of the shorter one. A second sketch of 1024 parity bits bounds the difference from below and rejects
 most pairs before texts are read; the others are decided on the exact shingle sets. So a group of n alike texts costs
 about n comparisons, and no link between components is lost.
 
@@ -214,6 +214,21 @@ def _pairs(members: DataFrame, accept: Column) -> DataFrame:
         .select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct())
 
 
+def _rare_pairs(rare: DataFrame) -> DataFrame:
+    """(key, doc_id, component, main, n, rest) → the pairs of different components that may link by what they share: (a, b).
+
+    What two sets share begins with their rarest common shingle, so it is no more than either has from there on. For the
+    smaller set of a pair this means six sevenths of its shingles: where it has fewer, it only meets smaller sets that have
+    them, and texts that share less than that of a passage are not compared at all.
+    """
+    most = F.expr("7 * rest >= 6 * n")
+    x = rare.filter("component <> main").withColumn("most", most).alias("x")
+    y = rare.withColumn("most", F.explode(F.when(most, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True))))).alias("y")
+    return (x.join(y, F.expr("""x.key = y.key AND x.most = y.most AND x.component <> y.component
+        AND (y.component = y.main OR x.doc_id < y.doc_id OR NOT x.most) AND 7 * least(x.rest, y.rest) >= 3 * (x.n + y.n)"""))
+            .select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct())
+
+
 def _frequent(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Texts → (key, times) of the shingles that several texts of the task hold; beyond ``most`` the rarest are let go."""
     keys, times, new = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
@@ -237,7 +252,8 @@ def _frequent(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterato
 
 
 def _rarest(batches: Iterator[pa.RecordBatch], popular: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc_id, component, text) → the n // 4 + 1 rarest shingles of each text: (key, doc_id, component, n)."""
+    """(doc_id, component, text) → the n // 4 + 1 rarest shingles of each text: (key, doc_id, component, n, rest), where
+    ``rest`` is how many of its shingles are no rarer."""
     for batch in batches:
         for first, n_texts, values, owner in shingle_sets(batch.column(2), WIDTH):
             at = np.minimum(np.searchsorted(popular, values), len(popular) - 1)
@@ -248,7 +264,8 @@ def _rarest(batches: Iterator[pa.RecordBatch], popular: np.ndarray, times: np.nd
             rows = pa.array(first + owner[taken])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values[order][taken].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array(n[owner[taken]].astype(np.int32))], names=["key", "doc_id", "component", "n"])
+                 pa.array(n[owner[taken]].astype(np.int32)), pa.array((n[owner] - place)[taken].astype(np.int32))],
+                names=["key", "doc_id", "component", "n", "rest"])
 
 
 def _crowded_pairs(spark: SparkSession, crowd: DataFrame, texts: DataFrame, bits: DataFrame, exact: bool) -> DataFrame:
@@ -261,8 +278,8 @@ def _crowded_pairs(spark: SparkSession, crowd: DataFrame, texts: DataFrame, bits
     order = np.argsort(popular)
     popular, times = popular[order], times[order]
     rare = stored(spark, _outside(held.mapInArrow(
-        lambda b: _rarest(b, popular, times), "key long, doc_id long, component long, n int")), "rare")
-    pairs = _pairs(rare, F.expr("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"))
+        lambda b: _rarest(b, popular, times), "key long, doc_id long, component long, n int, rest int")), "rare")
+    pairs = _rare_pairs(rare)
     sides = (pairs.join(bits.select(F.col("doc_id").alias("a"), "band", F.struct(*bits.columns).alias("x")), "a")
              .join(bits.select(F.col("doc_id").alias("b"), "band", F.struct(*bits.columns).alias("y")), ["b", "band"]))
     return sides.filter(_may_link("x", "y", exact)).select("a", "b").distinct()
