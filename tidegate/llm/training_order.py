@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import work_dir
-from .bpe_automaton import token_ids
+from .bpe_automaton import automaton, token_ids
 from .common import discard, ship, stored
 from .spans import PIECE, mix, pieces
 
@@ -125,6 +125,7 @@ def write_training_order(spark: SparkSession, docs: DataFrame, folder: str, key:
         return 0
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton.cache_clear()  # a worker that encoded before holds one; it is not needed any more
         task = TaskContext.get().partitionId()
         at, end = first.get(task, 0), first.get(task, 0) + counts.get(task, 0)
         for batch in batches:
@@ -177,6 +178,7 @@ def _packed(slot: np.ndarray, record: np.ndarray, shard_slots: int) -> pa.Record
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The records of one shard by slot. A shard has at most ``shard_slots`` of them, which bounds the memory."""
+    automaton.cache_clear()
     slots, records = [], []
     for batch in batches:
         for own, packed in zip(batch.column(1), batch.column(2)):
@@ -227,6 +229,7 @@ def read_training_order(spark: SparkSession, folder: str, first_slot: int = 0, s
              .select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("shard"), "content"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton.cache_clear()
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 held = np.frombuffer(content.as_buffer(), np.uint8)
