@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from helpers import documents, LONG, SCHEMA, TEXTS
-from tidegate.llm import toxicity
+from tidegate.llm import quality, toxicity
 from tidegate.llm.quality import FEATURES, features, fit, keep_good, quality_scores
 from tidegate.llm.toxicity import keep_harmless, toxicity_scores
 
@@ -137,3 +137,21 @@ def test_every_window_of_a_long_text_counts():
     texts = [clean] + [" ".join(words[:k] + ["idiot", "scum"] + words[k:]) for k in (0, len(words) // 2, len(words))]
     logits, counts = net.worst_windows(pa.array([*texts, "", None, LONG]))
     assert all(x > logits[0] + 1 for x in logits[1:4]) and counts[4] == counts[5] == 0 and counts[6] > 500
+
+
+def test_ranking_is_fitted_on_all_labelled_rows(spark):
+    """Groups of any size count every labelled row, and one group agrees with the fit in memory."""
+    docs, labels = corpus(300)
+    docs, labels = docs + [(1000 + i, t) for i, t in docs[:40]], labels + [(1000 + i, q, t) for i, q, t in labels[:40]]
+    d, l = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS)
+    text, good = dict(docs), {i: q for i, q, _ in labels}
+    import zlib
+    fitted = [i for i in text if zlib.crc32(str(i).encode()) % 5]
+    x, y = features(pa.array([text[i] for i in fitted])), np.array([good[i] for i in fitted]) == 1
+    local, whole = fit(x, y), quality.fit_ranking(d, l)
+    for name in ("mean", "scale", "weights", "cut"):
+        assert np.allclose(getattr(local, name), getattr(whole, name), atol=1e-6), name
+    cut_up = quality.fit_ranking(d, l, group=20)
+    assert np.allclose(cut_up.mean, whole.mean) and np.allclose(cut_up.scale, whole.scale)
+    assert np.mean((cut_up.strength(x) >= cut_up.cut) == y) >= 0.97
+    assert not hasattr(quality, "SAMPLE") and not hasattr(quality, "PAIRS")

@@ -2,7 +2,11 @@
 
 A document's strength is a weighted sum of properties of its text. The weights maximise the likelihood that in pairs of
 a good and a bad document the good one is the stronger: logistic loss on the difference of their properties. Documents
-are kept from a quantile of strength upwards; the quantile is the one that agrees best with the labels fitted on.
+are kept from a strength upwards; it is the one that agrees best with the labels fitted on.
+
+All labelled documents outside the holdout are fitted on. They are dealt by hash into groups of about ``GROUP``; within a
+group every good document meets every bad one. Each step of Newton's method adds up slopes and curves of the groups, and
+the cut is chosen by counts over all of them, so no more than a group meets in one task.
 """
 
 from __future__ import annotations
@@ -13,14 +17,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import held_out
+from .common import held_out, stored
 from .spans import BLANKS, IS_BLANK, byte_table, pieces, span_hashes, spans
 
-#: Labelled documents that the weights are fitted on, those with the smallest hash of their id; all if there are fewer.
-SAMPLE = 6000
-#: Preference pairs drawn from them.
-PAIRS = 40_000
-#: Score of a document at the chosen quantile.
+#: Labelled documents that are compared with each other; all pairs where there are no more.
+GROUP = 2048
+#: Documents of the rarer label that a group gets at least; those of a rarer one than that go to several groups.
+LEAST_OF_A_KIND = 128
+#: Steps of equal width into which the range of strength is divided to choose the cut.
+STEPS = 1 << 14
+#: Score of a document at the cut.
 CUT = 0.3
 RIDGE = 1e-2
 
@@ -88,55 +94,167 @@ class Ranking:
         return np.clip((x - self.mean) / self.scale, -6, 6) @ self.weights
 
 
-def fit(x: np.ndarray, good: np.ndarray) -> Ranking:
+def _unknown() -> Ranking:
     """Without labels of both kinds nothing is known: all documents have the strength of the cut and are kept."""
-    if not len(x) or good.all() or not good.any():
-        return Ranking(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), 0.0)
-    mean, scale = x.mean(0), x.std(0)
-    scale[scale < 1e-9] = 1
-    model = Ranking(mean, scale, np.zeros(x.shape[1]), 0.0)
-    z = np.clip((x - mean) / scale, -6, 6)
-    rng = np.random.default_rng(7)
-    difference = z[rng.choice(np.flatnonzero(good), PAIRS)] - z[rng.choice(np.flatnonzero(~good), PAIRS)]
-    w = np.zeros(x.shape[1])
-    for _ in range(25):  # Newton's method
-        p = 1 / (1 + np.exp(-np.clip(difference @ w, -30, 30)))
-        slope = difference.T @ (1 - p) / PAIRS - RIDGE * w
-        curve = (difference * (p * (1 - p))[:, None]).T @ difference / PAIRS + RIDGE * np.eye(len(w))
+    return Ranking(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), 0.0)
+
+
+def _scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -6, 6)
+
+
+def _pull(z: np.ndarray, good: np.ndarray, times: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Slope and curve of the likelihood over all pairs of a good and a bad row, and the number of pairs, in one array.
+
+    A row that stands for several documents counts as often. Pairs are taken in blocks of good rows, which bounds memory.
+    """
+    width = z.shape[1]
+    slope, curve, pairs = np.zeros(width), np.zeros((width, width)), 0.0
+    bad, of_bad = z[~good], times[~good].astype(float)
+    strength = bad @ w
+    fine, of_fine = z[good], times[good].astype(float)
+    for at in range(0, len(fine) if len(bad) else 0, 256):
+        some, of_some = fine[at: at + 256], of_fine[at: at + 256]
+        p = 1 / (1 + np.exp(-np.clip((some @ w)[:, None] - strength, -30, 30)))
+        count = of_some[:, None] * of_bad
+        missed = count * (1 - p)
+        slope += missed.sum(1) @ some - missed.sum(0) @ bad
+        bend = missed * p
+        mixed = some.T @ (bend @ bad)
+        curve += (some * bend.sum(1)[:, None]).T @ some + (bad * bend.sum(0)[:, None]).T @ bad - mixed - mixed.T
+        pairs += count.sum()
+    return np.concatenate((slope, curve.ravel(), [pairs]))
+
+
+def _climb(width: int, pull) -> np.ndarray:
+    """Newton's method: weights from ``pull(w)``, the sums of :func:`_pull` over all groups."""
+    w = np.zeros(width)
+    for _ in range(25):
+        sums = pull(w)
+        pairs = max(sums[-1], 1.0)
+        slope = sums[:width] / pairs - RIDGE * w
+        curve = sums[width:-1].reshape(width, width) / pairs + RIDGE * np.eye(width)
         step = np.linalg.solve(curve, slope)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
-    strength = z @ w
-    quantiles = np.quantile(strength, np.arange(0, 0.9, 0.0025))
-    agree = [np.mean((strength >= q) == good) for q in quantiles]
-    best = int(np.argmax(agree))
-    # The middle of the gap below the quantile, so that copies of fitted documents don't stand on the edge.
-    below = strength[strength < quantiles[best]]
-    cut = (quantiles[best] + below.max()) / 2 if len(below) else quantiles[best]
-    return Ranking(mean, scale, w, float(cut))
+    return w
+
+
+def _steps(strength: np.ndarray, low: float, high: float) -> np.ndarray:
+    return np.minimum((strength - low) / max(high - low, 1e-300) * STEPS, STEPS - 1).astype(np.int64)
 
 
-def fit_ranking(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (5, 0)) -> Ranking:
-    """Fit on labelled rows outside the holdout (modulus and remainder of the id's crc32).
+def _best_cut(good: np.ndarray, bad: np.ndarray, lowest: np.ndarray, highest: np.ndarray) -> float:
+    """The cut from the steps that hold documents, rising: how many of them are good and bad, lowest and highest strength.
 
-    The bounded sample of labels is small enough to broadcast; features are computed where the texts are. Labels without
-    id or quality are ignored; a document with two labels counts with both.
+    From each step upwards documents may be kept, as long as that is a tenth of them; the lowest of the best is taken.
     """
-    chosen = (labels.select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").alias("__good"))
-              .filter("__id IS NOT NULL AND __good IS NOT NULL").filter(~held_out("__id", *holdout))
-              .orderBy(F.xxhash64("__id"), "__id", "__good").limit(SAMPLE))
-    rows = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).join(F.broadcast(chosen), "__id")
+    below = np.cumsum(good + bad) - (good + bad)
+    agree = (np.cumsum(bad) - bad) + good[::-1].cumsum()[::-1]
+    agree = np.where(below <= 0.9 * (good + bad).sum(), agree, -1)
+    best = int(np.argmax(agree))
+    # The middle of the gap below, so that copies of fitted documents don't stand on the edge.
+    return float((lowest[best] + highest[best - 1]) / 2 if best else lowest[best])
+
 
-    def run(batches):
+def fit(x: np.ndarray, good: np.ndarray) -> Ranking:
+    """The ranking from rows of one group, all in memory."""
+    if not len(x) or good.all() or not good.any():
+        return _unknown()
+    mean, scale = x.mean(0), x.std(0)
+    scale[scale < 1e-9] = 1
+    z = _scaled(x, mean, scale)
+    w = _climb(x.shape[1], lambda w: _pull(z, good, np.ones(len(z)), w))
+    strength = z @ w
+    step = _steps(strength, strength.min(), strength.max())
+    held, which = np.unique(step, return_inverse=True)
+    lowest, highest = np.full(len(held), np.inf), np.full(len(held), -np.inf)
+    np.minimum.at(lowest, which, strength)
+    np.maximum.at(highest, which, strength)
+    return Ranking(mean, scale, w, _best_cut(np.bincount(which, good, len(held)), np.bincount(which, ~good, len(held)), lowest, highest))
+
+
+def _dealt(rows: DataFrame, n: int, of_kind: dict[int, int], size: int) -> DataFrame:
+    """(good, x, times) → one row per group with its rows in order. Where one label is rare, its rows go to several groups."""
+    groups = max(1, -(-n // size))
+    copies = {kind: min(groups, -(-groups * min(LEAST_OF_A_KIND, size) // count)) for kind, count in of_kind.items()}
+    often = F.when(F.col("good") == 1, copies[1]).otherwise(copies[0])
+    # Neighbouring copies lie evenly apart, so no two are in one group.
+    nth = F.explode(F.sequence(F.lit(0), often - 1)).alias("nth")
+    group = F.pmod(F.xxhash64("good", "x") + F.floor(F.col("nth") * groups / often), F.lit(groups)).alias("group")
+    return (rows.select("good", "x", "times", often.alias("often"), nth).select(group, "good", "x", "times")
+            .groupBy("group").agg(F.sort_array(F.collect_list(F.struct("good", "x", "times"))).alias("rows")))
+
+
+def _group_arrays(batch: pa.RecordBatch):
+    """Per group of a batch (group, rows): features, whether good, how often."""
+    for i in range(len(batch)):
+        rows = batch.column(1)[i].values
+        x = rows.field("x").flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+        yield x, rows.field("good").to_numpy(zero_copy_only=False) == 1, rows.field("times").to_numpy(zero_copy_only=False)
+
+
+def fit_ranking(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (5, 0), group: int = GROUP) -> Ranking:
+    """Fit on all labelled rows outside the holdout (modulus and remainder of the id's crc32).
+
+    Features are computed where the texts are; only they meet the labels. Labels without id or quality are ignored; a
+    document with two labels counts with both. Rows with equal features and label are one that counts several times.
+    """
+    spark, width = docs.sparkSession, len(FEATURES)
+    known = (labels.select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("int").alias("good"))
+             .filter("__id IS NOT NULL AND good IS NOT NULL").filter(~held_out("__id", *holdout)))
+
+    def described(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(features(batch.column(1))), pa.list_(pa.float64()))], names=["good", "x"])
+                [batch.column(0), pa.array(list(features(batch.column(1))), pa.list_(pa.float64()))], names=["__id", "x"])
+
+    rows = (docs.select(F.col("doc_id").cast("long").alias("__id"), "text").filter("__id IS NOT NULL")
+            .mapInArrow(described, "__id long, x array<double>").join(known, "__id")
+            .groupBy((F.col("good") == 1).cast("int").alias("good"), "x").agg(F.count(F.lit(1)).alias("times")))
+    rows = stored(spark, rows, "labelled")
+
+    kinds = {r["good"]: r for r in rows.groupBy("good").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("times").alias("n"),
+        *[F.sum(F.col("x")[k] * F.col("times")).alias(f"x{k}") for k in range(width)]).collect()}
+    if len(kinds) < 2:
+        return _unknown()
+    n = sum(r["n"] for r in kinds.values())
+    mean = np.array([sum(r[f"x{k}"] for r in kinds.values()) / n for k in range(width)])
+    spread = rows.agg(*[F.sum((F.col("x")[k] - float(mean[k])) ** 2 * F.col("times")) for k in range(width)]).first()
+    scale = np.sqrt(np.array(list(spread), float) / n)
+    scale[scale < 1e-9] = 1
+
+    of_kind = {kind: r["rows"] for kind, r in kinds.items()}
+    groups = stored(spark, _dealt(rows, sum(of_kind.values()), of_kind, group), "groups")
+
+    def pull(w: np.ndarray) -> np.ndarray:
+        def sums(batches):
+            total = np.zeros(width + width * width + 1)
+            for batch in batches:
+                for x, good, times in _group_arrays(batch):
+                    total += _pull(_scaled(x, mean, scale), good, times, w)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "value"])
 
-    got = rows.select(F.col("__good").cast("int"), "__text").mapInArrow(run, "good int, x array<double>").toArrow()
-    x = np.array(got["x"].to_pylist(), float).reshape(-1, len(FEATURES))
-    order = np.lexsort(x.T)  # the fit doesn't depend on the order in which tasks end
-    return fit(x[order], np.array(got["good"].to_pylist(), int)[order] == 1)
+        added = groups.mapInArrow(sums, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+        return added["value"].to_numpy()[np.argsort(added["at"].to_numpy())]
+
+    w = _climb(width, pull)
+
+    def strengths(batches):
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scaled(x, mean, scale) @ w), batch.column(2)],
+                                             names=["good", "strength", "times"])
+
+    placed = rows.select("good", "x", "times").mapInArrow(strengths, "good int, strength double, times long")
+    low, high = placed.agg(F.min("strength"), F.max("strength")).first()
+    step = F.least(F.floor((F.col("strength") - low) / max(high - low, 1e-300) * STEPS), F.lit(STEPS - 1))
+    held = placed.groupBy(step.alias("step")).agg(
+        F.sum(F.col("good") * F.col("times")).alias("good"), F.sum((1 - F.col("good")) * F.col("times")).alias("bad"),
+        F.min("strength").alias("lowest"), F.max("strength").alias("highest")).orderBy("step").toArrow()  # STEPS rows at most
+    return Ranking(mean, scale, w, _best_cut(*(held[c].to_numpy() for c in ("good", "bad", "lowest", "highest"))))
 
 
 def quality_score(model: Ranking, text: Column | str) -> Column:
