@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidegate.operators import ordered
 from tidegate.operators.changes import as_change_feed
 from tidegate.operators.ordered import CHUNK, SPLITS, running_total_before, split_points, with_chunks, with_next, with_previous
 from tidegate.operators.scd import scd2
@@ -41,6 +42,22 @@ def test_no_range_holds_more_rows_than_a_task_may(spark):
         assert plain == cut
 
 
+@pytest.mark.parametrize("fits", [10, 1000])
+def test_ranges_are_counted_off_where_a_key_fits_a_task(spark, fits, monkeypatch):
+    """Counted or sketched, ranges keep their bound, and no key that fits a task is sketched."""
+    sketched = []
+    monkeypatch.setattr(ordered, "split_points", lambda df, *a: sketched.append(df.select("k").distinct().count()) or split_points(df, *a))
+    df = one_day(spark).unionByName(spark.createDataFrame([("c", DAY, i) for i in range(8)] + [(None, DAY, 9)], "k string, t timestamp, v int"))
+    heavy = spark.createDataFrame([("hot",), ("b",), ("c",)], "k string")
+    rows = with_chunks(df, heavy, ["k"], "t", 6, fits).collect()
+    assert len(rows) == df.count() and sketched == ([1] if fits < 400 else [])
+    assert all(r[CHUNK] is None for r in rows if r["k"] in ("a", None)) and len({r[CHUNK] for r in rows if r["k"] == "c"}) == 1
+    hot = sorted((r["t"], r[CHUNK]) for r in rows if r["k"] == "hot")
+    assert [c for _, c in hot] == sorted(c for _, c in hot)
+    assert max(sum(c == k for _, c in hot) for k in {c for _, c in hot}) <= 6
+    assert {r[CHUNK] for r in rows if r["k"] == "b" and r["t"] is None} == {-1}
+
+
 @pytest.mark.parametrize("limit", [1, 7, 1000])
 def test_history_and_running_total_of_one_day(spark, limit):
     df = one_day(spark, 120).filter("t IS NOT NULL")
