@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.llm.bpe_automaton import bpe_round_trip
-from tidegate.llm.common import ship, stored, table
+from tidegate.llm.common import let_go, ship, stored, table
 from tidegate.llm.decontamination import without_benchmark
 from tidegate.llm.parity_join import one_of_each_group
 from tidegate.llm.quality import keep_good
@@ -23,11 +23,13 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality ranking rejects go."""
+    let_go(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity network rejects go."""
+    let_go(spark)
     return keep_harmless(docs, table(spark, sf_dir, "labels"))
 
 
@@ -39,11 +41,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    let_go(spark)
     return without_benchmark(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as token ids, with digests of the ids and of the text they decode to."""
+    let_go(spark)
     ship(spark)
     return bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 

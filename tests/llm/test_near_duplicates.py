@@ -3,7 +3,8 @@ import random
 import numpy as np
 
 from helpers import documents, near_duplicate_groups, shingles, SCHEMA, TEXTS
-from tidegate.llm import parity_join
+from tidegate.llm import common, parity_join
+from tidegate.llm.common import stored
 from tidegate.llm.components import components
 from tidegate.llm.parity_join import BAND_TOPS, _bands, ngram_jaccard_components, one_of_each_group
 
@@ -83,6 +84,34 @@ def test_a_passage_of_most_of_the_text_is_not_compared_in_all_pairs(spark, monke
     assert 0 < len(counted) and sum(counted) <= 3 * len(rows)
 
 
+def test_rows_of_the_rare_join_grow_with_the_table(spark, monkeypatch):
+    """Whether few or many texts share a passage, each is cut into as many rare shingles, once, and compared with as many texts."""
+    rare, compared = [], []
+    cut = lambda held, real=parity_join._outside: real(_noted(held, rare) if "rest" in held.columns else held)
+    monkeypatch.setattr(parity_join, "_outside", cut)
+    for name in ("_pairs", "_rare_pairs"):
+        monkeypatch.setattr(parity_join, name, lambda *a, real=getattr(parity_join, name): _noted(real(*a), compared))
+    sums = []
+    for n in (40, 400):
+        rare.clear(), compared.clear()
+        rows = _crowd(n, 60)
+        assert {r.doc_id: r.component_id for r in ngram_jaccard_components(spark, spark.createDataFrame(rows, SCHEMA)).collect()} == (
+            near_duplicate_groups(rows))
+        sums.append((sum(rare), sum(compared)))
+    assert 0 < sums[0][0] and sums[1][0] <= 12 * sums[0][0] and sums[0][1] <= 3 * 40 and sums[1][1] <= 3 * 400
+
+
+def test_storing_has_the_driver_collect_its_garbage(spark, monkeypatch):
+    """At most once in a while; what is in use stays."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName())
+    monkeypatch.setattr(common, "COLLECT_EVERY", 0)
+    before = full()
+    assert stored(spark, spark.range(3), "few").count() == 3 and full() == before + 1
+    monkeypatch.setattr(common, "COLLECT_EVERY", 1000)
+    assert stored(spark, spark.range(3), "few").count() == 3 and full() == before + 1
+
+
 def _noted(pairs, counted):
     counted.append(pairs.count())
     return pairs

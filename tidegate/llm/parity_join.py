@@ -15,10 +15,11 @@ n // 4 + 1 hashes, of which two linked sets share one. No size of a join group i
 
 *Verify.* Sets that are equal are one class. In each join group the members are first compared with the group's smallest
 id, then, where the group still holds several components, with a member picked by hash. What is then still apart is
-compared in pairs: members outside a group's largest component with those of other components. Where more than ``CROWD``
-are outside, as when many unrelated texts share a passage, their documents are joined anew on their n // 4 + 1 rarest
+compared: a member outside a group's largest component with those of the others. Where more than ``CROWD``
+are outside, as when unrelated texts share a passage, their documents are joined anew on their n // 4 + 1 rarest
 shingles, one of which two linked sets share whatever the order of rarity, and only where enough of both sets follows in
-that order; so a passage brings two texts together only if it makes up six sevenths of the shorter one. A second sketch of 1024 parity bits bounds the difference from below and rejects
+that order; so a passage brings two texts together only if it makes up six sevenths of the shorter one, and the join
+makes at most n // 4 + 1 rows for a text, in small tables as in large ones. A second sketch of 1024 parity bits bounds the difference from below and rejects
 most pairs before texts are read; the others are decided on the exact shingle sets. So a group of n alike texts costs
 about n comparisons, and no link between components is lost.
 
@@ -42,8 +43,10 @@ WIDTH = 5
 WORDS = 48
 BITS = 1024
 BAND_GROWTH = 2
-#: Groups with more members outside their largest component are joined anew on rare shingles.
-CROWD = 64
+#: Groups with more members outside their largest component are joined anew on rare shingles. A group with one outside needs no
+#: more comparisons than it has members; with a larger limit, which texts go which way, and so the rows made, would change with
+#: the size of the table, because a passage that few share in a small one is shared by many in a large one.
+CROWD = 1
 #: Shingles whose frequency counts for the order of rarity; any order gives the same links.
 POPULAR = 1 << 16
 #: Largest set size of each band; sizes beyond 1e12 words do not occur.
@@ -272,13 +275,14 @@ def _crowded_pairs(spark: SparkSession, crowd: DataFrame, texts: DataFrame, bits
     """(doc_id, component) of crowded groups → pairs that share a rare shingle and may link: (a, b)."""
     held = texts.join(crowd, "doc_id").select("doc_id", "component", "text")
     often = (held.select("text").mapInArrow(_frequent, "key long, times long").groupBy("key").agg(F.sum("times").alias("times"))
-             .filter(F.col("times") > CROWD).orderBy(F.desc("times"), "key").limit(POPULAR).collect())
-    popular = np.array([r.key for r in often] or [0], np.int64).view(np.uint64)
-    times = np.array([r.times for r in often] or [0], np.int64)
-    order = np.argsort(popular)
-    popular, times = popular[order], times[order]
-    rare = stored(spark, _outside(held.mapInArrow(
-        lambda b: _rarest(b, popular, times), "key long, doc_id long, component long, n int, rest int")), "rare")
+             .filter(F.col("times") > CROWD).orderBy(F.desc("times"), "key").limit(POPULAR).toArrow())
+    popular, times = (often.column(c).to_numpy() if len(often) else np.zeros(1, np.int64) for c in ("key", "times"))
+    order = np.argsort(popular.view(np.uint64))
+    popular, times = popular.view(np.uint64)[order], times[order]
+    # Stored before it is read twice, or the texts would be cut into shingles for each of the two.
+    every = stored(spark, held.mapInArrow(
+        lambda b: _rarest(b, popular, times), "key long, doc_id long, component long, n int, rest int"), "rarest")
+    rare = stored(spark, _outside(every), "rare")
     pairs = _rare_pairs(rare)
     sides = (pairs.join(bits.select(F.col("doc_id").alias("a"), "band", F.struct(*bits.columns).alias("x")), "a")
              .join(bits.select(F.col("doc_id").alias("b"), "band", F.struct(*bits.columns).alias("y")), ["b", "band"]))
