@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import time
 import zipfile
 from pathlib import Path
 
@@ -29,23 +28,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-#: Seconds between two collections of the driver's garbage.
-COLLECT_EVERY = 10
-_collected = float("-inf")
-
-
-def let_go(spark: SparkSession) -> None:
-    """Have the driver's JVM collect its garbage, if the last time is ``COLLECT_EVERY`` seconds ago.
-
-    Spark lets go of shuffles and broadcasts of finished jobs only after that, and the heap, which many short jobs with large plans
-    blow up, gives memory back. Nothing that is still in use is lost.
-    """
-    global _collected
-    if time.monotonic() - _collected >= COLLECT_EVERY:
-        spark._jvm.System.gc()
-        _collected = time.monotonic()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -56,7 +38,6 @@ def stored(spark: SparkSession, df: DataFrame, label: str, with_folder: bool = F
 
     ``with_folder`` gives the pair (folder, DataFrame), for a table to :func:`discard` when nothing reads it any more.
     """
-    let_go(spark)
     folder = work_dir(spark, label)
     df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     back = spark.read.schema(df.schema).parquet(folder)
