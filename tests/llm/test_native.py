@@ -161,6 +161,18 @@ def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, contaminated(spark, docs, items).collect())) == whole and whole
 
 
+def test_the_plan_does_not_grow_with_the_benchmark(spark):
+    def plan(n):
+        items = [(i, f"which {i}st of the words w{i}a w{i}b w{i}c w{i}d w{i}e w{i}f is not here") for i in range(n)]
+        docs = spark.createDataFrame([(k, f"lead {t}") for k, t in items[:2]], SCHEMA)
+        found = contaminated(spark, docs, spark.createDataFrame(items, "item_id long, text string"))
+        assert {(r.doc_id, r.item_id) for r in found.collect()} >= {(0, 0), (1, 1)}
+        return len(found._jdf.queryExecution().toString())
+
+    small, large = plan(4), plan(400)
+    assert large < 1.1 * small
+
+
 def test_canonical_urls(spark):
     rows = [("HTTP://User@WWW.Example.com:80/a/b/?b=2&a=1&utm_source=x#f", "example.com/a/b?a=1&b=2"),
             ("https://m.example.com", "example.com"), ("https://example.com/?ref=x", "example.com"), (None, None), ("", "")]

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from .common import stored
+
 WIDTH = 5
 LEAST_SHARE = 0.75
 #: Words of a window that must not be placeholders.
@@ -171,7 +173,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
     item's forms on the best diagonals, and whether placeholders are filled otherwise than in the item. Null and empty texts
     hold and give nothing, rows without id are left out, repeated rows count once. Other columns are ignored.
     """
-    windows = benchmark_windows(items)
+    windows = stored(spark, benchmark_windows(items), "benchmark-windows")
     size = F.size("item_words")
     number, short = windows.agg(F.count(F.lit(1)), F.collect_set(F.when(size < WIDTH, size))).first()
     passes = -(-number // BLOCK)
@@ -185,9 +187,10 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
             key = key.when(own == RAW + m - 1, _key(RAW, _parts("words", at, m)))
         return key.otherwise(_key(NAMED, _parts("named", at)))
 
-    # Windows stay numbers and hashes in the array of their text until it is known that an item has them.
-    keyed = F.transform(_begins(sorted(short)), lambda b: F.struct(
-        b.alias("begin"), window_key(F.shiftright(b, 3), b.bitwiseAND(KINDS - 1)).alias("window")))
+    # Windows stay numbers and hashes in two arrays until the join with the broadcast windows, in one generated loop with the
+    # explode, finds an item that has them. Their hashes are not listed in the plan, which would grow with the benchmark.
+    keyed = rows.withColumn("begins", _begins(sorted(short))).withColumn("keys", F.transform(
+        "begins", lambda b: window_key(F.shiftright(b, 3), b.bitwiseAND(KINDS - 1))))
     at, own = F.shiftright("begin", 3), F.col("begin").bitwiseAND(KINDS - 1)
     form = F.when(own >= RAW, F.slice("words", at + 1, own - (RAW - 1))).when(
         F.col("kind") == RAW, F.array(*_parts("words", at))).when(
@@ -201,13 +204,9 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
         block = windows
         if passes > 1:
             block = windows.filter(F.pmod(F.xxhash64("item_id", "kind", "variant", "item_place"), F.lit(passes)) == i)
-        hashes = ", ".join(f"{r['window']}L" for r in block.select("window").distinct().collect())
-        if not hashes:
-            hashes = "NULL"
-        some = (rows.withColumn("keyed", keyed).select("doc_id", "version", "words", "form", "named", F.explode(
-            F.expr(f"filter(keyed, k -> k.window IN ({hashes}))")).alias("match"))
-            .select("doc_id", "version", "words", "form", "named", "match.*"))
-        some = some.join(F.broadcast(block), "window").filter(form == F.col("item_form"))
+        # Unlike explode, its outer form is not put behind a filter that hashes the windows a second time; what it adds meets nothing.
+        some = keyed.select("doc_id", "version", "words", "form", "named", "begins", F.posexplode_outer("keys").alias("key_at", "window"))
+        some = some.join(F.broadcast(block), "window").withColumn("begin", F.get("begins", "key_at")).filter(form == F.col("item_form"))
         some = some.withColumn("filled", F.when(own == NAMED, _fill(at)).otherwise(F.array(*_parts("words", at))))
         # Each window answers for its placeholders.
         slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.struct(
