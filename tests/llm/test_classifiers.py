@@ -155,3 +155,11 @@ def test_ranking_is_fitted_on_all_labelled_rows(spark):
     assert np.allclose(cut_up.mean, whole.mean) and np.allclose(cut_up.scale, whole.scale)
     assert np.mean((cut_up.strength(x) >= cut_up.cut) == y) >= 0.97
     assert not hasattr(quality, "SAMPLE") and not hasattr(quality, "PAIRS")
+
+
+def test_numbers_of_values_in_half_the_memory():
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(0, 50, n).astype(np.uint64) for n in (5, 0, 40, 1)]
+    values, ids = toxicity._numbered(parts)
+    expected, places = np.unique(np.concatenate(parts), return_inverse=True)
+    assert (values == expected).all() and (ids == places).all() and ids.dtype == np.int32

@@ -188,7 +188,10 @@ def _evidence(ids: np.ndarray, owner: np.ndarray, toxic: np.ndarray, size: int)
 
     Also what to add, by label, for a training document itself: its odds come from the other documents only.
     """
-    pairs = np.unique(ids.astype(np.int64) * len(toxic) + owner)
+    pairs = ids.astype(np.int64)
+    pairs *= len(toxic)
+    pairs += owner
+    pairs = np.unique(pairs)
     ids, owner = pairs // len(toxic), pairs % len(toxic)
     bad = np.bincount(ids, toxic[owner], size)
     fine = np.bincount(ids, ~toxic[owner], size)
@@ -203,6 +206,12 @@ def _evidence(ids: np.ndarray, owner: np.ndarray, toxic: np.ndarray, size: int)
     return whole, np.stack([odds(bad, np.maximum(fine - 1, 0)) - whole, odds(np.maximum(bad - 1, 0), fine) - whole])
 
 
+def _numbered(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values and, for all parts in a row, each value's place among them; without the sorted copies of an inverse."""
+    values = np.unique(np.concatenate(parts))
+    return values, np.concatenate([np.searchsorted(values, part).astype(np.int32) for part in parts])
+
+
 def train(windows: list[tuple[int, bool, np.ndarray, np.ndarray, np.ndarray]]) -> Network:
     """windows: (document, toxic, hashes of its words, packed runs, first run of each word)."""
     rng = np.random.default_rng(11)
@@ -210,8 +219,9 @@ def train(windows: list[tuple[int, bool, np.ndarray, np.ndarray, np.ndarray]]) -
     toxic = np.zeros(len(docs), bool)
     toxic[owner] = [w[1] for w in windows]
     lengths = np.array([len(w[2]) for w in windows])
-    words, word_ids = np.unique(np.concatenate([w[2] for w in windows]), return_inverse=True)
-    grams, gram_ids = np.unique(np.concatenate([w[3] for w in windows]), return_inverse=True)
+    owner = owner.astype(np.int32)
+    words, word_ids = _numbered([w[2] for w in windows])
+    grams, gram_ids = _numbered([w[3] for w in windows])
     word_of = np.repeat(owner, lengths)
     gram_of = np.repeat(owner, [len(w[3]) for w in windows])
     (word_odds, word_own), (gram_odds, gram_own) = (_evidence(i, o, toxic, len(k)) for i, o, k in ((word_ids, word_of, words), (gram_ids, gram_of, grams)))
@@ -242,8 +252,8 @@ def train(windows: list[tuple[int, bool, np.ndarray, np.ndarray, np.ndarray]]) -
     target = toxic[owner]
     use = np.flatnonzero(~target | (rank < 2))
 
-    known_words = [_known(net.words, w[2]) for w in windows]
-    known_grams = [_known(net.grams, w[3]) for w in windows]
+    known_words = [_known(net.words, w[2]).astype(np.int32) for w in windows]
+    known_grams = [_known(net.grams, w[3]).astype(np.int32) for w in windows]
     own = [np.concatenate((np.zeros((2, 1)), o[:, kept]), axis=1).astype(np.float32)
            for o, kept in ((word_own, word_top), (gram_own, gram_top))]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
@@ -333,7 +343,8 @@ def _train_task(batches):
     given = list(batches)
     if not given:
         return
-    windows = pa.Table.from_batches(given).combine_chunks()
+    # Not combined, which would copy them: the arrays of numbers stay views of the batches.
+    windows = pa.Table.from_batches(given)
     columns = [windows[k].to_pylist() for k in ("number", "toxic")]
     lists = [[v.values.to_numpy() for v in windows[k]] for k in ("words", "runs", "first")]
     data = [(n, t == 1, w.view(np.uint64), r.view(np.uint64), f) for n, t, w, r, f in zip(*columns, *lists)]
