@@ -201,3 +201,13 @@ def test_a_long_text_that_the_library_splits(spark):
     got = bpe_round_trip(spark.createDataFrame([(1, text)], SCHEMA), BPE).first()
     ids = tokenizer.encode(text, add_special_tokens=False).ids
     assert got["n_tokens"] == len(ids) and got["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_texts_are_encoded_in_small_pieces():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        machine = automaton(file.read())
+    text = "some words of a text " * 100
+    parts = list(machine.encode(pa.array([text] * 400)))
+    assert len(parts) >= 3 and sum(len(first) - 1 for _, first in parts) == 400
+    alone = next(machine.encode(pa.array([text])))[0].tolist()
+    assert all(ids.tolist() == alone * (len(first) - 1) for ids, first in parts)

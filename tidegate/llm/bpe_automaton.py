@@ -33,6 +33,8 @@ WHITE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
 #: Letters after an apostrophe that make a word of their own.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 OTHER, LETTER, NUMBER, BLANK, UNSURE = range(5)
+#: Texts are encoded in pieces of about this many bytes; a step holds some ninety bytes of numbers for each of them.
+ENCODED = 1 << 18
 
 
 def byte_letters() -> dict[str, int]:
@@ -280,7 +282,7 @@ class Automaton:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per piece of texts: all ids, and where each text's ids begin (one more than texts)."""
-        for _, data, offsets in pieces(texts):
+        for _, data, offsets in pieces(texts, ENCODED):
             if not len(data):
                 yield np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
                 continue

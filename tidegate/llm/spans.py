@@ -47,7 +47,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Yields (first text, bytes, offsets of the texts in them, one more than texts). A null text is empty."""
     texts = texts.fill_null("") if texts.null_count else texts
     if not len(texts):
@@ -57,7 +57,7 @@ def pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     first = 0
     while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PIECE, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         yield first, data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first]
         first = last
 
