@@ -161,6 +161,27 @@ def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, contaminated(spark, docs, items).collect())) == whole and whole
 
 
+@pytest.mark.parametrize("block, whole", [(40, 0), (2_000_000, 0)])
+def test_benchmark_in_blocks_and_shuffled_gives_the_same(spark, monkeypatch, block, whole):
+    from tidegate.llm import decontamination
+
+    texts = [t.replace("Anna", "Mary Ann Lee") for _, t in ITEMS if t]
+    docs = spark.createDataFrame([(k, f"lead words of Jo Poe {t} and more {t.lower()}") for k, t in enumerate(texts)], SCHEMA)
+    items = spark.createDataFrame(ITEMS + [(5, "so few words"), (6, ITEMS[0][1])], "item_id long, text string")
+    plain = sorted(map(tuple, contaminated(spark, docs, items).collect()))
+    monkeypatch.setattr(decontamination, "BLOCK", block)
+    monkeypatch.setattr(decontamination, "WHOLE", whole)
+    assert sorted(map(tuple, contaminated(spark, docs, items).collect())) == plain and {p[:2] for p in plain} >= {(0, 1), (0, 6), (1, 2)}
+
+
+def test_a_long_text_that_repeats_an_item_leaves_the_loop_without_its_arrays(spark):
+    """With the text's words in each row found, these 200,000 rows were over 200 GB at once."""
+    text = ITEMS[1][1] + " "
+    items = spark.createDataFrame([(i, text) for i in range(20)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, text * 1000 + "other " * 10_000)], SCHEMA)
+    assert {tuple(r)[:4] for r in contaminated(spark, docs, items).collect()} == {(1, i, 0, 1.0) for i in range(20)}
+
+
 def test_the_plan_does_not_grow_with_the_benchmark(spark):
     def plan(n):
         items = [(i, f"which {i}st of the words w{i}a w{i}b w{i}c w{i}d w{i}e w{i}f is not here") for i in range(n)]

@@ -14,6 +14,9 @@ for word, and an item of fewer than five words if it is there as a whole. Built-
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import stored
@@ -22,8 +25,10 @@ WIDTH = 5
 LEAST_SHARE = 0.75
 #: Words of a window that must not be placeholders.
 LEAST_WORDS = 2
-#: Benchmark windows joined at a time by broadcast; more of them take several passes over the documents.
-BLOCK = 200_000
+#: Hashes of benchmark windows that all tasks hold at a time; more of them take several passes over the documents.
+BLOCK = 2_000_000
+#: Up to so many benchmark windows go to all tasks as a whole too; more are met by a shuffle of what was found.
+WHOLE = 200_000
 #: Units.
 UNITS = ("mm", "cm", "m", "km", "in", "ft", "mi", "g", "kg", "mg", "lb", "oz", "l", "ml", "s", "ms", "min", "h", "hr", "hz",
          "khz", "mhz", "ghz", "v", "w", "kw", "kwh", "j", "kj", "cal", "kcal", "n", "pa", "kpa", "k", "c", "f", "usd", "eur",
@@ -114,7 +119,9 @@ def _parts(column: str, first: Column, width: int = WIDTH) -> list[Column]:
 
 
 def _says_little(parts: list[Column]) -> Column:
-    return sum((_is_slot(p).cast("int") for p in parts), F.lit(0)) > WIDTH - LEAST_WORDS
+    """With fewer than LEAST_WORDS words there is a placeholder among any LEAST_WORDS places, so most windows need no sum."""
+    some = reduce(or_, map(_is_slot, parts[:LEAST_WORDS]))
+    return some & (sum((_is_slot(p).cast("int") for p in parts), F.lit(0)) > WIDTH - LEAST_WORDS)
 
 
 def _key(kind: int, parts: list[Column]) -> Column:
@@ -175,8 +182,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
     """
     windows = stored(spark, benchmark_windows(items), "benchmark-windows")
     size = F.size("item_words")
-    number, short = windows.agg(F.count(F.lit(1)), F.collect_set(F.when(size < WIDTH, size))).first()
-    passes = -(-number // BLOCK)
+    number, hashes, short = windows.agg(F.count(F.lit(1)), F.count_distinct("window"), F.collect_set(F.when(size < WIDTH, size))).first()
+    passes = max(1, -(-hashes // BLOCK))
     rows = _with_forms(docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"),
                                                                 F.xxhash64("text").alias("version"), "text"))
 
@@ -187,35 +194,30 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
             key = key.when(own == RAW + m - 1, _key(RAW, _parts("words", at, m)))
         return key.otherwise(_key(NAMED, _parts("named", at)))
 
-    # Windows stay numbers and hashes in two arrays until the join with the broadcast windows, in one generated loop with the
-    # explode, finds an item that has them. Their hashes are not listed in the plan, which would grow with the benchmark.
+    # Windows stay numbers and hashes in two arrays until the join with the benchmark's hashes, in one generated loop with the
+    # explode, finds one of them. The hashes are not listed in the plan, which would grow with the benchmark.
     keyed = rows.withColumn("begins", _begins(sorted(short))).withColumn("keys", F.transform(
         "begins", lambda b: window_key(F.shiftright(b, 3), b.bitwiseAND(KINDS - 1))))
-    at, own = F.shiftright("begin", 3), F.col("begin").bitwiseAND(KINDS - 1)
-    form = F.when(own >= RAW, F.slice("words", at + 1, own - (RAW - 1))).when(
-        F.col("kind") == RAW, F.array(*_parts("words", at))).when(
-        own == PLAIN, F.array(*_parts("form", at))).otherwise(F.array(*_parts("named", at)))
-    # A window without names stands in both forms, here with its place in the plain one.
-    place = F.when((own == PLAIN) & (F.col("kind") == NAMED) & (F.size("named") > 0),
-                   F.size(F.filter("named", lambda p: p["at"] <= at)) - 1).otherwise(at)
-    first = F.when(own == NAMED, F.get("named", at)["at"]).otherwise(at)
-    hits = None
-    for i in range(max(1, passes)):
-        block = windows
-        if passes > 1:
-            block = windows.filter(F.pmod(F.xxhash64("item_id", "kind", "variant", "item_place"), F.lit(passes)) == i)
-        # Unlike explode, its outer form is not put behind a filter that hashes the windows a second time; what it adds meets nothing.
-        some = keyed.select("doc_id", "version", "words", "form", "named", "begins", F.posexplode_outer("keys").alias("key_at", "window"))
-        some = some.join(F.broadcast(block), "window").withColumn("begin", F.get("begins", "key_at")).filter(form == F.col("item_form"))
-        some = some.withColumn("filled", F.when(own == NAMED, _fill(at)).otherwise(F.array(*_parts("words", at))))
-        # Each window answers for its placeholders.
-        slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.struct(
-            F.get("item_form", k).alias("form"), F.get("item_words", k).alias("item"), F.get("filled", k).alias("doc"))),
-            lambda s: _is_slot(s["form"]))
-        some = some.select("doc_id", "version", "item_id", "kind", "variant", "n_windows", (place - F.col("item_place")).alias("diagonal"),
-                           "item_place", "nth", (first - F.col("item_at")).alias("first"),
-                           F.transform(slots, lambda s: F.struct(s["item"], s["doc"])).alias("slots"))
+    # Unlike explode, its outer form is not put behind a filter that hashes the windows a second time; what it adds meets nothing.
+    pieces = keyed.select("doc_id", "version", "words", "form", "named", "begins", F.posexplode_outer("keys").alias("key_at", "window"))
+    known, hits = windows.select("window").distinct(), None
+    for i in range(passes):
+        block = known if passes == 1 else known.filter(F.pmod("window", F.lit(passes)) == i)
+        some = _own_words(pieces.join(F.broadcast(block), "window", "left_semi"))
+        if passes > 1:  # one block is held at a time
+            some = stored(spark, some, "benchmark-hits")
         hits = some if hits is None else hits.unionByName(some)
+    hits = hits.join(F.broadcast(windows) if number <= WHOLE else windows, "window")
+    raw = (F.col("own") >= RAW) | (F.col("kind") == RAW)
+    hits = hits.filter(F.when(raw, F.col("filled")).otherwise(F.col("form")) == F.col("item_form"))
+    # Each window answers for its placeholders.
+    slots = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.struct(
+        F.get("item_form", k).alias("form"), F.get("item_words", k).alias("item"), F.get("filled", k).alias("doc"))),
+        lambda s: _is_slot(s["form"]))
+    place = F.when(F.col("kind") == NAMED, F.col("named_place")).otherwise(F.col("place"))
+    hits = hits.select("doc_id", "version", "item_id", "kind", "variant", "n_windows", (place - F.col("item_place")).alias("diagonal"),
+                       "item_place", "nth", (F.col("first") - F.col("item_at")).alias("first"),
+                       F.transform(slots, lambda s: F.struct(s["item"], s["doc"])).alias("slots"))
     keys = ["doc_id", "version", "item_id", "kind", "variant", "n_windows"]
     # An item's windows bound what comes together here.
     spans = hits.groupBy(*keys, "diagonal").agg(
@@ -238,6 +240,30 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
     return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
+def _own_words(found: DataFrame) -> DataFrame:
+    """Windows of documents, each with its own words (``filled``: a text per place) instead of the document's arrays.
+
+    All windows found in a document are in memory together, as one generated loop makes them; so they must leave it without
+    those arrays, and the first step has no lambda, which generated code has no place for.
+    """
+    at, own = F.shiftright("begin", 3), F.col("begin").bitwiseAND(KINDS - 1)
+    first = F.when(own == NAMED, F.get("named.at", at)).otherwise(at)
+    width = F.when(own >= RAW, own - (RAW - 1)).otherwise(F.lit(WIDTH))
+    # Where the places of the form with names begin, and the last one ends.
+    ends = F.when(own == NAMED, F.array_append(F.slice("named.at", at + 1, WIDTH), F.coalesce(
+        F.get("named.at", at + WIDTH), F.size("words"))))
+    # A window without names stands in both forms.
+    named_place = F.when((own == PLAIN) & (F.size("named") > 0),
+                         F.size(F.array_intersect("named.at", F.sequence(F.lit(0), at))) - 1).otherwise(at)
+    rows = found.withColumn("begin", F.get("begins", "key_at")).withColumn("ends", ends).select(
+        "doc_id", "version", "window", own.alias("own"), at.alias("place"), named_place.alias("named_place"), first.alias("first"),
+        F.when(own == PLAIN, F.slice("form", at + 1, WIDTH)).when(own == NAMED, F.slice("named.form", at + 1, WIDTH)).alias("form"),
+        F.slice("words", first + 1, F.coalesce(F.get("ends", F.lit(WIDTH)) - first, width)).alias("around"), "ends")
+    runs = F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda k: F.array_join(F.slice(
+        "around", F.get("ends", k) - F.get("ends", F.lit(0)) + 1, F.get("ends", k + 1) - F.get("ends", k)), " "))
+    return rows.withColumn("filled", F.when(F.col("ends").isNull(), F.col("around")).otherwise(runs)).drop("around", "ends")
+
+
 def _together(spans: str) -> Column:
     """The diagonals as one, longest first, without those that add no place or fill a placeholder otherwise."""
     none = F.struct(F.array().cast("array<struct<item_place:int,nth:int>>").alias("places"),
