@@ -1,13 +1,16 @@
 """Keys that hold most rows: ranges by count, carried sums, and joins dealt out by counted parts."""
 
 import datetime as dt
+import os
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidegate.operators import ordered
 from tidegate.operators.changes import as_change_feed
-from tidegate.operators.ordered import CHUNK, SPLITS, running_total_before, split_points, with_chunks, with_next, with_previous
+from tidegate.operators.ordered import CHUNK, SPLITS, running_total_before, split_points, with_chunks, with_next, with_previous, written, written_alone
 from tidegate.operators.scd import scd2
 from tidegate.operators.skew import heavy_hitters, salted_join
 from tidegate.session import remove_path
@@ -68,6 +71,40 @@ def test_history_and_running_total_of_one_day(spark, limit):
     assert totals[0] == totals[1] and len(totals[0]) == 120
 
 
+def test_written_steps_leave_neither_shuffle_files_nor_tables_behind(spark):
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/tidegate"
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.(?:data|index)", files.getAllFiles().mkString(" ")))
+    tables = lambda: {f.split("-")[0] for f in os.listdir(root)} - old
+    written(one_day(spark), "first")
+    before, old = shuffled(), {f.split("-")[0] for f in os.listdir(root)}
+    kept = []
+
+    def build():
+        counts = written(one_day(spark).groupBy("k").count(), "step_inside")
+        kept.append(written_alone(spark, lambda: written(counts, "step_within").filter("count > 0"), "step_nested"))
+        assert tables() == {"step_inside", "step_nested"}
+        return kept[0].join(counts, ["k", "count"])
+
+    result = written_alone(spark, build, "step_result")
+    assert tables() == {"step_result"} and sort(result, "*") == [("a", 1), ("b", 2), ("hot", 400)]
+    assert sort(written_alone(spark, lambda: written(result, "step_twice"), "step_other"), "*") == sort(result, "*")
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) != "true"
+
+
+@pytest.mark.parametrize("fits", [10, 1000])
+def test_ranges_are_cut_once_and_their_sources_removed(spark, fits):
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/tidegate"
+    heavy, old = spark.createDataFrame([("hot",)], "k string"), set(os.listdir(root))
+    rows = with_chunks(one_day(spark), heavy, ["k"], "t", 30, fits)
+    assert {f.split("-")[0] for f in set(os.listdir(root)) - old} == {"ranges"}
+    assert rows.count() == 403 and "Window" not in rows._jdf.queryExecution().toString()
+
+
 def test_salted_join(spark):
     facts = spark.range(0, 3000, 1, 6).select(F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 7 == 0, None)
                                               .otherwise(F.concat(F.lit("k"), F.col("id") % 10)).alias("k"), "id", F.lit("clash").alias("n"))
